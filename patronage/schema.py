@@ -18,6 +18,7 @@ REQUIRED_COLUMNS = ("CustomerID", "InvoiceNo", "InvoiceDate", "Quantity", "UnitP
 
 # Sums per customer; wide enough for any number of invoices.
 CENTS = T.DecimalType(20, 0)
+MONEY = T.DecimalType(22, 2)
 
 MEASURES = ("Recency", "Frequency", "Monetary")
 SCORED_COLUMNS = (
