@@ -14,6 +14,7 @@ import time
 from pyspark.sql import SparkSession
 
 from patronage.plans.catalog import QUERIES
+from patronage.staging import drop_staged
 
 HEADLINE = (
     "clean_stats",
@@ -48,6 +49,7 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -71,6 +73,7 @@ def main() -> None:
             }
         )
     )
+    drop_staged(spark)
     spark.stop()
 
 

@@ -125,15 +125,8 @@ def renumber(labelled: DataFrame, numbers: DataFrame | None) -> DataFrame:
 def label(rfm: DataFrame, fit: Fit, k: int = 4) -> DataFrame:
     """Scale the measures, fit one model and label the customers with canonical numbers."""
     features, _ = scale(rfm)
-    cached = features.select("Recency", "Monetary", "features").persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
-        model = fit(cached, k)
-        numbers = canonical_numbers(model.transform(cached))
-    finally:
-        cached.unpersist()
-    return renumber(model.transform(features), numbers)
+    labelled = fit(features, k).transform(features)
+    return renumber(labelled, canonical_numbers(labelled))
 
 
 def _in_threads(spark: SparkSession, tasks: list[Callable], parallelism: int) -> list:
@@ -144,43 +137,40 @@ def _in_threads(spark: SparkSession, tasks: list[Callable], parallelism: int) ->
 
 
 def cluster(rfm: DataFrame, k: int = 4, *, canonical: bool = True) -> Clustering:
-    """Scale the measures, fit both models, score both.
+    """Scale the measures, fit both models side by side, score both.
 
-    The features are cached for the fits only. What is returned reads the staged customer
-    table again and applies the models row by row. `canonical=False` keeps the models' own
-    cluster numbers.
+    Each fit keeps its own vectors cached while it iterates. Everything else, here and in what
+    is returned, reads the staged customer table and applies the models row by row.
+    `canonical=False` keeps the models' own cluster numbers.
     """
     features, scaler = scale(rfm)
-    cached = features.select("Recency", "Monetary", "features").persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
 
-        def run(fit):
-            model = fit(cached, k)
-            labelled = model.transform(cached)
-            numbers = canonical_numbers(labelled) if canonical else None
-            return model, silhouette(labelled), numbers
+    def run(fit: Fit):
+        model = fit(features, k)
+        labelled = model.transform(features)
+        score = silhouette(labelled)
+        return model, score, renumber(labelled, canonical_numbers(labelled) if canonical else None)
 
-        (kmeans, kmeans_score, kmeans_numbers), (gmm, gmm_score, gmm_numbers) = _in_threads(
-            rfm.sparkSession, [lambda: run(fit_kmeans), lambda: run(fit_mixture)], 2
-        )
-    finally:
-        cached.unpersist()
+    (kmeans_model, kmeans_score, kmeans), (gmm_model, gmm_score, gmm) = _in_threads(
+        rfm.sparkSession, [lambda: run(fit_kmeans), lambda: run(fit_mixture)], 2
+    )
     return Clustering(
-        kmeans=renumber(kmeans.transform(features), kmeans_numbers),
-        gmm=renumber(gmm.transform(features), gmm_numbers),
+        kmeans=kmeans,
+        gmm=gmm,
         kmeans_score=kmeans_score,
         gmm_score=gmm_score,
-        kmeans_model=kmeans,
-        gmm_model=gmm,
+        kmeans_model=kmeans_model,
+        gmm_model=gmm_model,
         scaler=scaler,
         features=features,
     )
 
 
-def cost_sweep(features: DataFrame, max_k: int = 10, *, parallelism: int = 4) -> DataFrame:
-    """Within-cluster sum of squares of K-Means for k = 2..max_k, ordered by k."""
+def cost_sweep(features: DataFrame, max_k: int = 10, *, parallelism: int = 8) -> DataFrame:
+    """Within-cluster sum of squares of K-Means for k = 2..max_k, ordered by k.
+
+    The fits are independent and share one cached copy of the vectors.
+    """
     cached = features.select("features").persist(StorageLevel.MEMORY_AND_DISK)
 
     def cost(k: int) -> tuple[int, float]:

@@ -10,8 +10,9 @@ _MONEY = 1000
 
 _LINES = """
 lines AS (
-  SELECT o_custkey AS "CustomerID", o_orderkey AS "InvoiceNo", o_orderdate AS "InvoiceDate",
-         l_quantity AS "Quantity", l_extendedprice / l_quantity AS "UnitPrice"
+  SELECT o_custkey AS "CustomerID", CAST(o_orderkey AS VARCHAR) AS "InvoiceNo",
+         o_orderdate AS "InvoiceDate", l_quantity AS "Quantity",
+         l_extendedprice / l_quantity AS "UnitPrice"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 )"""
 
@@ -24,7 +25,7 @@ cleaned AS (
 _DIRTY_LINES = """
 lines AS (
   SELECT CASE WHEN o_orderkey % 20 <> 0 THEN o_custkey END AS "CustomerID",
-         o_orderkey AS "InvoiceNo",
+         CAST(o_orderkey AS VARCHAR) AS "InvoiceNo",
          CASE WHEN o_orderkey % 101 = 0 THEN 'not a date'
               WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%-m/%-d/%Y %-H:%M')
               WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%-d/%-m/%Y %-H:%M')
@@ -276,7 +277,7 @@ _MEANS = ", ".join(f"""{_half_up(f'avg("{m}")', 4)} AS "{m}_mean\"""" for m in S
 
 ORACLE: dict[str, str] = {
     "transactions": """
-        SELECT o_custkey AS "CustomerID", o_orderkey AS "InvoiceNo",
+        SELECT o_custkey AS "CustomerID", CAST(o_orderkey AS VARCHAR) AS "InvoiceNo",
                o_orderdate AS "InvoiceDate", l_quantity AS "Quantity",
                l_extendedprice / l_quantity AS "UnitPrice", n_name AS "Country"
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey

@@ -24,6 +24,16 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/patronage/{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete every table this application has staged, once their results are consumed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet to the shared folder and return a scan of it.
 
@@ -32,7 +42,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     the source.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/patronage/{name}-{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
