@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from patronage.functions.scalars import equal_width_bin
 from patronage.operators.order_stats import extents, is_above, quantiles, rows_at_ranks
+from patronage.staging import small_frame
 
 BINS = 50
 FREQUENCY_BOUND = 100
@@ -112,7 +113,7 @@ def box_statistics(customers: DataFrame, column: str, key: str = "prediction") -
     box_schema = f"box {key_type}, q1 double, median double, q3 double, low double, high double"
     # One row per group, and `quantiles` has bounded their number.
     boxed = customers.select(key, F.col(column).cast("double").alias("value")).join(
-        customers.sparkSession.createDataFrame(boxes, box_schema),
+        small_frame(customers.sparkSession, boxes, box_schema),
         F.col(key).eqNullSafe(F.col("box")),
     )
     within = F.when(F.expr("value BETWEEN low AND high"), F.col("value"))

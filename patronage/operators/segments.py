@@ -13,6 +13,7 @@ from patronage.functions.scalars import (
     segment_name,
 )
 from patronage.operators.profile import mean
+from patronage.staging import small_frame
 
 # Suggested actions per kind of segment, in order of priority.
 ACTIONS = {
@@ -100,7 +101,7 @@ def actions(spark: SparkSession, catalogue: dict[str, tuple[str, ...]] = ACTIONS
         for kind, listed in catalogue.items()
         for rank, action in enumerate(listed, 1)
     ]
-    return spark.createDataFrame(rows, "segment_kind string, rank int, action string")
+    return small_frame(spark, rows, "segment_kind string, rank int, action string")
 
 
 def recommend(

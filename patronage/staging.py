@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -47,13 +49,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """Rows the driver already holds, marked for broadcast since the planner cannot size them."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def bounded_copy(df: DataFrame, max_rows: int = 1000) -> DataFrame:
     """Evaluate a small result once.
 
-    Up to `max_rows` rows become a local relation, whose size the planner knows, so joins
-    against it are broadcast. Anything larger is staged and joins are planned by size.
+    Up to `max_rows` rows come back as a small frame, so joins against it are broadcast.
+    Anything larger is staged and joins are planned by its size.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return stage(df, "wide")
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return small_frame(df.sparkSession, rows, df.schema)
