@@ -38,24 +38,37 @@ def clean(
     return cleaned.filter(F.col("InvoiceDate").isNotNull()) if on_bad_date == "drop" else cleaned
 
 
-def cleaning_stats(
-    lines: DataFrame, *, formats: Sequence[str] = S.DATE_FORMATS, on_bad_date: str = "keep"
-) -> DataFrame:
-    """One row of counts before and after cleaning, from a single pass over the lines."""
+def line_counters() -> dict[str, Column]:
+    """What one line adds to the cleaning statistics, apart from its customer and date."""
+    usable = F.coalesce(usable_line(), F.lit(False))
+    bad_quantity = ~F.coalesce(F.col("Quantity") > 0, F.lit(False))
+    bad_price = ~F.coalesce(F.col("UnitPrice") > 0, F.lit(False))
+    return {
+        "lines": F.lit(1).cast("bigint"),
+        "usable": usable.cast("bigint"),
+        "bad_quantity": bad_quantity.cast("bigint"),
+        "bad_price": bad_price.cast("bigint"),
+    }
+
+
+def sum_counters(counted: DataFrame, *, on_bad_date: str = "keep") -> DataFrame:
+    """One row of statistics from counters beside the flags `known` and `dated`.
+
+    A row may stand for one line or for many lines of one customer and date.
+    """
     if on_bad_date not in ON_BAD_DATE:
         raise ValueError(f"on_bad_date must be one of {ON_BAD_DATE}")
-    date_type = lines.schema["InvoiceDate"].dataType
-    known = F.col("CustomerID").isNotNull()
-    usable = known & F.coalesce(usable_line(), F.lit(False))
-    dated = parse_invoice_date("InvoiceDate", date_type, formats).isNotNull()
-    kept = usable & dated if on_bad_date == "drop" else usable
-    counts = lines.agg(
-        F.count("*").alias("original_count"),
-        F.count_if(kept).alias("cleaned_count"),
-        F.count_if(~known).alias("unknown_customer_count"),
-        F.count_if(~F.coalesce(F.col("Quantity") > 0, F.lit(False))).alias("bad_quantity_count"),
-        F.count_if(~F.coalesce(F.col("UnitPrice") > 0, F.lit(False))).alias("bad_price_count"),
-        F.count_if(usable & ~dated).alias("bad_date_count"),
+    kept = "known AND dated" if on_bad_date == "drop" else "known"
+    totals = {
+        "original_count": "lines",
+        "cleaned_count": f"CASE WHEN {kept} THEN usable END",
+        "unknown_customer_count": "CASE WHEN NOT known THEN lines END",
+        "bad_quantity_count": "bad_quantity",
+        "bad_price_count": "bad_price",
+        "bad_date_count": "CASE WHEN known AND usable > 0 AND NOT dated THEN usable END",
+    }
+    counts = counted.agg(
+        *(F.expr(f"coalesce(sum({of}), 0L)").alias(name) for name, of in totals.items())
     )
     original, cleaned = F.col("original_count"), F.col("cleaned_count")
     return counts.select(
@@ -70,6 +83,19 @@ def cleaning_stats(
     )
 
 
+def cleaning_stats(
+    lines: DataFrame, *, formats: Sequence[str] = S.DATE_FORMATS, on_bad_date: str = "keep"
+) -> DataFrame:
+    """One row of counts before and after cleaning, from a single pass over the lines."""
+    date = parse_invoice_date("InvoiceDate", lines.schema["InvoiceDate"].dataType, formats)
+    counted = lines.select(
+        F.col("CustomerID").isNotNull().alias("known"),
+        date.isNotNull().alias("dated"),
+        *(counter.alias(name) for name, counter in line_counters().items()),
+    )
+    return sum_counters(counted, on_bad_date=on_bad_date)
+
+
 def preview(lines: DataFrame, rows: int = 10) -> DataFrame:
     """The first lines in the order of all their columns, so the choice is repeatable."""
     return lines.orderBy(*lines.columns).limit(rows)

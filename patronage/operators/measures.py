@@ -12,9 +12,9 @@ from patronage.functions.scalars import cents
 from patronage.staging import stage
 
 
-def snapshot(cleaned: DataFrame) -> DataFrame:
-    """The latest invoice date in the data, as one row."""
-    return cleaned.agg(F.max("InvoiceDate").alias("snapshot_date"))
+def snapshot(cleaned: DataFrame, date: str = "InvoiceDate") -> DataFrame:
+    """The latest date in cleaned lines or, from their `LastDate`, in invoices, as one row."""
+    return cleaned.agg(F.max(date).alias("snapshot_date"))
 
 
 def invoice_facts(cleaned: DataFrame) -> DataFrame:

@@ -76,6 +76,10 @@ def clean_rows_dated(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(tables.cleaning_stats(spark, folder, dirty=True), retention_rate=6)
+
+
+def clean_stats_from_lines(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(cleaning_stats(tables.lines(spark, folder, dirty=True)), retention_rate=6)
 
 
@@ -84,7 +88,7 @@ def preview_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(M.snapshot(clean(tables.lines(spark, folder, dirty=True))))
+    return _plain(M.snapshot(tables.invoices(spark, folder, dirty=True), "LastDate"))
 
 
 def rfm_base(spark: SparkSession, folder: str) -> DataFrame:
@@ -309,6 +313,7 @@ QUERIES: dict[str, Query] = {
     "clean_rows": clean_rows,
     "clean_rows_dated": clean_rows_dated,
     "clean_stats": clean_stats,
+    "clean_stats_from_lines": clean_stats_from_lines,
     "preview": preview_rows,
     "snapshot": snapshot,
     "rfm_base": rfm_base,

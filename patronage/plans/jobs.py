@@ -25,7 +25,7 @@ from patronage.sources.exports import (
     write_customers,
     write_report,
 )
-from patronage.staging import bounded_copy
+from patronage.staging import bounded_copy, stage
 
 
 @dataclass(frozen=True)
@@ -72,15 +72,17 @@ def _customer_table(
 
 
 def _customer_analysis(
-    lines: DataFrame, customers: DataFrame, on_bad_date: str
+    lines: DataFrame, cleaning: DataFrame | None, customers: DataFrame, on_bad_date: str
 ) -> CustomerAnalysis:
+    if cleaning is None:
+        cleaning = cleaning_stats(lines, on_bad_date=on_bad_date)
     measure_pairs = {
         "grid_rf": ("Recency", "Frequency", "Monetary"),
         "grid_fm": ("Frequency", "Monetary", "Recency"),
         "grid_rm": ("Recency", "Monetary", "Frequency"),
     }
     return CustomerAnalysis(
-        cleaning=cleaning_stats(lines, on_bad_date=on_bad_date),
+        cleaning=cleaning,
         preview=preview(clean(lines, on_bad_date=on_bad_date)),
         customers=customers,
         kpis=customer_kpis(customers),
@@ -102,7 +104,8 @@ def _cluster_analysis(
 ) -> ClusterAnalysis:
     clustering = cluster(customers, k)
     curve = cost_sweep(clustering.features, max_k) if max_k else None
-    labelled = scored(clustering.best_predictions)
+    # The charts pass over the labels many times; the model is applied once.
+    labelled = stage(scored(clustering.best_predictions), "labelled")
     named = bounded_copy(segments.name_groups(profile(labelled), rules=rules))
     return ClusterAnalysis(
         k=k,
@@ -133,15 +136,17 @@ def rfm_only(
     lines: DataFrame,
     *,
     invoices: DataFrame | None = None,
+    cleaning: DataFrame | None = None,
     on_bad_date: str = "keep",
     as_of: datetime.date | None = None,
 ) -> CustomerAnalysis:
     """Clean the lines and describe the customers.
 
-    A source that can sum its own lines per invoice more cheaply passes them as `invoices`.
+    A source that can sum or count its own lines more cheaply than this passes the results as
+    `invoices` and `cleaning`.
     """
     customers = _customer_table(lines, invoices, on_bad_date, as_of)
-    return _customer_analysis(lines, customers, on_bad_date)
+    return _customer_analysis(lines, cleaning, customers, on_bad_date)
 
 
 def clustering_only(
@@ -164,6 +169,7 @@ def full_analysis(
     lines: DataFrame,
     *,
     invoices: DataFrame | None = None,
+    cleaning: DataFrame | None = None,
     k: int = 4,
     max_k: int | None = 10,
     rules: S.SegmentRules = S.SegmentRules(),
@@ -174,7 +180,7 @@ def full_analysis(
     """Describe the customers and cluster them, from one customer table."""
     customers = _customer_table(lines, invoices, on_bad_date, as_of)
     return FullAnalysis(
-        customers=_customer_analysis(lines, customers, on_bad_date),
+        customers=_customer_analysis(lines, cleaning, customers, on_bad_date),
         clusters=_cluster_analysis(customers, k, max_k, rules, sample_rows),
     )
 

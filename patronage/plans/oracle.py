@@ -273,6 +273,21 @@ FROM pairs"""
 _CLEAN_COLUMNS = """"CustomerID", "InvoiceNo", "InvoiceDate", "Quantity", "UnitPrice",
   "TotalAmount\""""
 
+_CLEAN_STATS = f"""WITH {_DIRTY_CLEANED}
+        SELECT original_count, cleaned_count, original_count - cleaned_count AS removed_count,
+               round(CASE WHEN original_count > 0
+                          THEN CAST(cleaned_count AS DOUBLE) / original_count * 100
+                          ELSE 0 END, 6) AS retention_rate,
+               unknown_customer_count, bad_quantity_count, bad_price_count, bad_date_count
+        FROM (SELECT count(*) AS original_count,
+                     count(*) FILTER (WHERE "CustomerID" IS NULL) AS unknown_customer_count,
+                     count(*) FILTER (WHERE "Quantity" <= 0) AS bad_quantity_count,
+                     count(*) FILTER (WHERE "UnitPrice" <= 0) AS bad_price_count
+              FROM lines),
+             (SELECT count(*) AS cleaned_count,
+                     count(*) FILTER (WHERE "InvoiceDate" IS NULL) AS bad_date_count
+              FROM cleaned)"""
+
 _MEANS = ", ".join(f"""{_half_up(f'avg("{m}")', 4)} AS "{m}_mean\"""" for m in S.MEASURES)
 
 ORACLE: dict[str, str] = {
@@ -286,20 +301,8 @@ ORACLE: dict[str, str] = {
     "clean_rows": f"WITH {_DIRTY_CLEANED} SELECT {_CLEAN_COLUMNS} FROM cleaned",
     "clean_rows_dated": f"""WITH {_DIRTY_CLEANED}
         SELECT {_CLEAN_COLUMNS} FROM cleaned WHERE "InvoiceDate" IS NOT NULL""",
-    "clean_stats": f"""WITH {_DIRTY_CLEANED}
-        SELECT original_count, cleaned_count, original_count - cleaned_count AS removed_count,
-               round(CASE WHEN original_count > 0
-                          THEN CAST(cleaned_count AS DOUBLE) / original_count * 100
-                          ELSE 0 END, 6) AS retention_rate,
-               unknown_customer_count, bad_quantity_count, bad_price_count, bad_date_count
-        FROM (SELECT count(*) AS original_count,
-                     count(*) FILTER (WHERE "CustomerID" IS NULL) AS unknown_customer_count,
-                     count(*) FILTER (WHERE "Quantity" <= 0) AS bad_quantity_count,
-                     count(*) FILTER (WHERE "UnitPrice" <= 0) AS bad_price_count
-              FROM lines),
-             (SELECT count(*) AS cleaned_count,
-                     count(*) FILTER (WHERE "InvoiceDate" IS NULL) AS bad_date_count
-              FROM cleaned)""",
+    "clean_stats": _CLEAN_STATS,
+    "clean_stats_from_lines": _CLEAN_STATS,
     "preview": f"""WITH {_DIRTY_CLEANED}
         SELECT {_CLEAN_COLUMNS} FROM (
           SELECT * FROM cleaned

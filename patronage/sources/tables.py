@@ -1,7 +1,7 @@
 """Transaction lines and invoices from order and line-item tables.
 
-`lines` gives one row per line. `invoices` gives the same data already summed to one row per
-invoice, with the sums made on the line items *before* they meet their orders: the join then
+`lines` gives one row per line. `invoices` and `cleaning_stats` give the same data already
+summed, with the sums made on the line items *before* they meet their orders: the join then
 carries one row per order, and an order that holds a large share of all lines is reduced on
 the map side instead of landing in one join task.
 
@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 
 from patronage import schema as S
 from patronage.functions.scalars import cents, line_amount, parse_invoice_date
-from patronage.operators.cleaning import ON_BAD_DATE, usable_line
+from patronage.operators.cleaning import (
+    ON_BAD_DATE,
+    line_counters,
+    sum_counters,
+    usable_line,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -95,6 +100,27 @@ def lines(
     return joined.withColumn("InvoiceNo", F.col("InvoiceNo").cast("string")).select(*columns)
 
 
+def cleaning_stats(
+    spark: SparkSession, folder: str, *, dirty: bool = False, on_bad_date: str = "keep"
+) -> DataFrame:
+    """Equal to `cleaning.cleaning_stats(lines(...))`, counting per order before the join."""
+    per_order = (
+        _items(spark, folder, dirty)
+        .withColumns(line_counters())
+        .groupBy("l_orderkey")
+        .agg(*(F.sum(name).alias(name) for name in line_counters()))
+    )
+    orders = _orders(spark, folder, dirty)
+    date = parse_invoice_date("InvoiceDate", orders.schema["InvoiceDate"].dataType)
+    orders = orders.select(
+        "InvoiceNo",
+        F.col("CustomerID").isNotNull().alias("known"),
+        date.isNotNull().alias("dated"),
+    )
+    counted = per_order.join(orders, F.col("l_orderkey") == F.col("InvoiceNo"))
+    return sum_counters(counted, on_bad_date=on_bad_date)
+
+
 def invoices(
     spark: SparkSession, folder: str, *, dirty: bool = False, on_bad_date: str = "keep"
 ) -> DataFrame:

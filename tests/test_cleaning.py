@@ -110,3 +110,11 @@ def test_filters_reach_the_scan(spark, medium):
     plan = tables.invoices(spark, medium)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,0.0)" in plan
     assert "l_comment" not in plan and "o_totalprice" not in plan
+
+
+@pytest.mark.parametrize("on_bad_date", ["keep", "drop"])
+@pytest.mark.parametrize("dirty", [False, True])
+def test_counts_before_the_join_equal_counts_after(spark, small, dirty, on_bad_date):
+    early = tables.cleaning_stats(spark, small, dirty=dirty, on_bad_date=on_bad_date)
+    late = cleaning_stats(tables.lines(spark, small, dirty=dirty), on_bad_date=on_bad_date)
+    assert early.collect() == late.collect()

@@ -73,6 +73,7 @@ def analysis(spark, small):
     return jobs.full_analysis(
         tables.lines(spark, small),
         invoices=tables.invoices(spark, small),
+        cleaning=tables.cleaning_stats(spark, small),
         k=3,
         max_k=5,
         rules=S.SegmentRules().scale_money(1000),
