@@ -96,6 +96,10 @@ def cleaning_stats(
     return sum_counters(counted, on_bad_date=on_bad_date)
 
 
-def preview(lines: DataFrame, rows: int = 10) -> DataFrame:
-    """The first lines in the order of all their columns, so the choice is repeatable."""
-    return lines.orderBy(*lines.columns).limit(rows)
+def preview(lines: DataFrame, rows: int = 10, *, ordered: bool = True) -> DataFrame:
+    """A few lines to look at.
+
+    In the order of all columns the choice is repeatable, but finding it takes a pass over
+    the data; unordered, only as much is read as it takes to fill the rows.
+    """
+    return (lines.orderBy(*lines.columns) if ordered else lines).limit(rows)

@@ -1,7 +1,8 @@
 """The three analyses a user runs, and their export.
 
-Every analysis reads the source twice at most: once to count what cleaning removes and once
-to build the customer table, which is staged. All later steps start from that table.
+Every analysis reads the whole source twice at most: once to count what cleaning removes, when
+that is asked for, and once to build the customer table, which is staged. All later steps start
+from that table.
 """
 
 from __future__ import annotations
@@ -83,7 +84,7 @@ def _customer_analysis(
     }
     return CustomerAnalysis(
         cleaning=cleaning,
-        preview=preview(clean(lines, on_bad_date=on_bad_date)),
+        preview=preview(clean(lines, on_bad_date=on_bad_date), ordered=False),
         customers=customers,
         kpis=customer_kpis(customers),
         charts={

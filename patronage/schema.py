@@ -53,6 +53,7 @@ HIGH_VALUE = "💰 High Value"
 UNNAMED_PREFIX = "📊 Cluster "
 
 
+# Limits of the segment ladder.
 @dataclass(frozen=True)
 class SegmentRules:
     """Limits of the segment ladder; every comparison is strict."""

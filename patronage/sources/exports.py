@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from patronage.operators.clustering import Clustering
 
+# Names of the exported files.
 CUSTOMERS_NAME = "customer_segmentation_results.csv"
 REPORT_NAME = "segmentation_summary.txt"
 

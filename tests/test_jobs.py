@@ -88,6 +88,8 @@ def test_full_analysis(analysis):
     assert clusters.profile.agg(F.sum("CustomerID_count")).first()[0] == total
     assert clusters.impact.first().customers == total
     assert clusters.unscaled.first()[0] == 0
+    assert customers.preview.count() == 10
+    assert customers.cleaning.first().removed_count == 0
     assert clusters.elbow["table"].count() == 4 and clusters.elbow["pick"].count() == 1
     names = {r.Segment_Name for r in clusters.profile.collect()}
     assert {r.Segment for r in clusters.segmented.collect()} == names
@@ -164,6 +166,16 @@ def test_staging_folder_comes_from_the_session(spark):
     assert staged.count() == 5
 
 
+def test_staged_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "staging_root", lambda session: str(tmp_path))
+    staging.stage(spark.range(5).toDF("x"), "first")
+    staging.stage(spark.range(5).toDF("x"), "second")
+    kept = tmp_path / "patronage" / "another-application"
+    kept.mkdir()
+    staging.drop_staged(spark)
+    assert [p.name for p in (tmp_path / "patronage").iterdir()] == [kept.name]
+
+
 class _Session:
     """A session on a cluster, or a local one, that names no folder."""
 

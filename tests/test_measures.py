@@ -4,6 +4,8 @@ import datetime as dt
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -173,3 +175,27 @@ def test_text_groups_and_a_null_group(spark):
         finish_rows=2,
     )
     assert {g: cut.id for (g, _, _), cut in cuts.items()} == {"it's": 27, "b\\": 28, None: 29}
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.one_of(
+            st.none(),
+            st.integers(-3, 3).map(float),
+            st.floats(allow_nan=False, allow_infinity=False),
+        ),
+        min_size=1,
+        max_size=60,
+    ),
+    st.integers(2, 6),
+)
+def test_tiles_of_any_values(spark, values, tiles):
+    rows = [(i * 7919 % 104729, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "CustomerID bigint, A double")
+    columns = tile_columns(df, [("A", tiles)], buckets=3, finish_rows=2)
+    ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0.0, r[0]))
+    borders = last_ranks(len(rows), tiles)
+    expected = {r[0]: 1 + sum(n > b for b in borders) for n, r in enumerate(ordered, 1)}
+    found = df.select("CustomerID", columns["A", tiles].alias("tile")).collect()
+    assert {r.CustomerID: r.tile for r in found} == expected
