@@ -64,7 +64,9 @@ def named(spark):
 def test_groups_are_named_by_label_not_position(spark, named):
     names = {r.prediction: r.Segment_Name for r in named.collect()}
     assert names == {0: S.VIP, 2: S.VIP, 3: S.INACTIVE, 5: S.UNNAMED_PREFIX + "5"}
-    customers = spark.createDataFrame([(n, n % 6) for n in range(12)], "CustomerID bigint, prediction int")
+    customers = spark.createDataFrame(
+        [(n, n % 6) for n in range(12)], "CustomerID bigint, prediction int"
+    )
     found = {r.prediction: r.Segment for r in G.attach_segments(customers, named).collect()}
     assert found == names | {1: S.UNNAMED_PREFIX + "1", 4: S.UNNAMED_PREFIX + "4"}
     assert G.attach_segments(customers, named).count() == 12
