@@ -9,8 +9,9 @@ smaller id. Strings are judged on the input and never cross documents.
 2. The *context* of an anchor is all that any string with this anchor can hold. Where a whole
    context is in an earlier document, everything in it goes. Copies collapse here, so what
    follows sees one document per context.
-3. Contexts left over that share an anchor with a different context are laid end to end per
-   block, and a suffix array of them, built by linear grouping (`suffixes`), brings equal strings
+3. A string with an anchor holds all of the first, the second or the third `probe` of the
+   anchor's context. Contexts left over that share a probe with a different context are laid end
+   to end per block, and a suffix array of them, built by linear grouping (`suffixes`), brings equal strings
    together; neighbours are compared byte by byte. One row per distinct string and block then
    meets the other blocks' rows by a 128-bit digest.
 
@@ -87,6 +88,21 @@ class _Batch:
         low = np.maximum(at - (self.width - self.core), self.start[doc])
         return low, np.minimum(at + self.width, self.end[doc])
 
+    def probes(self, at: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
+        """Hashes of what a string starting far, less far or not far before the anchor must hold.
+
+        Nought where the document is too short for such a string.
+        """
+        free = self.width - self.core
+        result = []
+        for k in range(3):  # strings that start more than k thirds, up to k + 1 thirds of `free` before
+            left, right = k * free // 3, free - (k + 1) * free // 3
+            low, high = at - left, at + self.core + right
+            fits = (low >= self.start[doc]) & (high <= self.end[doc])
+            hashed = splitmix(_hash.ranges(self.sums, np.where(fits, low, 0), np.where(fits, high, 0)))
+            result.append(np.where(fits, hashed >> np.uint64(33), 0).astype(np.int64))
+        return result
+
     def contexts(self, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
         low, high = self.bounds(at, doc)
         shape = ((at - low) * 1024 + (high - at)).astype(np.uint64)
@@ -152,12 +168,14 @@ def _context_rows(width: int, core: int):
         for doc_ids, _, b in _batches(pdf, width, core) if len(wanted) and len(pdf) else ():
             at = np.flatnonzero(wanted.get_indexer(_signed(b.key)) >= 0)
             context = b.contexts(b.anchor[at], b.doc[at])
-            parts.append((_signed(b.key[at]), _signed(context), doc_ids[b.doc[at]]))
+            probes = b.probes(b.anchor[at], b.doc[at])
+            parts.append((_signed(b.key[at]), _signed(context), doc_ids[b.doc[at]], *probes))
+        names = ("core", "context", "doc", "p0", "p1", "p2")
         if not parts:
-            return pd.DataFrame({"block": [], "core": [], "context": [], "doc": []}, dtype="int64")
-        cores, context, doc = map(np.concatenate, zip(*parts))
-        keep = _least_by([context], doc)
-        return pd.DataFrame({"block": np.int64(key[0]), "core": cores[keep], "context": context[keep], "doc": doc[keep]})
+            return pd.DataFrame({name: [] for name in ("block", *names)}, dtype="int64")
+        columns = dict(zip(names, map(np.concatenate, zip(*parts))))
+        keep = _least_by([columns["context"]], columns["doc"])
+        return pd.DataFrame({"block": np.int64(key[0])} | {name: x[keep] for name, x in columns.items()})
 
     return contexts
 
@@ -283,17 +301,23 @@ def remove_repeats(
     )
     contexts = stage(
         blocks.groupBy("block").cogroup(repeated.groupBy("block"))
-        .applyInPandas(_context_rows(width, core), "block long, core long, context long, doc long"),
+        .applyInPandas(_context_rows(width, core), "block long, core long, context long, doc long, p0 int, p1 int, p2 int"),
         "contexts",
     )
     least = contexts.groupBy("context").agg(F.min("doc").alias("least"))
-    several = stage(
-        contexts.groupBy("core").agg(F.min("context").alias("a"), F.max("context").alias("z"))
-        .where("a <> z").select("core", F.lit(True).alias("many")),
-        "several",
+    several = contexts.groupBy("core").agg(F.min("context").alias("a"), F.max("context").alias("z")).where("a <> z")
+    probes = contexts.join(several.select("core"), "core", "left_semi").select(
+        "core", "context", F.posexplode(F.array("p0", "p1", "p2")).alias("part", "probe")
+    ).where("probe <> 0")
+    probes = stage(probes, "probes")
+    alike = stage(
+        probes.groupBy("core", "part", "probe").agg(F.min("context").alias("a"), F.max("context").alias("z"))
+        .where("a <> z").drop("a", "z"),
+        "alike",
     )
+    many = probes.join(alike, ["core", "part", "probe"]).select("context", F.lit(True).alias("many")).distinct()
     known = (
-        contexts.join(several, "core", "left").drop("core").join(least, "context")
+        contexts.select("block", "context").join(least, "context").join(many, "context", "left")
         .select("block", "context", "least", F.coalesce("many", F.lit(False)).alias("many"))
     )
     strings = stage(
