@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from patronage.llm.blocks import ByteHash, slices, splitmix, stage_blocks
 from patronage.staging import stage
 
-ORDER = 4
+ORDER = 5
 END = 10
 BATCH_BYTES = 1 << 20
 _hash = ByteHash(41)

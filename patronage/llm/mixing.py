@@ -168,3 +168,39 @@ def _held(at: Column, block_words: int) -> Column:
 
 def _chosen(block: Column) -> Column:
     return ((block + F.col("r_") % F.col("of_")) * F.col("m_")) % F.col("of_") < F.col("m_")
+
+
+def mixture(docs: DataFrame, **settings) -> DataFrame:
+    """The mixture as rows of `docs`: each document whole once per pass, then its chosen words.
+
+    Chosen words that follow each other become one shorter document with the words joined by a
+    space. `n_chars`, where there is such a column, is that of the shorter text.
+    """
+    block = settings.get("block_words", 128)
+    columns = [c for c in docs.columns if c not in ("doc_id", "source")]
+    rows = mix(docs, keep=tuple(columns), **settings)
+    first, last = F.floor(F.col("begin") / block), F.floor((F.col("begin") + F.col("size") - 1) / block)
+    blocks = F.when((F.col("size") > 0) & (F.col("m_") > 0), F.filter(F.sequence(first, last), _chosen)).otherwise(
+        F.array().cast("array<bigint>")
+    )
+    # runs of blocks: a run starts where the block before is not chosen and ends likewise
+    rows = rows.withColumn("blocks_", blocks)
+    starts = F.filter("blocks_", lambda b: ~F.array_contains("blocks_", b - 1))
+    ends = F.filter("blocks_", lambda b: ~F.array_contains("blocks_", b + 1))
+    spans = F.transform(
+        F.arrays_zip(starts.alias("a"), ends.alias("z")),
+        lambda s: F.struct(
+            (F.greatest(s["a"] * block, F.col("begin")) - F.col("begin")).alias("low"),
+            (F.least((s["z"] + 1) * block, F.col("begin") + F.col("size")) - F.col("begin")).alias("high"),
+        ),
+    )
+    whole = F.struct(F.lit(-1).cast("long").alias("low"), F.lit(-1).cast("long").alias("high"))
+    rows = rows.withColumn("span_", F.explode(F.concat(F.array_repeat(whole, F.col("passes").cast("int")), spans)))
+    words_ = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    part = F.array_join(
+        F.slice(words_, (F.col("span_.low") + 1).cast("int"), (F.col("span_.high") - F.col("span_.low")).cast("int")), " "
+    )
+    rows = rows.withColumn("text", F.when(F.col("span_.low") < 0, F.col("text")).otherwise(part))
+    if "n_chars" in columns:
+        rows = rows.withColumn("n_chars", F.when(F.col("span_.low") < 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return rows.select(*docs.columns)

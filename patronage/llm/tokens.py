@@ -16,9 +16,11 @@ Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -74,6 +76,62 @@ def _encoder(path: str):
     return sliced
 
 
+#: Words that a task remembers the ids of; beyond that it forgets all and starts anew.
+KNOWN_WORDS = 600_000
+
+
+def _word_encoder(path: str):
+    """As `_encoder`, for a tokenizer with word ends that drops white space.
+
+    There the ids of a text are those of its words one after the other, so each distinct word is
+    encoded once per task and memory. Words of letters go to the library many at a time and are
+    told apart by the ids that end a word; others go one by one.
+    """
+    from tokenizers import Tokenizer
+
+    sliced = _encoder(path)
+    model = Tokenizer.from_file(path)
+    ending = json.loads(model.to_str())["model"].get("end_of_word_suffix")
+    if not ending:
+        return sliced
+    ends = np.zeros(model.get_vocab_size() + 1, bool)
+    ends[[i for token, i in model.get_vocab().items() if token.endswith(ending)]] = True
+    known: dict[str, list[int]] = {}
+
+    def learn(words: set[str]) -> None:
+        # stops after a word are split off by the tokenizer too, and so is the case of its letters
+        stems = [w.rstrip(".,;:!?") for w in words]
+        stems = [x.lower() if x.isascii() else x for x in stems]
+        stops = [w[len(x) :] for w, x in zip(words, stems)]
+        wanted = set(stems).union(stops).difference(known)
+        wanted.discard("")
+        plain = [w for w in wanted if w.isalpha() and w.lower().isalpha()]
+        rest = list(wanted.difference(plain))
+        for i in range(0, len(plain), 2000):
+            part = plain[i : i + 2000]
+            ids = next(iter(sliced([" ".join(part)])))
+            cut = [0, *(np.flatnonzero(ends[ids]) + 1).tolist()]
+            if len(cut) == len(part) + 1 and cut[-1] == len(ids):
+                known.update((w, ids[x:y]) for w, x, y in zip(part, cut, cut[1:]))
+            else:
+                rest += part
+        known.update(zip(rest, sliced(rest)))
+        known[""] = []
+        known.update((w, known[x] + known[y] if y else known[x]) for w, x, y in zip(words, stems, stops))
+
+    def encode(texts: list[str]) -> Iterator[list[int]]:
+        words = [t.split() for t in texts]
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        new = set().union(*words).difference(known)
+        if new:
+            learn(new)
+        for own in words:
+            yield list(chain.from_iterable(map(known.__getitem__, own)))
+
+    return encode
+
+
 def _counter(name: str):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = _encoder(tokenizer_file(name))
@@ -145,7 +203,7 @@ PARQUET = {
 
 def _ids_of(name: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sliced = _encoder(tokenizer_file(name))
+        sliced = _word_encoder(tokenizer_file(name))
         for batch in batches:
             doc_id, texts = batch.column(0), batch.column(1).to_pylist()
             at = 0
@@ -167,7 +225,7 @@ def _ids_of(name: str, end_id: int):
 
 
 def write_token_ids(
-    docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 1, file_bytes: int = 32 << 20
+    docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json", end_id: int = 1, file_bytes: int = 64 << 20
 ) -> None:
     """Write the ids of `docs`; file names ascend with doc_id. `file_bytes` of text go to a file.
 
