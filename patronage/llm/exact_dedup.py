@@ -180,7 +180,7 @@ def _context_rows(width: int, core: int):
     return contexts
 
 
-_STRINGS = {"row": [], "low": [], "high": [], "one": [], "two": [], "doc": [], "more": []}
+_STRINGS = {"row": "int64", "low": "int64", "high": "int64", "one": "int64", "two": "int64", "doc": "int64", "more": "object"}
 
 
 def _string_rows(width: int, core: int):
@@ -222,7 +222,8 @@ def _string_rows(width: int, core: int):
                 piece_low.append(s - b.start[k])
             starts_at.append(ours - np.repeat(ours[new], np.diff(np.append(new, len(ours)))) + np.int64(0))
             total += len(new)
-        table = pd.DataFrame(out, columns=list(_STRINGS)) if out else pd.DataFrame(_STRINGS)
+        # typed also without rows: digests that pass through floats lose bits
+        table = pd.DataFrame(out, columns=list(_STRINGS)).astype(_STRINGS)
         if total:
             offsets = np.concatenate(starts_at)
             lengths = np.fromiter(map(len, pieces), np.int64, total)
@@ -239,7 +240,7 @@ def _string_rows(width: int, core: int):
             table = pd.concat([table, pd.DataFrame({
                 "row": row, "low": low, "high": low + width, "one": found["one"], "two": found["two"],
                 "doc": doc, "more": doc > least_doc[sets],
-            })])
+            }).astype(_STRINGS)])
         table.insert(0, "block", np.int64(key[0]))
         return table
 
