@@ -177,6 +177,8 @@ def token_counts(
     texts = docs.select(identity.alias("id"), digest.alias("digest"), body.alias("body"))
     new = texts.join(misses, ["id", "digest"]).select("digest", "body")
     new = new.mapInPandas(_counter(tokenizer), "digest binary, n_tokens long")
+    # rows that repeat both doc_id and text come here twice and are stored once
+    new = new.dropDuplicates(["digest"])
     new.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(folder)
     return keys.join(stored(), "digest").select("doc_id", "n_bytes", "n_tokens")
 
