@@ -18,22 +18,26 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     many neighbours is no hot group.
     """
     links = stage(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name
+        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), name
     )
     while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.where("u <> v").distinct(), name)
         small = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(small, "u")
-        new = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
-        new = stage(new.where("u <> v").distinct(), name)
+        joined = large.where("u <> v").join(small, "u")
+        pairs = F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v"))
+        )
+        links = stage(joined.select(F.inline(pairs)).where("u <> v").distinct(), name)
         # a forest of stars is the end: every node has one parent, and no parent has one
-        open_ = new.groupBy("u").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-        deep = new.join(new.select(F.col("u").alias("v")).distinct(), "v", "left_semi").limit(1).count()
-        links = new
-        if open_ <= 1 and not deep:
+        ends = links.select(
+            F.inline(F.array(
+                F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+            ))
+        ).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not ends.agg(F.count_if(F.expr("up > 1 or (up = 1 and down = 1)"))).first()[0]:
             break
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return stage(links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots), name)
