@@ -2,34 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage.functions.scalars import equal_width_bin
-from patronage.operators.order_stats import extents, is_above, quantiles, rows_at_ranks
-from patronage.staging import small_frame
+from patronage.operators.order_stats import Extent, extents, quantiles
+from patronage.operators.profile import mean
 
 BINS = 50
 FREQUENCY_BOUND = 100
 MONETARY_QUANTILE = 0.95
 
 
-def _range(low: float | None, high: float | None) -> tuple[float, float]:
+SALTS = 64
+
+
+def _range(extent: Extent) -> tuple[float, float]:
     """Bounds to cut into bins; a constant gets half a unit on either side."""
+    low, high = extent.low, extent.high
     if low is None:
         return 0.0, 1.0
     return (low - 0.5, high + 0.5) if low == high else (low, high)
 
 
+def _is_number(name: str) -> Column:
+    """Neither null nor NaN nor infinite: what fits into a bin."""
+    return F.col(name).cast("double").between(-1.7976931348623157e308, 1.7976931348623157e308)
+
+
 def histogram(rfm: DataFrame, column: str, *, bins: int = BINS) -> DataFrame:
     """Customers per equal-width bin, empty bins included."""
-    extent = extents(rfm, [column])[None, column]
-    low, high = _range(extent.low, extent.high)
+    low, high = _range(extents(rfm, [column])[column])
     width = (high - low) / bins
     counts = (
-        rfm.filter(F.col(column).isNotNull())
+        rfm.filter(_is_number(column))
         .groupBy(equal_width_bin(column, low, high, bins).alias("bin"))
         .agg(F.count("*").alias("customers"))
     )
@@ -51,15 +57,17 @@ def recency_histogram(rfm: DataFrame, *, bins: int = BINS) -> DataFrame:
     return histogram(rfm, "Recency", bins=bins)
 
 
-def frequency_histogram(rfm: DataFrame, *, bins: int = BINS) -> DataFrame:
-    """Only customers with fewer than 100 invoices."""
-    return histogram(rfm.filter(F.col("Frequency") < FREQUENCY_BOUND), "Frequency", bins=bins)
+def frequency_histogram(
+    rfm: DataFrame, *, bins: int = BINS, bound: int = FREQUENCY_BOUND
+) -> DataFrame:
+    """Only customers with fewer than `bound` invoices."""
+    return histogram(rfm.filter(F.col("Frequency") < bound), "Frequency", bins=bins)
 
 
 def quantile(rfm: DataFrame, column: str, probability: float) -> float | None:
     """Exact quantile of a column over all customers."""
-    wanted = {column: [probability]}
-    return quantiles(rfm, wanted, id_column="CustomerID").get((None, column, probability))
+    found = quantiles(rfm, {column: [probability]}, id_column="CustomerID").first()
+    return found["value"] if found else None
 
 
 def below_quantile(
@@ -84,37 +92,55 @@ def grid(
     """
     known = extents(customers, [x, y])
     cells = [
-        equal_width_bin(m, *_range(known[None, m].low, known[None, m].high), bins).alias(name)
+        equal_width_bin(m, *_range(known[m]), bins).alias(name)
         for m, name in ((x, "x_bin"), (y, "y_bin"))
     ]
     keys = [F.col(key)] if key else []
     return (
-        customers.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+        customers.filter(_is_number(x) & _is_number(y))
         .groupBy(*keys, *cells)
-        .agg(F.count("*").alias("customers"), F.avg(mean_of).alias(f"{mean_of}_mean"))
+        .agg(F.count("*").alias("customers"), mean(mean_of).alias(f"{mean_of}_mean"))
     )
 
 
+def cube(
+    customers: DataFrame,
+    measures: tuple[str, str, str] = ("Recency", "Frequency", "Monetary"),
+    *,
+    key: str | None = None,
+    bins: int = 20,
+) -> DataFrame:
+    """Customers per cell of three binned measures, every customer counted.
+
+    Feeds the three-axis view and parallel coordinates, per group when `key` splits them.
+    """
+    known = extents(customers, measures)
+    numbers = F.lit(True)
+    for m in measures:
+        numbers = numbers & _is_number(m)
+    cells = [
+        equal_width_bin(m, *_range(known[m]), bins).alias(name)
+        for m, name in zip(measures, ("x_bin", "y_bin", "z_bin"), strict=True)
+    ]
+    keys = [F.col(key)] if key else []
+    return customers.filter(numbers).groupBy(*keys, *cells).agg(F.count("*").alias("customers"))
+
+
 def box_statistics(customers: DataFrame, column: str, key: str = "prediction") -> DataFrame:
-    """Box plot numbers per group.
+    """Box plot numbers per group, for any number of groups.
 
     Quartiles are exact. Whiskers end at the outermost values within 1.5 interquartile ranges
     of the box, or at the box where there are none, and everything beyond counts as outlier.
     """
-    parts = (0.25, 0.5, 0.75)
-    found = quantiles(customers, {column: parts}, id_column="CustomerID", group=key)
-    boxes = []
-    for group in {g for g, _, _ in found}:
-        q1, median, q3 = (found[group, column, p] for p in parts)
-        if q1 is not None:
-            reach = 1.5 * (q3 - q1)
-            boxes.append((group, q1, median, q3, q1 - reach, q3 + reach))
-    key_type = customers.schema[key].dataType.simpleString()
-    box_schema = f"box {key_type}, q1 double, median double, q3 double, low double, high double"
-    # One row per group, and `quantiles` has bounded their number.
+    parts = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    found = quantiles(customers, {column: parts.values()}, id_column="CustomerID", group=key)
+    at = {name: F.max(F.when(F.col("probability") == p, F.col("value"))) for name, p in parts.items()}
+    boxes = found.groupBy("group").agg(*(value.alias(name) for name, value in at.items()))
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    boxes = boxes.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
+    # One row per group; the planner decides by their number how to join.
     boxed = customers.select(key, F.col(column).cast("double").alias("value")).join(
-        small_frame(customers.sparkSession, boxes, box_schema),
-        F.col(key).eqNullSafe(F.col("box")),
+        boxes, F.col(key).eqNullSafe(F.col("group"))
     )
     within = F.when(F.expr("value BETWEEN low AND high"), F.col("value"))
     return (
@@ -139,27 +165,21 @@ def box_statistics(customers: DataFrame, column: str, key: str = "prediction") -
 
 
 def point_sample(
-    customers: DataFrame, key: str = "prediction", rows: int = 1000, *, seed: int = 42
+    customers: DataFrame, rows: int, key: str = "prediction", *, seed: int = 42
 ) -> DataFrame:
-    """At most `rows` customers per group, the ones whose hashed ids come first.
+    """At most `rows` customers per group, and `group_customers`, the full size of the group.
 
-    The hash at the last rank to keep is looked up per group; keeping a row is then a
-    comparison, so no group is ever gathered in one task. The choice depends only on the ids.
+    The customers whose hashed ids come first are taken. Each group is ranked in salted parts
+    first, of which at most `rows` go on, so no group is gathered in one task. The choice depends
+    only on the ids.
     """
-    place = "sample_place"
-    hashed = customers.withColumn(place, F.xxhash64("CustomerID", F.lit(seed)).cast("double"))
-    known = extents(hashed, [place], key)
-    over = {group: [rows] for group, extent in _sizes(known) if extent > rows}
-    if not over:
-        return customers
-    ranks = {(group, place): wanted for group, wanted in over.items()}
-    cuts = rows_at_ranks(hashed, ranks, known, id_column="CustomerID", group=key)
-    keep = F.lit(True)
-    for (group, _, _), cut in cuts.items():
-        beyond = F.expr(is_above(hashed, place, "CustomerID", cut))
-        keep = keep & ~(F.col(key).eqNullSafe(F.lit(group)) & beyond)
-    return hashed.filter(keep).drop(place)
-
-
-def _sizes(known: dict) -> Iterable[tuple]:
-    return ((group, extent.rows) for (group, _), extent in known.items())
+    hashed = customers.withColumn("sample_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), "CustomerID")))
+    salt = F.pmod(F.hash("sample_hash"), F.lit(SALTS))
+    order = ["sample_hash", "CustomerID"]
+    for part in ([F.col(key), salt], [F.col(key)]):
+        place = F.row_number().over(Window.partitionBy(*part).orderBy(*order))
+        hashed = hashed.withColumn("sample_place", place).filter(F.col("sample_place") <= rows)
+    sizes = customers.groupBy(F.col(key).alias("sized")).agg(F.count("*").alias("group_customers"))
+    return hashed.join(sizes, F.col(key).eqNullSafe(F.col("sized"))).drop(
+        "sample_hash", "sample_place", "sized"
+    )

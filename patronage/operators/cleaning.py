@@ -13,9 +13,19 @@ from patronage.functions.scalars import line_amount, parse_invoice_date, percent
 ON_BAD_DATE = ("keep", "drop")
 
 
+# Cents of a larger amount do not fit a bigint.
+AMOUNT_BOUND = 9e16
+
+
+def _positive(name: str) -> Column:
+    """Above zero and a number: neither null nor NaN nor infinite."""
+    return (F.col(name) > 0) & (F.col(name) < float("inf"))
+
+
 def usable_line() -> Column:
-    """Positive quantity and price; nulls do not pass."""
-    return (F.col("Quantity") > 0) & (F.col("UnitPrice") > 0)
+    """Positive finite quantity and price whose product is representable; nulls do not pass."""
+    small = F.col("Quantity") * F.col("UnitPrice") < AMOUNT_BOUND / 100
+    return _positive("Quantity") & _positive("UnitPrice") & small
 
 
 def clean(
@@ -41,8 +51,8 @@ def clean(
 def line_counters() -> dict[str, Column]:
     """What one line adds to the cleaning statistics, apart from its customer and date."""
     usable = F.coalesce(usable_line(), F.lit(False))
-    bad_quantity = ~F.coalesce(F.col("Quantity") > 0, F.lit(False))
-    bad_price = ~F.coalesce(F.col("UnitPrice") > 0, F.lit(False))
+    bad_quantity = ~F.coalesce(_positive("Quantity"), F.lit(False))
+    bad_price = ~F.coalesce(_positive("UnitPrice"), F.lit(False))
     return {
         "lines": F.lit(1).cast("bigint"),
         "usable": usable.cast("bigint"),

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import copy_context
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import (
     GaussianMixture,
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 
 from patronage import schema as S
 from patronage.operators.features import scale
-from patronage.staging import bounded_copy
+from patronage.operators.profile import mean
+from patronage.staging import stage
 
 CURVE_SCHEMA = "k int, WSSSE double"
 Fit = Callable[[DataFrame, int], KMeansModel | GaussianMixtureModel]
@@ -71,13 +73,17 @@ def choose_model(kmeans_score: float | None, gmm_score: float | None) -> str:
     return S.MIXTURE_NAME
 
 
-def silhouette(labelled: DataFrame, label: str = "prediction") -> float | None:
+def silhouette(
+    labelled: DataFrame, label: str = "prediction", *, clusters: int | None = None
+) -> float | None:
     """Mean silhouette by squared Euclidean distance; None with fewer than two clusters.
 
     The evaluator sums per cluster and broadcasts one row per cluster, so no pair of
-    customers is ever compared.
+    customers is ever compared. A caller that knows the number of `clusters` saves a pass.
     """
-    if labelled.select(label).distinct().limit(2).count() < 2:
+    if clusters is None:
+        clusters = labelled.select(label).distinct().limit(2).count()
+    if clusters < 2:
         return None
     return ClusteringEvaluator(
         predictionCol=label,
@@ -105,12 +111,12 @@ def canonical_numbers(labelled: DataFrame) -> DataFrame:
     A model's own numbers depend on the seed and on how rows are partitioned.
     """
     means = labelled.groupBy("prediction").agg(
-        F.avg("Monetary").alias("monetary"), F.avg("Recency").alias("recency")
+        mean("Monetary").alias("monetary"), F.avg("Recency").alias("recency")
     )
     # One row per cluster, so the window is as small as k.
     order = Window.orderBy(F.desc("monetary"), "recency", "prediction")
-    return bounded_copy(
-        means.select("prediction", (F.row_number().over(order) - 1).alias("number"))
+    return stage(
+        means.select("prediction", (F.row_number().over(order) - 1).alias("number")), "numbers"
     )
 
 
@@ -119,37 +125,41 @@ def renumber(labelled: DataFrame, numbers: DataFrame | None) -> DataFrame:
     if numbers is None:
         return labelled
     joined = labelled.join(numbers, "prediction").withColumn("prediction", F.col("number"))
-    return joined.drop("number")
+    return joined.select(*labelled.columns)
 
 
 def label(rfm: DataFrame, fit: Fit, k: int = 4) -> DataFrame:
     """Scale the measures, fit one model and label the customers with canonical numbers."""
     features, _ = scale(rfm)
-    labelled = fit(features, k).transform(features)
+    labelled = stage(fit(features, k).transform(features), "labels")
     return renumber(labelled, canonical_numbers(labelled))
 
 
 def _in_threads(spark: SparkSession, tasks: list[Callable], parallelism: int) -> list:
     """Run independent fits side by side, so the gaps of one are filled by another."""
-    run = inheritable_thread_target(spark)(lambda task: task())
+    here = [copy_context() for _ in tasks]
+    run = inheritable_thread_target(spark)(lambda job: job[0].run(job[1]))
     with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        return pool.map(run, tasks)
+        return pool.map(run, list(zip(here, tasks)))
 
 
 def cluster(rfm: DataFrame, k: int = 4, *, canonical: bool = True) -> Clustering:
     """Scale the measures, fit both models side by side, score both.
 
-    Each fit keeps its own vectors cached while it iterates. Everything else, here and in what
-    is returned, reads the staged customer table and applies the models row by row.
-    `canonical=False` keeps the models' own cluster numbers.
+    Each model is applied once: its labels are staged, and scores, numbers and everything later
+    read them. Each fit keeps its own vectors cached while it iterates. `canonical=False` keeps
+    the models' own cluster numbers.
     """
+    if not rfm.limit(1).count():
+        raise ValueError("no customers to cluster")
     features, scaler = scale(rfm)
 
     def run(fit: Fit):
         model = fit(features, k)
-        labelled = model.transform(features)
-        score = silhouette(labelled)
-        return model, score, renumber(labelled, canonical_numbers(labelled) if canonical else None)
+        labelled = stage(model.transform(features), "labels")
+        numbers = canonical_numbers(labelled)
+        score = silhouette(labelled, clusters=numbers.count())
+        return model, score, renumber(labelled, numbers if canonical else None)
 
     (kmeans_model, kmeans_score, kmeans), (gmm_model, gmm_score, gmm) = _in_threads(
         rfm.sparkSession, [lambda: run(fit_kmeans), lambda: run(fit_mixture)], 2
@@ -166,14 +176,13 @@ def cluster(rfm: DataFrame, k: int = 4, *, canonical: bool = True) -> Clustering
     )
 
 
-def cost_sweep(features: DataFrame, max_k: int = 10, *, parallelism: int = 8) -> DataFrame:
+def cost_sweep(features: DataFrame, max_k: int = 10, *, parallelism: int = 2) -> DataFrame:
     """Within-cluster sum of squares of K-Means for k = 2..max_k, ordered by k.
 
-    The fits are independent. Each keeps its own cached vectors while it runs, which is much
-    faster to iterate over than a shared cached frame; `parallelism` bounds how many copies
-    there are at a time.
+    All fits iterate over one persisted frame of vectors, which spills to disk where memory is
+    short and is given up at the end; `parallelism` is how many fits share it at a time.
     """
-    vectors = features.select("features")
+    vectors = features.select("features").persist(StorageLevel.MEMORY_AND_DISK)
 
     def cost(k: int) -> tuple[int, float]:
         model = KMeans(
@@ -181,7 +190,10 @@ def cost_sweep(features: DataFrame, max_k: int = 10, *, parallelism: int = 8) ->
         ).fit(vectors)
         return k, float(model.summary.trainingCost)
 
-    # The largest k takes longest, so it starts first.
-    tasks = [lambda k=k: cost(k) for k in range(max_k, 1, -1)]
-    rows = sorted(_in_threads(features.sparkSession, tasks, parallelism))
+    try:
+        # The largest k takes longest, so it starts first.
+        tasks = [lambda k=k: cost(k) for k in range(max_k, 1, -1)]
+        rows = sorted(_in_threads(features.sparkSession, tasks, parallelism))
+    finally:
+        vectors.unpersist(blocking=True)
     return features.sparkSession.createDataFrame(rows, CURVE_SCHEMA)

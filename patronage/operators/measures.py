@@ -17,6 +17,12 @@ def snapshot(cleaned: DataFrame, date: str = "InvoiceDate") -> DataFrame:
     return cleaned.agg(F.max(date).alias("snapshot_date"))
 
 
+def snapshot_of(rfm: DataFrame) -> DataFrame:
+    """The date that a customer table counts its Recency back from, as one row."""
+    day = F.date_add(F.to_date("LastPurchaseDate"), F.col("Recency"))
+    return rfm.agg(F.max(day).alias("snapshot_date"))
+
+
 def invoice_facts(cleaned: DataFrame) -> DataFrame:
     """One row per customer and invoice.
 

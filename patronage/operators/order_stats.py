@@ -2,44 +2,39 @@
 
 Finding "the row at rank r of a measure" needs no global sort. A pass over the data counts
 rows in equal-width buckets between the bounds known so far; the bucket that holds rank r,
-with its own smallest and largest value, gives the next bounds. Counts are combined on the
-map side, so each pass shuffles and returns at most `buckets` rows per interval, however many
-customers there are. Equal values are told apart by customer id in the same way, so heavy
-ties narrow like anything else. Once every interval holds at most `finish_rows` rows, and all
-together at most `FINISH_TOTAL`, those are fetched and ranked. All measures, groups and ranks
-share the same passes.
+with its own smallest and largest value, gives the next bounds. Equal values are told apart by
+customer id in the same way, so heavy ties narrow like anything else. Once an interval holds at
+most `FINISH_ROWS` rows, or one tie, its rows are ranked on an executor, equal ones as one.
+
+Bounds, counts and ranks are tables from the first pass to the last: rows are joined to the open
+intervals of their group and measure, counts are combined on the map side, and the bucket of each
+rank is found by a running sum over the at most `buckets` rows of its interval. Nothing that grows
+with the groups, ranks or ties reaches the driver, which only asks whether an interval is open.
+
+The order is that of Spark: nulls, negative infinity, numbers, infinity, NaN.
 
 Each pass must see the same rows, so `df` should be a staged table or derived from one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Hashable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from math import isfinite
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 1024
-FINISH_ROWS = 2_000
-FINISH_TOTAL = 100_000
-MAX_GROUPS = 100
-
+from patronage.staging import stage
 
-@dataclass(frozen=True)
-class Cut:
-    """A row's place in the order (measure, tie, id); a null measure comes first."""
-
-    value: float | None
-    tie: int | None = None
-    id: Hashable = None
+BUCKETS = 1024
+FINISH_ROWS = 20_000
+INFINITY = float("inf")
 
 
 @dataclass(frozen=True)
 class Extent:
-    """How many rows of a group a measure has, and between which bounds."""
+    """How many rows a measure has, how many of them are null, and the bounds of its numbers."""
 
     rows: int
     nulls: int
@@ -47,25 +42,6 @@ class Extent:
     high: float | None
 
 
-@dataclass
-class _Interval:
-    """Rows of one group with the wanted ranks, counted from the interval's first row.
-
-    While `fixed` is false the bounds are on the measure; after that the measure is `value`
-    and the bounds are on the tie-break.
-    """
-
-    measure: str
-    group: Hashable
-    low: float | int
-    high: float | int
-    rows: int
-    wanted: dict[int, int]
-    fixed: bool = False
-    value: float | None = None
-    ties: tuple[int, int] | None = None
-
-
 def _is_whole(df: DataFrame, name: str) -> bool:
     return isinstance(
         df.schema[name].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
@@ -77,161 +53,200 @@ def tie_break(df: DataFrame, id_column: str) -> str:
     return f"cast(`{id_column}` AS bigint)" if _is_whole(df, id_column) else f"xxhash64(`{id_column}`)"
 
 
-def extents(
-    df: DataFrame, measures: Iterable[str], group: str | None = None
-) -> dict[tuple[Hashable, str], Extent]:
-    """Row count, null count and bounds of each measure per group, in one pass."""
+def _finite(value: Column) -> Column:
+    return F.when((value < INFINITY) & (value > -INFINITY), value)
+
+
+def extents(df: DataFrame, measures: Iterable[str]) -> dict[str, Extent]:
+    """Row count, null count and finite bounds of each measure, in one pass."""
     measures = list(measures)
-    aggregates = ["count(*) AS rows"]
+    aggregates = [F.count("*").alias("rows")]
     for m in measures:
-        value = f"cast(`{m}` AS double)"
+        value = F.col(m).cast("double")
         aggregates += [
-            f"count({value}) AS `{m}_count`",
-            f"min({value}) AS `{m}_low`",
-            f"max({value}) AS `{m}_high`",
+            F.count(value).alias(f"{m}_count"),
+            F.min(_finite(value)).alias(f"{m}_low"),
+            F.max(_finite(value)).alias(f"{m}_high"),
         ]
-    grouped = df.groupBy(group) if group else df.groupBy()
-    rows = grouped.agg(*map(F.expr, aggregates)).limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {group}")
-    known = {
-        (r[group] if group else None, m): Extent(
-            r["rows"], r["rows"] - r[f"{m}_count"], r[f"{m}_low"], r[f"{m}_high"]
-        )
-        for r in rows
+    r = df.agg(*aggregates).first()
+    return {
+        m: Extent(r["rows"], r["rows"] - r[f"{m}_count"], r[f"{m}_low"], r[f"{m}_high"])
         for m in measures
     }
-    for (_, m), extent in known.items():
-        if extent.low is not None and not (isfinite(extent.low) and isfinite(extent.high)):
-            raise ValueError(f"{m} holds values that are not finite")
-    return known
 
 
-def rows_at_ranks(
-    df: DataFrame,
-    ranks: Mapping[tuple[Hashable, str], Iterable[int]],
-    known: Mapping[tuple[Hashable, str], Extent],
-    *,
-    id_column: str,
-    group: str | None = None,
-    ties: bool = True,
-    buckets: int = BUCKETS,
-    finish_rows: int = FINISH_ROWS,
-) -> dict[tuple[Hashable, str, int], Cut]:
-    """The row at each 1-based rank of each (group, measure), nulls counted first.
+def place(value: Column) -> Column:
+    """Where a value stands among the kinds of values: null, -inf, number, inf, NaN."""
+    return (
+        F.when(value.isNull(), 0)
+        .when(F.isnan(value), 4)
+        .when(value == INFINITY, 3)
+        .when(value == -INFINITY, 1)
+        .otherwise(2)
+    )
 
-    `known` comes from `extents`. With `ties=False` only the value at the rank is wanted and
-    equal values are not told apart.
-    """
-    whole = _is_whole(df, id_column)
-    keys = _Keys(df, id_column, group, sorted({m for _, m in ranks}))
-    pending = [
-        interval
-        for (g, m), wanted in ranks.items()
-        for interval in _first_intervals(g, m, set(wanted), known[g, m])
-    ]
-    # At most one interval per wanted rank can be left at the end.
-    finish_rows = min(finish_rows, FINISH_TOTAL // max(1, sum(len(i.wanted) for i in pending)))
-    found: dict[tuple[Hashable, str, int], Cut] = {}
-    ready: list[_Interval] = []
-    while pending:
-        wide = []
-        for interval in pending:
-            resolved = _resolve(interval, ties, whole)
-            if resolved is not None:
-                found |= {(interval.group, interval.measure, r): resolved for r in interval.wanted}
-            elif interval.rows <= finish_rows or _is_narrow(interval):
-                ready.append(interval)
-            else:
-                wide.append(interval)
-        pending = _narrow(keys, wide, buckets) if wide else []
-    if ready:
-        found |= _finish(keys, ready)
-    return found
-
-
-def _first_intervals(
-    group: Hashable, measure: str, wanted: set[int], extent: Extent
-) -> list[_Interval]:
-    """Split the wanted ranks into those among the nulls and those among the values."""
-    among_nulls = {r: r for r in wanted if r <= extent.nulls}
-    among_values = {r: r - extent.nulls for r in wanted if r > extent.nulls}
-    intervals = []
-    if among_nulls:
-        whole_range = (-(2**63), 2**63 - 1)
-        intervals.append(
-            _Interval(
-                measure, group, *whole_range, extent.nulls, among_nulls, fixed=True, value=None
-            )
-        )
-    if among_values:
-        intervals.append(
-            _Interval(
-                measure, group, extent.low, extent.high, extent.rows - extent.nulls, among_values
-            )
+
+def _long(df: DataFrame, measures: list[str], id_column: str, group: str | None) -> DataFrame:
+    """One row per row and measure: group, measure, place, value if a number, tie-break, id."""
+    values = F.array(
+        *(
+            F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value"))
+            for m in measures
         )
-    return intervals
+    )
+    rows = df.select(
+        (F.col(group) if group else F.lit(0)).alias("group"),
+        F.expr(tie_break(df, id_column)).alias("tie"),
+        F.col(id_column).alias("id"),
+        F.explode(values).alias("v"),
+    )
+    value = F.col("v.value")
+    return rows.select(
+        "group", "v.measure", place(value).alias("place"), _finite(value).alias("value"), "tie", "id"
+    )
+
+
+_INTERVAL = ("group", "measure", "place", "low", "high", "first", "last", "fixed")
+
+
+def _counted() -> list[Column]:
+    return [
+        F.count("*").alias("rows"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.min("tie").alias("first"),
+        F.max("tie").alias("last"),
+    ]
 
 
-def _resolve(interval: _Interval, ties: bool, whole: bool) -> Cut | None:
-    """The cut, when the bounds leave only one; move on to the ties when they must decide."""
-    if not interval.fixed:
-        if interval.low != interval.high:
-            return None
-        if not ties:
-            return Cut(interval.low)
-        interval.fixed, interval.value = True, interval.low
-        interval.low, interval.high = interval.ties or (-(2**63), 2**63 - 1)
-    if not ties:
-        return Cut(interval.value)
-    if interval.low == interval.high and whole:
-        return Cut(interval.value, interval.low, interval.low)
-    return None
+def _same(one: Iterable[str], suffix: str) -> Column:
+    test = F.lit(True)
+    for name in one:
+        test = test & F.col(name).eqNullSafe(F.col(f"{name}{suffix}"))
+    return test
 
 
-def _is_narrow(interval: _Interval) -> bool:
-    """Tie-breaks too close together for a bucket of their own: a few thousand ids at most."""
-    return interval.fixed and float(interval.low) == float(interval.high)
+def counts(df: DataFrame, measures: Iterable[str], id_column: str, group: str | None = None) -> DataFrame:
+    """Rows of each (group, measure, place) and how many rows come before them, staged."""
+    rows = _long(df, list(measures), id_column, group)
+    ahead = Window.partitionBy("group", "measure").orderBy("place").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    counted = rows.groupBy("group", "measure", "place").agg(*_counted())
+    # At most five places per group and measure.
+    return stage(counted.withColumn("before", F.coalesce(F.sum("rows").over(ahead), F.lit(0))), "counts")
 
 
-class _Keys:
-    """A frame of just the columns that passes work on, and SQL over their short names.
+def rows_at_ranks(
+    df: DataFrame,
+    ranks: DataFrame,
+    known: DataFrame,
+    *,
+    id_column: str,
+    group: str | None = None,
+    ties: bool = True,
+    buckets: int = BUCKETS,
+    finish_rows: int = FINISH_ROWS,
+) -> DataFrame:
+    """(group, measure, rank, value, tie, id) for each row of `ranks` (group, measure, rank).
 
-    Bounds differ from pass to pass, so tests are written as SQL text: one call per pass
-    instead of one per column operation.
+    Ranks count from 1. `known` comes from `counts`. With `ties=False` only the value at the rank
+    is wanted, equal values are not told apart, and `tie` and `id` mean nothing.
     """
+    measures = [r[0] for r in known.select("measure").distinct().collect()]
+    rows = _long(df, measures, id_column, group)
+    ranks = ranks.select(F.col("group").alias("group_"), F.col("measure").alias("measure_"), "rank")
+    open_ = known.join(ranks, _same(("group", "measure"), "_")).where(
+        "before < rank AND rank <= before + rows"
+    )
+    open_ = open_.select(
+        *_INTERVAL[:-1],
+        (F.expr("place <> 2") | (F.col("low") == F.col("high"))).alias("fixed"),
+        "rank",
+        (F.col("rank") - F.col("before")).alias("at"),
+        "rows",
+    )
+    ready = None
+    few = F.col("rows") <= finish_rows
+    done = few | (F.col("fixed") & (F.lit(not ties) | (F.col("first") == F.col("last"))))
+    while True:
+        open_ = stage(open_, "intervals")
+        ended = open_.where(done)
+        ready = ended if ready is None else ready.unionByName(ended)
+        open_ = open_.where(~done)
+        if not open_.limit(1).count():
+            return _read_off(rows, ready, ties, df.schema[id_column].dataType)
+        open_ = _narrowed(rows, open_, buckets)
+
+
+def _inside(suffix: str) -> Column:
+    """Whether a row of a group, measure and place lies in an interval of them."""
+    by_tie = F.col("value").eqNullSafe(F.col(f"low{suffix}")) & F.col("tie").between(
+        F.col(f"first{suffix}"), F.col(f"last{suffix}")
+    )
+    by_value = F.col("value").between(F.col(f"low{suffix}"), F.col(f"high{suffix}"))
+    return F.when(F.col(f"fixed{suffix}"), by_tie).otherwise(by_value)
+
+
+def _narrowed(rows: DataFrame, open_: DataFrame, buckets: int) -> DataFrame:
+    """One counting pass; the buckets that hold the ranks become the new intervals."""
+    intervals = open_.select(*(F.col(c).alias(f"{c}_i") for c in _INTERVAL)).distinct()
+    joined = rows.join(intervals, _same(("group", "measure", "place"), "_i") & _inside("_i"))
+    # Dividing first keeps the width finite for bounds at both ends of the doubles.
+    step = f"greatest(high_i / {buckets} - low_i / {buckets}, 5e-324D)"
+    by_value = f"least((value - low_i) / {step}, {buckets - 1}D)"
+    wide = "double(last_i) - double(first_i)"
+    # Far-apart ties are divided as doubles; near ones exactly, as whole numbers.
+    by_tie = (
+        f"CASE WHEN {wide} > 1e15D THEN least((double(tie) - double(first_i)) / (({wide}) / {buckets}), {buckets - 1}D)"
+        f" ELSE double((tie - first_i) div ((last_i - first_i) div {buckets} + 1)) END"
+    )
+    bucket = F.expr(f"cast(floor(CASE WHEN fixed_i THEN {by_tie} ELSE {by_value} END) AS int)")
+    keys = [f"{c}_i" for c in _INTERVAL]
+    filled = joined.withColumn("bucket", bucket).groupBy(*keys, "bucket").agg(*_counted())
+    # At most `buckets` rows per interval.
+    ahead = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    filled = filled.withColumn("before", F.coalesce(F.sum("rows").over(ahead), F.lit(0)))
+    wanted = open_.select(*_INTERVAL, "rank", "at")
+    filled = filled.select(*keys, "before", *(F.col(c).alias(f"{c}_b") for c in ("rows", "low", "high", "first", "last")))
+    held = wanted.join(filled, _same(_INTERVAL, "_i") & F.expr("before < at AND at <= before + rows_b"))
+    low = F.when(F.col("fixed"), F.col("low")).otherwise(F.col("low_b"))
+    high = F.when(F.col("fixed"), F.col("high")).otherwise(F.col("high_b"))
+    return held.select(
+        "group",
+        "measure",
+        "place",
+        low.alias("low"),
+        high.alias("high"),
+        F.col("first_b").alias("first"),
+        F.col("last_b").alias("last"),
+        (F.col("fixed") | (low == high)).alias("fixed"),
+        "rank",
+        (F.col("at") - F.col("before")).alias("at"),
+        F.col("rows_b").alias("rows"),
+    )
 
-    def __init__(self, df: DataFrame, id_column: str, group: str | None, measures: Iterable[str]):
-        self.group = group
-        self.value = {m: f"v{n}" for n, m in enumerate(measures)}
-        self.frame = df.selectExpr(
-            *(f"cast(`{m}` AS double) AS {v}" for m, v in self.value.items()),
-            f"{tie_break(df, id_column)} AS tie",
-            f"`{id_column}` AS id",
-            *([f"`{group}` AS g"] if group else []),
-        )
 
-    def inside(self, interval: _Interval) -> str:
-        value = self.value[interval.measure]
-        low, high = _literal(interval.low), _literal(interval.high)
-        tests = [f"g <=> {_literal(interval.group)}"] if self.group else []
-        if interval.fixed:
-            tests += [f"{value} <=> {_literal(interval.value)}", f"tie BETWEEN {low} AND {high}"]
-        else:
-            tests.append(f"{value} BETWEEN {low} AND {high}")
-        return " AND ".join(tests)
-
-    def bucket(self, interval: _Interval, buckets: int) -> str:
-        key = "cast(tie AS double)" if interval.fixed else self.value[interval.measure]
-        low, high = float(interval.low), float(interval.high)
-        # Dividing first keeps the width finite for bounds at both ends of the doubles.
-        step = max(high / buckets - low / buckets, 5e-324)
-        place = f"floor(({key} - {_literal(low)}) / {_literal(step)})"
-        return f"cast(least({place}, {buckets - 1}) AS int)"
-
-
-def _literal(value: Hashable) -> str:
-    """SQL text of a bound or group value, exact for numbers."""
+def _read_off(rows: DataFrame, ready: DataFrame, ties: bool, id_type: T.DataType) -> DataFrame:
+    """Rank what is left of each interval; rows that are alike in what counts are one."""
+    value = F.expr(
+        "CASE place WHEN 0 THEN NULL WHEN 1 THEN double('-Infinity') WHEN 3 THEN double('Infinity')"
+        " WHEN 4 THEN double('NaN') ELSE value END"
+    )
+    own = ["value", "tie", "id"] if ties else ["value"]
+    sought = ready.select(*(F.col(c).alias(f"{c}_f") for c in _INTERVAL)).distinct()
+    keys = [f"{c}_f" for c in _INTERVAL]
+    inside = rows.join(sought, _same(("group", "measure", "place"), "_f") & _inside("_f"))
+    alike = inside.groupBy(*keys, *own).agg(F.count("*").alias("n"))
+    alike = alike.withColumn("upto", F.sum("n").over(Window.partitionBy(*keys).orderBy(*own)))
+    held = ready.join(alike, _same(_INTERVAL, "_f") & F.expr("upto - n < at AND at <= upto"))
+    unknown = {"tie": F.lit(None).cast("bigint"), "id": F.lit(None).cast(id_type)}
+    rest = [F.col(c) if c in own else unknown[c].alias(c) for c in ("tie", "id")]
+    return held.select("group", "measure", "rank", value.alias("value"), *rest)
+
+
+def literal(value) -> str:
+    """SQL text of a number or text, exact."""
     if value is None:
         return "NULL"
     if isinstance(value, bool):
@@ -239,95 +254,21 @@ def _literal(value: Hashable) -> str:
     if isinstance(value, int):
         return f"{value}L"
     if isinstance(value, float):
-        return f"{value!r}D"
-    if isinstance(value, str):
-        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-        return f"'{escaped}'"
-    raise TypeError(f"cannot group by values of type {type(value).__name__}")
-
-
-def _candidates(keys: _Keys, intervals: list[_Interval], buckets: int | None = None) -> DataFrame:
-    """One row per row and interval it lies in; most rows lie in none after the first pass."""
-    members = []
-    for number, interval in enumerate(intervals):
-        fields = f"'interval', {number}, 'value', {keys.value[interval.measure]}, 'tie', tie"
-        fields += f", 'bucket', {keys.bucket(interval, buckets)}" if buckets else ", 'id', id"
-        members.append(f"CASE WHEN {keys.inside(interval)} THEN named_struct({fields}) END")
-    return keys.frame.selectExpr(f"inline(array_compact(array({', '.join(members)})))")
-
-
-def _narrow(keys: _Keys, intervals: list[_Interval], buckets: int) -> list[_Interval]:
-    """One counting pass; the buckets that hold wanted ranks become the new intervals."""
-    histogram = (
-        _candidates(keys, intervals, buckets)
-        .groupBy("interval", "bucket")
-        .agg(
-            F.count("*").alias("rows"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-            F.min("tie").alias("first_tie"),
-            F.max("tie").alias("last_tie"),
-        )
-        .collect()
-    )
-    narrowed = []
-    for number, interval in enumerate(intervals):
-        before = 0
-        filled = sorted((h for h in histogram if h["interval"] == number), key=lambda h: h["bucket"])
-        for h in filled:
-            inside = {
-                rank: place - before
-                for rank, place in interval.wanted.items()
-                if before < place <= before + h["rows"]
-            }
-            before += h["rows"]
-            if not inside:
-                continue
-            tie_bounds = (h["first_tie"], h["last_tie"])
-            low, high = tie_bounds if interval.fixed else (h["low"], h["high"])
-            narrowed.append(
-                _Interval(
-                    interval.measure,
-                    interval.group,
-                    low,
-                    high,
-                    h["rows"],
-                    inside,
-                    interval.fixed,
-                    interval.value,
-                    tie_bounds,
-                )
-            )
-    return narrowed
-
-
-def _finish(
-    keys: _Keys, intervals: list[_Interval]
-) -> dict[tuple[Hashable, str, int], Cut]:
-    """Fetch the few rows left in each interval, whose number is known, and read off the ranks."""
-    left: list[list[Cut]] = [[] for _ in intervals]
-    for r in _candidates(keys, intervals).collect():
-        left[r["interval"]].append(Cut(r["value"], r["tie"], r["id"]))
-    found = {}
-    for interval, rows in zip(intervals, left, strict=True):
-        # Values may be null, but then they are null throughout the interval.
-        rows.sort(key=lambda c: (0.0 if c.value is None else c.value, c.tie, c.id))
-        for rank, place in interval.wanted.items():
-            found[interval.group, interval.measure, rank] = rows[place - 1]
-    return found
-
-
-def is_above(df: DataFrame, measure: str, id_column: str, cut: Cut) -> str:
-    """SQL test, never null, of whether a row comes after the cut."""
-    value, tie = f"cast(`{measure}` AS double)", tie_break(df, id_column)
-    later = f"{tie} > {_literal(cut.tie)}"
+        return f"double('{value!r}')"
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def is_above(df: DataFrame, measure: str, id_column: str, value: float | None, tie: int, id) -> str:
+    """SQL test, never null, of whether a row comes after the one with these three."""
+    own, own_tie = f"cast(`{measure}` AS double)", tie_break(df, id_column)
+    later = f"{own_tie} > {literal(tie)}"
     if not _is_whole(df, id_column):
-        same = f"{tie} = {_literal(cut.tie)}"
-        later = f"({later} OR ({same} AND `{id_column}` > {_literal(cut.id)}))"
-    if cut.value is None:
-        return f"({value} IS NOT NULL OR {later})"
-    at = _literal(cut.value)
-    return f"coalesce({value} > {at} OR ({value} = {at} AND {later}), false)"
+        later = f"({later} OR ({own_tie} = {literal(tie)} AND `{id_column}` > {literal(id)}))"
+    if value is None:
+        return f"({own} IS NOT NULL OR {later})"
+    at = literal(value)
+    return f"coalesce({own} > {at} OR ({own} = {at} AND {later}), false)"
 
 
 def quantiles(
@@ -338,39 +279,40 @@ def quantiles(
     group: str | None = None,
     buckets: int = BUCKETS,
     finish_rows: int = FINISH_ROWS,
-) -> dict[tuple[Hashable, str, float], float | None]:
-    """Exact quantiles by linear interpolation between the two nearest rows, nulls ignored.
+) -> DataFrame:
+    """(group, measure, probability, value): exact quantiles by linear interpolation.
 
-    Returns {(group, measure, probability): value}; the value is None when a group has no
-    non-null rows.
+    Nulls are ignored; a group without other rows has no quantile. `group` is 0 without groups.
     """
-    known = extents(df, measure_probabilities, group)
-    places: dict[tuple[Hashable, str, float], tuple[int, int, float]] = {}
-    ranks: dict[tuple[Hashable, str], set[int]] = {}
-    result: dict[tuple[Hashable, str, float], float | None] = {}
-    for (g, m), extent in known.items():
-        valued = extent.rows - extent.nulls
-        for p in measure_probabilities[m]:
-            if valued == 0:
-                result[g, m, p] = None
-                continue
-            position = (valued - 1) * p
-            lower = int(position)
-            upper = min(lower + 1, valued - 1)
-            first = extent.nulls + 1
-            places[g, m, p] = (first + lower, first + upper, position - lower)
-            ranks.setdefault((g, m), set()).update((first + lower, first + upper))
-    cuts = rows_at_ranks(
-        df,
-        ranks,
-        known,
-        id_column=id_column,
-        group=group,
-        ties=False,
-        buckets=buckets,
-        finish_rows=finish_rows,
+    known = counts(df, measure_probabilities, id_column, group)
+    wanted = df.sparkSession.createDataFrame(
+        [(m, float(p)) for m, ps in measure_probabilities.items() for p in ps],
+        "measure string, probability double",
+    )
+    sizes = known.groupBy("group", "measure").agg(
+        F.sum("rows").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("place") == 0, F.col("rows"))), F.lit(0)).alias("nulls"),
     )
-    for (g, m, p), (lower, upper, weight) in places.items():
-        below, above = cuts[g, m, lower].value, cuts[g, m, upper].value
-        result[g, m, p] = below + (above - below) * weight
-    return result
+    position = (F.col("rows") - F.col("nulls") - 1) * F.col("probability")
+    places = sizes.where("rows > nulls").join(wanted, "measure").select(
+        "group", "measure", "probability", "rows",
+        (F.floor(position) + F.col("nulls") + 1).alias("lower"),
+        (position - F.floor(position)).alias("weight"),
+    )
+    places = stage(places.withColumn("upper", F.least(F.col("lower") + 1, "rows")).drop("rows"), "places")
+    ranks = places.select("group", "measure", F.explode(F.array("lower", "upper")).alias("rank")).distinct()
+    cuts = rows_at_ranks(
+        df, ranks, known, id_column=id_column, group=group, ties=False, buckets=buckets, finish_rows=finish_rows
+    )
+    cuts = stage(cuts, "cuts")
+    result = places
+    for end in ("lower", "upper"):
+        own = cuts.select(
+            F.col("group").alias("group_c"), F.col("measure").alias("measure_c"),
+            F.col("rank").alias(f"{end}_c"), F.col("value").alias(f"{end}_value"),
+        )
+        result = result.join(own, _same(("group", "measure"), "_c") & (F.col(end) == F.col(f"{end}_c")))
+        result = result.drop("group_c", "measure_c", f"{end}_c")
+    between = F.col("lower_value") + (F.col("upper_value") - F.col("lower_value")) * F.col("weight")
+    value = F.when(F.col("lower_value") == F.col("upper_value"), F.col("lower_value")).otherwise(between)
+    return result.select("group", "measure", "probability", value.alias("value"))

@@ -31,7 +31,7 @@ def customer_kpis(rfm: DataFrame) -> DataFrame:
 def profile(customers: DataFrame, key: str = "prediction") -> DataFrame:
     """Statistics per group, rounded half-up to two places.
 
-    The sample standard deviation of a single customer is null.
+    The sample standard deviation of a single customer is null. Rows come in the order of `key`.
     """
     statistics = {"mean": mean, "std": F.stddev_samp, "min": F.min, "max": F.max}
     return customers.groupBy(key).agg(
@@ -45,7 +45,7 @@ def profile(customers: DataFrame, key: str = "prediction") -> DataFrame:
             F.round(F.avg(m), 2).alias(f"{m}_mean")
             for m in ("TotalTransactions", "AvgTransactionValue", "RFM_Score")
         ),
-    )
+    ).orderBy(key)
 
 
 def group_sizes(customers: DataFrame, key: str = "prediction") -> DataFrame:

@@ -11,7 +11,7 @@ from patronage import schema as S
 from patronage.operators.order_stats import (
     BUCKETS,
     FINISH_ROWS,
-    extents,
+    counts,
     is_above,
     rows_at_ranks,
 )
@@ -34,29 +34,35 @@ def tile_columns(
     """`ntile(n)` over (measure ascending nulls first, id) for each wanted (measure, n).
 
     Only the rows at the tile borders are looked up, all in the same passes; a tile number is
-    then one more than the borders a row lies above, so the rows themselves never move.
+    then one more than the borders a row lies above, so the rows themselves never move. The driver
+    gets the n - 1 borders that the caller asks for.
     """
     wanted = list(wanted)
-    known = extents(df, sorted({m for m, _ in wanted}))
-    total = next(iter(known.values())).rows
-    if total == 0:
+    known = counts(df, sorted({m for m, _ in wanted}), id_column)
+    total = known.where(F.col("measure") == (wanted[0][0] if wanted else "")).agg(F.sum("rows")).first()[0]
+    if not total:
         return {key: F.lit(1) for key in wanted}
-    ranks: dict[tuple[None, str], set[int]] = {}
+    ranks = {(0, m, rank) for m, tiles in wanted for rank in last_ranks(total, tiles) if rank > 0}
+    columns: dict[tuple[str, int], Column] = {}
+    cuts = {}
+    if ranks:
+        sought = df.sparkSession.createDataFrame(sorted(ranks), "group int, measure string, rank long")
+        found = rows_at_ranks(
+            df, sought, known, id_column=id_column, buckets=buckets, finish_rows=finish_rows
+        ).collect()
+        cuts = {(r["measure"], r["rank"]): (r["value"], r["tie"], r["id"]) for r in found}
     for measure, tiles in wanted:
-        ranks.setdefault((None, measure), set()).update(last_ranks(total, tiles))
-    cuts = rows_at_ranks(
-        df, ranks, known, id_column=id_column, buckets=buckets, finish_rows=finish_rows
-    )
-    columns = {}
-    for measure, tiles in wanted:
-        borders = (cuts[None, measure, rank] for rank in last_ranks(total, tiles))
-        steps = (f"int({is_above(df, measure, id_column, cut)})" for cut in borders)
+        # Without rows up to a border every row lies above it.
+        steps = (
+            f"int({is_above(df, measure, id_column, *cuts[measure, rank])})" if rank else "1"
+            for rank in last_ranks(total, tiles)
+        )
         columns[measure, tiles] = F.expr(" + ".join(["1", *steps]))
     return columns
 
 
 def quartiles(rfm: DataFrame, **limits: int) -> DataFrame:
-    """Add the quartile of each measure and the combined score.
+    """Add the quartile of each measure and the combined score; columns are named after the measure.
 
     Recency ranks ascending, so `R_Quartile` 1 is the most recent, while 4 is the best for
     `F_Quartile` and `M_Quartile`. Ties are decided by CustomerID.

@@ -13,44 +13,33 @@ from patronage.functions.scalars import (
     segment_name,
 )
 from patronage.operators.profile import mean
-from patronage.staging import small_frame
 
-# Suggested actions per kind of segment, in order of priority.
+# A short default per kind of segment; callers pass their own catalogue.
 ACTIONS = {
     "VIP": (
-        "Exclusive loyalty programme with special rewards",
-        "Early access to new products and pre-orders",
-        "Dedicated customer service with priority support",
-        "Invitations to exclusive events and product previews",
-        "Full personalisation with premium recommendations",
+        "Hold stock and service capacity back for these accounts",
+        "Ask before the assortment changes what they would miss",
+        "Raise an alert when an account is a week past its usual order date",
     ),
     "Loyal": (
-        "Referral programme with an attractive commission",
-        "Product bundles at a member discount",
-        "Personal e-mail marketing based on purchase history",
-        "Upselling of complementary products as a package",
-        "Tiered loyalty programme with levels to climb",
+        "Propose a standing order for the items bought most often",
+        "Quote the next larger pack size with each reorder",
+        "Review yearly terms with each account in person",
     ),
     "New": (
-        "Welcome e-mail series with a product guide",
-        "20% off the second purchase within 30 days",
-        "Educational content and tips for using the products",
-        "Onboarding call with the customer success team",
-        "Reminder on the anniversary of the first purchase",
+        "Check that the first delivery arrived complete",
+        "Suggest what comparable accounts ordered second",
+        "Open a credit line after the third paid invoice",
     ),
     "Inactive": (
-        "Re-engagement campaign with a win-back offer",
-        "Special 30% discount for coming back",
-        "Satisfaction survey and collection of feedback",
-        "We-miss-you campaign with a small gift",
-        "Outbound call from customer service",
+        "Verify contact and delivery details",
+        "Compare prices of the last order with current ones and send the difference",
+        "Move to the low-cost contact list if two attempts stay unanswered",
     ),
     "Other": (
-        "Regular newsletter with monthly promotions",
-        "Cross-selling based on purchase history",
-        "Engagement through social media and content",
-        "Educational content about the products",
-        "Reactivation campaign every three months",
+        "Handle small orders through self-service",
+        "Look at margin per order before spending on contact",
+        "Score again next quarter and act on a change of segment",
     ),
 }
 
@@ -67,7 +56,7 @@ def name_groups(
         rules,
     )
     named = profile.withColumn("Segment_Name", name)
-    return named.withColumn("Description", segment_description(F.col("Segment_Name")))
+    return named.withColumn("Description", segment_description(F.col("Segment_Name"), rules))
 
 
 def name_customers(
@@ -85,13 +74,12 @@ def attach_segments(
 ) -> DataFrame:
     """Give each customer its group's segment, or a numbered cluster when there is none.
 
-    `named` holds one row per group. Its size decides the join strategy: pass a bounded copy
-    and the join is a broadcast.
+    `named` holds one row per group; staged, its size decides the join strategy. Columns keep
+    their order.
     """
     names = named.select(key, F.col("Segment_Name").alias("Segment"))
-    return customers.join(names, key, "left").withColumn(
-        "Segment", F.coalesce("Segment", numbered_cluster(F.col(key)))
-    )
+    segment = F.coalesce("Segment", numbered_cluster(F.col(key))).alias("Segment")
+    return customers.join(names, key, "left").select(*customers.columns, segment)
 
 
 def actions(spark: SparkSession, catalogue: dict[str, tuple[str, ...]] = ACTIONS) -> DataFrame:
@@ -101,7 +89,7 @@ def actions(spark: SparkSession, catalogue: dict[str, tuple[str, ...]] = ACTIONS
         for kind, listed in catalogue.items()
         for rank, action in enumerate(listed, 1)
     ]
-    return small_frame(spark, rows, "segment_kind string, rank int, action string")
+    return spark.createDataFrame(rows, "segment_kind string, rank int, action string")
 
 
 def recommend(
@@ -141,8 +129,8 @@ def revenue(customers: DataFrame, key: str = "prediction") -> DataFrame:
 
 
 def segment_summary(named: DataFrame, key: str = "prediction") -> DataFrame:
-    """The rows of the summary report: size, mean measures and revenue of each group."""
-    return named.select(
+    """The rows of the summary report: size, mean measures and revenue of each group, ordered by it."""
+    return named.orderBy(key).select(
         key,
         "Segment_Name",
         F.col("CustomerID_count").alias("customers"),

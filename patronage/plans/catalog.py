@@ -30,7 +30,7 @@ from patronage.operators.features import scale
 from patronage.operators.quartiles import quartiles, tile_columns
 from patronage.plans.jobs import clustering_only
 from patronage.sources import tables
-from patronage.staging import bounded_copy
+from patronage.staging import stage
 
 # Amounts in the test tables are about a thousand times those the ladder was made for.
 RULES = S.SegmentRules().scale_money(1000)
@@ -179,7 +179,7 @@ def segment_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def segment_lookup(spark: SparkSession, folder: str) -> DataFrame:
     customers = _customers(spark, folder)
-    named = bounded_copy(_named(customers, SCORES))
+    named = stage(_named(customers, SCORES), "named")
     return segments.attach_segments(customers, named, SCORES).select(
         "CustomerID", SCORES, "Segment"
     )
@@ -304,8 +304,8 @@ def segmented_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 def point_sample(spark: SparkSession, folder: str) -> DataFrame:
     customers = _customers(spark, folder)
-    columns = ("CustomerID", *S.MEASURES, "R_Quartile")
-    return charts.point_sample(customers, "R_Quartile", rows=100).select(*columns)
+    columns = ("CustomerID", *S.MEASURES, "R_Quartile", "group_customers")
+    return charts.point_sample(customers, 100, "R_Quartile").select(*columns)
 
 
 QUERIES: dict[str, Query] = {

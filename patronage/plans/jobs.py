@@ -1,14 +1,15 @@
 """The three analyses a user runs, and their export.
 
-Every analysis reads the whole source twice at most: once to count what cleaning removes, when
-that is asked for, and once to build the customer table, which is staged. All later steps start
-from that table.
+Every analysis reads the whole source once, to build the customer table, which is staged. Counting
+what cleaning removes and the preview read it again when they are looked at. Charts start from the
+staged tables and are computed when they are asked for.
 """
 
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -17,7 +18,7 @@ from patronage.operators import charts, elbow, segments
 from patronage.operators.cleaning import clean, cleaning_stats, preview
 from patronage.operators.clustering import Clustering, cluster, cost_sweep
 from patronage.operators.features import unscaled_count
-from patronage.operators.measures import invoice_facts, rfm
+from patronage.operators.measures import invoice_facts, rfm, snapshot_of
 from patronage.operators.profile import customer_kpis, group_means, group_sizes, profile, scored
 from patronage.operators.quartiles import quartiles
 from patronage.sources.exports import (
@@ -26,18 +27,48 @@ from patronage.sources.exports import (
     write_customers,
     write_report,
 )
-from patronage.staging import bounded_copy, stage
+from patronage.staging import stage
+
+
+class Charts(Mapping[str, DataFrame]):
+    """Chart data by name; a chart's own passes run when it is first looked up."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers, self._made = dict(makers), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+# Pairs of measures that are laid against each other, and the third one.
+MEASURE_PAIRS = {
+    "rf": ("Recency", "Frequency", "Monetary"),
+    "fm": ("Frequency", "Monetary", "Recency"),
+    "rm": ("Recency", "Monetary", "Frequency"),
+}
 
 
 @dataclass(frozen=True)
 class CustomerAnalysis:
-    """Customers with their measures, quartiles and score, and summaries of them."""
+    """Customers with their measures, quartiles and score, and summaries of them.
+
+    `snapshot` is the date that recency counts back from.
+    """
 
     cleaning: DataFrame
     preview: DataFrame
     customers: DataFrame
     kpis: DataFrame
-    charts: dict[str, DataFrame] = field(default_factory=dict)
+    snapshot: DataFrame
+    charts: Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)
@@ -52,8 +83,8 @@ class ClusterAnalysis:
     recommendations: DataFrame
     impact: DataFrame
     unscaled: DataFrame
-    elbow: dict[str, DataFrame] = field(default_factory=dict)
-    charts: dict[str, DataFrame] = field(default_factory=dict)
+    elbow: Mapping[str, DataFrame]
+    charts: Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)
@@ -73,46 +104,57 @@ def _customer_table(
 
 
 def _customer_analysis(
-    lines: DataFrame, cleaning: DataFrame | None, customers: DataFrame, on_bad_date: str
+    lines: DataFrame,
+    cleaning: DataFrame | None,
+    first_rows: DataFrame | None,
+    customers: DataFrame,
+    on_bad_date: str,
 ) -> CustomerAnalysis:
     if cleaning is None:
         cleaning = cleaning_stats(lines, on_bad_date=on_bad_date)
-    measure_pairs = {
-        "grid_rf": ("Recency", "Frequency", "Monetary"),
-        "grid_fm": ("Frequency", "Monetary", "Recency"),
-        "grid_rm": ("Recency", "Monetary", "Frequency"),
+    if first_rows is None:
+        first_rows = preview(clean(lines, on_bad_date=on_bad_date), ordered=False)
+    makers = {
+        "hist_recency": lambda: charts.recency_histogram(customers),
+        "hist_frequency": lambda: charts.frequency_histogram(customers),
+        "hist_monetary": lambda: charts.monetary_histogram(customers),
     }
+    for name, columns in MEASURE_PAIRS.items():
+        makers[f"grid_{name}"] = lambda columns=columns: charts.grid(customers, *columns)
     return CustomerAnalysis(
         cleaning=cleaning,
-        preview=preview(clean(lines, on_bad_date=on_bad_date), ordered=False),
+        preview=first_rows,
         customers=customers,
         kpis=customer_kpis(customers),
-        charts={
-            "hist_recency": charts.recency_histogram(customers),
-            "hist_frequency": charts.frequency_histogram(customers),
-            "hist_monetary": charts.monetary_histogram(customers),
-        }
-        | {name: charts.grid(customers, *columns) for name, columns in measure_pairs.items()},
+        snapshot=snapshot_of(customers),
+        charts=Charts(makers),
     )
 
 
 def _cluster_analysis(
-    customers: DataFrame,
-    k: int,
-    max_k: int | None,
-    rules: S.SegmentRules,
-    sample_rows: int,
+    customers: DataFrame, k: int, max_k: int | None, rules: S.SegmentRules
 ) -> ClusterAnalysis:
     clustering = cluster(customers, k)
-    curve = cost_sweep(clustering.features, max_k) if max_k else None
-    # The charts pass over the labels many times; the model is applied once.
+    # The features' vectors are left behind: what follows reads one narrow table.
     labelled = stage(scored(clustering.best_predictions), "labelled")
-    named = bounded_copy(segments.name_groups(profile(labelled), rules=rules))
+    named = stage(segments.name_groups(profile(labelled), rules=rules), "named")
+    makers = {
+        "sizes": lambda: group_sizes(labelled),
+        "means": lambda: group_means(labelled),
+        "box_recency": lambda: charts.box_statistics(labelled, "Recency"),
+        "box_monetary": lambda: charts.box_statistics(labelled, "Monetary"),
+        "cube_by_cluster": lambda: charts.cube(labelled, key="prediction"),
+    }
+    for name, columns in MEASURE_PAIRS.items():
+        makers[f"grid_{name}_by_cluster"] = lambda columns=columns: charts.grid(
+            labelled, *columns, key="prediction"
+        )
+    curve = cost_sweep(clustering.features, max_k) if max_k else None
     return ClusterAnalysis(
         k=k,
         clustering=clustering,
         segmented=segments.attach_segments(labelled, named),
-        profile=named,
+        profile=named.orderBy("prediction"),
         summary=segments.segment_summary(named),
         recommendations=segments.recommend(named),
         impact=segments.impact_summary(named),
@@ -120,16 +162,7 @@ def _cluster_analysis(
         elbow={}
         if curve is None
         else {"table": elbow.reductions(curve), "pick": elbow.elbow_pick(curve)},
-        charts={
-            "sizes": group_sizes(labelled),
-            "means": group_means(labelled),
-            "grid_by_cluster": charts.grid(
-                labelled, "Recency", "Frequency", "Monetary", key="prediction"
-            ),
-            "box_recency": charts.box_statistics(labelled, "Recency"),
-            "box_monetary": charts.box_statistics(labelled, "Monetary"),
-            "points": charts.point_sample(labelled, rows=sample_rows),
-        },
+        charts=Charts(makers),
     )
 
 
@@ -138,16 +171,17 @@ def rfm_only(
     *,
     invoices: DataFrame | None = None,
     cleaning: DataFrame | None = None,
+    first_rows: DataFrame | None = None,
     on_bad_date: str = "keep",
     as_of: datetime.date | None = None,
 ) -> CustomerAnalysis:
     """Clean the lines and describe the customers.
 
-    A source that can sum or count its own lines more cheaply than this passes the results as
-    `invoices` and `cleaning`.
+    A source that can sum or count its own lines, or give a few of them, more cheaply than this
+    passes the results as `invoices`, `cleaning` and `first_rows`.
     """
     customers = _customer_table(lines, invoices, on_bad_date, as_of)
-    return _customer_analysis(lines, cleaning, customers, on_bad_date)
+    return _customer_analysis(lines, cleaning, first_rows, customers, on_bad_date)
 
 
 def clustering_only(
@@ -159,11 +193,10 @@ def clustering_only(
     rules: S.SegmentRules = S.SegmentRules(),
     on_bad_date: str = "keep",
     as_of: datetime.date | None = None,
-    sample_rows: int = 1000,
 ) -> ClusterAnalysis:
     """Cluster the customers without describing them first; `max_k=None` skips the sweep."""
     customers = _customer_table(lines, invoices, on_bad_date, as_of)
-    return _cluster_analysis(customers, k, max_k, rules, sample_rows)
+    return _cluster_analysis(customers, k, max_k, rules)
 
 
 def full_analysis(
@@ -171,18 +204,18 @@ def full_analysis(
     *,
     invoices: DataFrame | None = None,
     cleaning: DataFrame | None = None,
+    first_rows: DataFrame | None = None,
     k: int = 4,
     max_k: int | None = 10,
     rules: S.SegmentRules = S.SegmentRules(),
     on_bad_date: str = "keep",
     as_of: datetime.date | None = None,
-    sample_rows: int = 1000,
 ) -> FullAnalysis:
     """Describe the customers and cluster them, from one customer table."""
     customers = _customer_table(lines, invoices, on_bad_date, as_of)
     return FullAnalysis(
-        customers=_customer_analysis(lines, cleaning, customers, on_bad_date),
-        clusters=_cluster_analysis(customers, k, max_k, rules, sample_rows),
+        customers=_customer_analysis(lines, cleaning, first_rows, customers, on_bad_date),
+        clusters=_cluster_analysis(customers, k, max_k, rules),
     )
 
 

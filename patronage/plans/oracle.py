@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from patronage import schema as S
+from patronage.functions.scalars import segment_descriptions
 from patronage.operators.segments import ACTIONS
-from patronage.plans.catalog import CURVE_KS
+from patronage.plans.catalog import CURVE_KS, RULES
 
 _MONEY = 1000
 
@@ -136,13 +137,10 @@ named AS (
 )"""
 
 
-_DESCRIPTION = f"""CASE "Segment_Name"
-    WHEN '{S.VIP}' THEN 'Very active customers who spend a lot'
-    WHEN '{S.LOYAL}' THEN 'Faithful customers who buy often'
-    WHEN '{S.NEW}' THEN 'Recent customers with room to grow'
-    WHEN '{S.INACTIVE}' THEN 'No purchase for more than six months'
-    WHEN '{S.HIGH_VALUE}' THEN 'Customers with a high transaction value'
-    ELSE 'Regular customers' END AS "Description\""""
+_TEXTS = segment_descriptions(RULES)
+_DESCRIPTION = "CASE \"Segment_Name\"" + "".join(
+    f" WHEN '{name}' THEN '{text}'" for name, text in _TEXTS.items() if name
+) + f""" ELSE '{_TEXTS[None]}' END AS "Description\""""
 
 _ACTION_ROWS = ",\n    ".join(
     f"('{kind}', {rank}, '{action}')"

@@ -25,42 +25,37 @@ def write_customers(segmented: DataFrame, path: str, *, format: str = "csv") ->
 def report_header(
     written_at: datetime.datetime, customers: int, k: int, best_model: str, score: float | None
 ) -> list[str]:
-    """The lines that open the report."""
-    silhouette = "n/a" if score is None else f"{score:.4f}"
+    """The lines above the table."""
+    quality = "not available" if score is None else f"{score:.4f}"
     return [
-        "CUSTOMER SEGMENTATION REPORT",
-        "============================",
+        f"Segments of {customers} customers as of {written_at.isoformat(sep=' ', timespec='seconds')}",
+        f"Model: {best_model} with k = {k}, mean silhouette {quality}",
         "",
-        f"Analysed at: {written_at:%Y-%m-%d %H:%M:%S}",
-        f"Customers: {customers:,}",
-        f"Clusters: {k}",
-        f"Best model: {best_model}",
-        f"Silhouette: {silhouette}",
-        "",
-        "SUMMARY PER CLUSTER",
-        "-------------------",
+        "no.\tsegment\tsize\tdays since last invoice\tinvoices\tvalue\trevenue",
     ]
 
 
 def report_lines(summary: DataFrame, header: list[str], key: str = "prediction") -> DataFrame:
-    """The report as rows (section, line, value): the header, then five lines per group."""
+    """The report as rows (section, line, value): the header, then a table row per group."""
     opening = summary.sparkSession.createDataFrame(
         [(-1, number, text) for number, text in enumerate(header)],
         "section int, line int, value string",
     )
-    block = F.array(
-        F.concat(F.col("Segment_Name"), F.lit(":")),
-        F.format_string("  - Customers: %,d", "customers"),
-        F.format_string("  - Mean recency: %.1f days", "Recency_mean"),
-        F.format_string("  - Mean frequency: %.1f", "Frequency_mean"),
-        F.format_string("  - Mean monetary: $%.2f", "Monetary_mean"),
-        F.format_string("  - Total revenue: $%,.0f", "revenue"),
-        F.lit(""),
+    fields = (
+        F.col(key).cast("string"),
+        F.col("Segment_Name"),
+        F.col("customers").cast("string"),
+        F.format_string("%.1f", "Recency_mean"),
+        F.format_string("%.1f", "Frequency_mean"),
+        F.format_string("%.2f", "Monetary_mean"),
+        F.format_string("%.0f", "revenue"),
     )
-    blocks = summary.select(
-        F.col(key).cast("int").alias("section"), F.posexplode(block).alias("line", "value")
+    table = summary.select(
+        F.col(key).cast("int").alias("section"),
+        F.lit(0).alias("line"),
+        F.concat_ws("\t", *(F.coalesce(f, F.lit("-")) for f in fields)).alias("value"),
     )
-    return opening.unionByName(blocks).orderBy("section", "line")
+    return opening.unionByName(table).orderBy("section", "line")
 
 
 def write_report(
@@ -72,7 +67,7 @@ def write_report(
     written_at: datetime.datetime | None = None,
     key: str = "prediction",
 ) -> None:
-    """Write the report as one text file; it has a handful of lines per cluster."""
+    """Write the report as one text file; it has a line per cluster."""
     customers = summary.agg(F.sum("customers")).first()[0] or 0
     header = report_header(
         written_at or datetime.datetime.now(),
@@ -82,4 +77,6 @@ def write_report(
         clustering.best_score,
     )
     lines = report_lines(summary, header, key)
-    lines.select("value").coalesce(1).write.mode("overwrite").text(path)
+    # One task sorts the lines it writes: merged partitions would keep no order.
+    one = lines.repartition(1).sortWithinPartitions("section", "line")
+    one.select("value").write.mode("overwrite").text(path)

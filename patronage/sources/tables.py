@@ -18,6 +18,7 @@ from patronage import schema as S
 from patronage.functions.scalars import cents, line_amount, parse_invoice_date
 from patronage.operators.cleaning import (
     ON_BAD_DATE,
+    clean,
     line_counters,
     sum_counters,
     usable_line,
@@ -100,6 +101,17 @@ def lines(
     return joined.withColumn("InvoiceNo", F.col("InvoiceNo").cast("string")).select(*columns)
 
 
+def first_lines(spark: SparkSession, folder: str, *, rows: int = 10, dirty: bool = False) -> DataFrame:
+    """A few cleaned lines: of a few orders, picked before the join, so no table is shuffled."""
+    orders = _orders(spark, folder, dirty).filter(F.col("CustomerID").isNotNull()).limit(10 * rows)
+    items = _items(spark, folder, dirty)
+    # At most 10 x `rows` orders are broadcast.
+    few = items.join(F.broadcast(orders), F.col("l_orderkey") == F.col("InvoiceNo"))
+    few = few.withColumn("InvoiceNo", F.col("InvoiceNo").cast("string"))
+    columns = ["CustomerID", "InvoiceNo", "InvoiceDate", "Quantity", "UnitPrice"]
+    return clean(few.select(*columns)).limit(rows)
+
+
 def cleaning_stats(
     spark: SparkSession, folder: str, *, dirty: bool = False, on_bad_date: str = "keep"
 ) -> DataFrame:

@@ -23,13 +23,12 @@ def read_transactions(
     `customer_type="string"` keeps customer ids that are not numbers.
     """
     reader = spark.read.option("header", True)
-    if infer:
-        return reader.option("inferSchema", True).csv(path)
-
     header = reader.csv(path).columns
     missing = [name for name in S.REQUIRED_COLUMNS if name not in header]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
+    if infer:
+        return reader.option("inferSchema", True).csv(path)
     # Ids arrive as text, because exports often hold 17850.0 where 17850 is meant.
     declared = S.TRANSACTION_TYPES | {"CustomerID": T.StringType()}
     fields = [T.StructField(name, declared.get(name, T.StringType())) for name in header]
@@ -41,8 +40,8 @@ def read_transactions(
     )
     if customer_type == "string":
         return lines
-    customer = F.coalesce(
-        F.col("CustomerID").try_cast("bigint"),
-        F.col("CustomerID").cast("decimal(38,6)").cast("bigint"),
-    )
+    number = F.col("CustomerID").cast("decimal(38,6)")
+    # An id with a fraction names nobody: its lines count as those of unknown customers.
+    whole = F.when(number == F.floor(number), number.cast("bigint"))
+    customer = F.coalesce(F.col("CustomerID").try_cast("bigint"), whole)
     return lines.withColumn("CustomerID", customer)

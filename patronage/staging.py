@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -26,16 +27,37 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_own: ContextVar[str] = ContextVar("own", default="")
+
+
 def _application_folder(spark: SparkSession) -> str:
-    return f"{staging_root(spark)}/patronage/{spark.sparkContext.applicationId}"
+    """Where this application, or the scope it is in, stages tables."""
+    return f"{staging_root(spark)}/patronage/{spark.sparkContext.applicationId}{_own.get()}"
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Delete every table this application has staged, once their results are consumed."""
+    """Delete every table this application, or the scope it is in, has staged.
+
+    Only for when all results are consumed.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, those of other analyses are not.
+
+    Results must be consumed, or written elsewhere, before the scope ends.
+    """
+    before = _own.set(f"{_own.get()}/scope-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        drop_staged(spark)
+        _own.reset(before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet to the shared folder and return a scan of it.
 
@@ -47,20 +69,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
-    """Rows the driver already holds, marked for broadcast since the planner cannot size them."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
-
-
-def bounded_copy(df: DataFrame, max_rows: int = 1000) -> DataFrame:
-    """Evaluate a small result once.
-
-    Up to `max_rows` rows come back as a small frame, so joins against it are broadcast.
-    Anything larger is staged and joins are planned by its size.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return stage(df, "wide")
-    return small_frame(df.sparkSession, rows, df.schema)

@@ -84,10 +84,16 @@ def test_boxes(customers, local, column):
         assert r.customers == len(values)
 
 
-def test_boxes_are_broadcast(customers):
-    boxes = charts.box_statistics(customers, "Recency", "R_Quartile")
-    plan = boxes._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def test_boxes_of_many_groups(spark):
+    df = spark.range(30_000).select(
+        F.col("id").alias("CustomerID"),
+        F.col("id").cast("double").alias("Recency"),
+        (F.col("id") % 10_000).alias("prediction"),
+    )
+    rows = charts.box_statistics(df, "Recency").filter("prediction in (0, 77, 9999)").collect()
+    assert {(r.prediction, r.q1, r.median, r.q3) for r in rows} == {
+        (g, g + 5000.0, g + 10_000.0, g + 15_000.0) for g in (0, 77, 9999)
+    }
 
 
 def test_box_of_one_member(spark):
@@ -97,13 +103,24 @@ def test_box_of_one_member(spark):
 
 
 def test_point_sample(customers, local):
-    sample = charts.point_sample(customers, "R_Quartile", rows=50)
+    sample = charts.point_sample(customers, 50, "R_Quartile")
     chosen = sample.toPandas()
-    assert sorted(chosen.columns) == sorted(customers.columns)
+    assert sorted(chosen.columns) == sorted([*customers.columns, "group_customers"])
     assert chosen.groupby("R_Quartile").size().to_dict() == {1: 50, 2: 50, 3: 50, 4: 50}
     assert set(chosen.CustomerID) <= set(local.CustomerID)
-    again = charts.point_sample(customers.repartition(7), "R_Quartile", rows=50)
+    sizes = local.groupby("R_Quartile").size().to_dict()
+    assert chosen.groupby("R_Quartile").group_customers.first().to_dict() == sizes
+    again = charts.point_sample(customers.repartition(7), 50, "R_Quartile")
     assert {r.CustomerID for r in again.collect()} == set(chosen.CustomerID)
-    plan = sample._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Window" not in plan
-    assert charts.point_sample(customers, "R_Quartile", rows=10**6).count() == len(local)
+    assert charts.point_sample(customers, 10**6, "R_Quartile").count() == len(local)
+
+
+def test_cube_counts_everyone(customers, local):
+    cells = charts.cube(customers, key="R_Quartile")
+    assert cells.agg(F.sum("customers")).first()[0] == len(local)
+
+
+def test_values_that_are_no_numbers_are_in_no_bin(spark):
+    rows = [(1, float("nan")), (2, float("inf")), (3, 1.0), (4, 2.0), (5, None)]
+    df = spark.createDataFrame(rows, "CustomerID bigint, Recency double")
+    assert charts.histogram(df, "Recency").agg(F.sum("customers")).first()[0] == 2

@@ -77,7 +77,6 @@ def analysis(spark, small):
         k=3,
         max_k=5,
         rules=S.SegmentRules().scale_money(1000),
-        sample_rows=20,
     )
 
 
@@ -93,13 +92,16 @@ def test_full_analysis(analysis):
     assert clusters.elbow["table"].count() == 4 and clusters.elbow["pick"].count() == 1
     names = {r.Segment_Name for r in clusters.profile.collect()}
     assert {r.Segment for r in clusters.segmented.collect()} == names
-    assert clusters.recommendations.count() == 5 * len(names)
-    assert set(clusters.segmented.columns) == {*S.SCORED_COLUMNS, "Segment"}
-    for chart in (customers.charts | clusters.charts).values():
-        assert chart.count() > 0
-    assert clusters.charts["points"].groupBy("prediction").count().agg(
-        F.max("count")
-    ).first()[0] <= 20
+    assert clusters.recommendations.count() == 3 * len(names)
+    assert clusters.segmented.columns == [*S.SCORED_COLUMNS, "Segment"]
+    assert customers.snapshot.first()[0] is not None
+    for charts in (customers.charts, clusters.charts):
+        for name in charts:
+            assert charts[name].count() > 0
+    cells = clusters.charts["cube_by_cluster"].agg(F.sum("customers")).first()[0]
+    assert cells == total
+    labels = [r.prediction for r in clusters.profile.collect()]
+    assert labels == sorted(labels) == [r.prediction for r in clusters.summary.collect()]
 
 
 def test_clustering_needs_no_description_first(spark, small, analysis):
@@ -127,37 +129,74 @@ def test_export_and_read_back(spark, analysis, tmp_path):
     back = spark.read.schema(segmented.schema).csv(f"{tmp_path}/{CUSTOMERS_NAME}", header=True)
     assert sorted(map(str, back.collect())) == sorted(map(str, segmented.collect()))
     lines = [r.value for r in spark.read.text(f"{tmp_path}/{REPORT_NAME}").collect()]
-    assert lines[3] == "Analysed at: 2024-05-06 07:08:09"
-    assert lines[4] == f"Customers: {segmented.count():,}"
-    groups = analysis.clusters.profile.count()
-    assert len(lines) == 11 + 7 * groups
-    first = analysis.clusters.summary.orderBy("prediction").first()
-    assert lines[11] == f"{first.Segment_Name}:"
-    assert lines[12] == f"  - Customers: {first.customers:,}"
-    assert lines[13] == f"  - Mean recency: {first.Recency_mean:.1f} days"
-    assert lines[16].startswith("  - Total revenue: $")
+    total = segmented.count()
+    assert lines[0] == f"Segments of {total} customers as of 2024-05-06 07:08:09"
+    assert len(lines) == 4 + analysis.clusters.profile.count()
+    first = analysis.clusters.summary.first()
+    assert lines[4].split("\t")[:3] == [str(first.prediction), first.Segment_Name, str(first.customers)]
 
 
 def test_report_numbers(spark):
     summary = spark.createDataFrame(
-        [(0, "A", 1234, 10.04, 2.25, 1234.5, 1523373.0)],
+        [(n, "A", 1234, 10.04, 2.25, 1234.5, 1523373.0) for n in (1, 0)],
         "prediction int, Segment_Name string, customers bigint, Recency_mean double,"
         " Frequency_mean double, Monetary_mean double, revenue double",
     )
     header = report_header(dt.datetime(2024, 1, 2), 1234, 1, S.KMEANS_NAME, 0.48768)
     values = [r.value for r in report_lines(summary, header).collect()]
-    assert "Customers: 1,234" in header and "Silhouette: 0.4877" in header
+    assert header[1] == f"Model: {S.KMEANS_NAME} with k = 1, mean silhouette 0.4877"
     assert values[len(header) :] == [
-        "A:",
-        "  - Customers: 1,234",
-        "  - Mean recency: 10.0 days",
-        "  - Mean frequency: 2.3",
-        "  - Mean monetary: $1234.50",
-        "  - Total revenue: $1,523,373",
-        "",
+        f"{n}\tA\t1234\t10.0\t2.3\t1234.50\t1523373" for n in (0, 1)
     ]
 
 
+def test_ids_with_a_fraction_are_unknown(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    rows = ["17850.5,1,1/2/2011 8:00,1,2", "17850,2,1/2/2011 8:00,1,2", "17850.0,3,1/2/2011 8:00,1,2"]
+    path.write_text("\n".join(["CustomerID,InvoiceNo,InvoiceDate,Quantity,UnitPrice", *rows]))
+    found = {r.InvoiceNo: r.CustomerID for r in read_transactions(spark, str(path)).collect()}
+    assert found == {"1": None, "2": 17850, "3": 17850}
+
+
+def test_cells_that_are_no_numbers_are_counted_as_bad(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    rows = ["1,1,1/2/2011 8:00,NaN,2", "1,2,1/2/2011 8:00,1,Infinity", "1,3,1/2/2011 8:00,2,3", "1,4,1/2/2011 8:00,1e200,1e200"]
+    path.write_text("\n".join(["CustomerID,InvoiceNo,InvoiceDate,Quantity,UnitPrice", *rows]))
+    result = jobs.rfm_only(read_transactions(spark, str(path)))
+    assert result.customers.first().Monetary == 6.0
+    stats = result.cleaning.first()
+    assert (stats.cleaned_count, stats.bad_quantity_count, stats.bad_price_count) == (1, 1, 1)
+
+
+def test_nobody_to_cluster_is_a_clear_error(spark, small):
+    with pytest.raises(ValueError, match="no customers"):
+        jobs.clustering_only(tables.lines(spark, small).filter("Quantity < 0"), max_k=None)
+
+
+def test_preview_shuffles_no_table(spark, small):
+    rows = tables.first_lines(spark, small, dirty=True)
+    assert rows.count() == 10
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tables.first_lines(spark, small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_a_scope_deletes_only_its_own_tables(spark):
+    outside = staging.stage(spark.range(3).toDF("x"), "outside")
+    with staging.scope(spark):
+        inside = staging.stage(spark.range(3).toDF("x"), "inside")
+        with staging.scope(spark):
+            nested = staging.stage(spark.range(3).toDF("x"), "nested")
+            assert nested.count() == 3
+        assert inside.count() == 3
+    assert outside.count() == 3
+    with pytest.raises(Exception):
+        inside.count()
+
+
 def test_staging_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:

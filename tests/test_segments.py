@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from patronage import schema as S
 from patronage.operators import profile as P
 from patronage.operators import segments as G
-from patronage.staging import bounded_copy
+from patronage.staging import stage
 
 RFM = "CustomerID bigint, Recency int, Frequency bigint, Monetary double"
 PROFILE = (
@@ -58,7 +58,7 @@ def named(spark):
         ],
         PROFILE,
     )
-    return bounded_copy(G.name_groups(profile))
+    return stage(G.name_groups(profile), "named")
 
 
 def test_groups_are_named_by_label_not_position(spark, named):
@@ -72,7 +72,7 @@ def test_groups_are_named_by_label_not_position(spark, named):
     assert G.attach_segments(customers, named).count() == 12
 
 
-def test_each_name_gets_five_numbered_actions(named):
+def test_each_name_gets_its_numbered_actions(named):
     rows = G.recommend(named).collect()
     by_name = {}
     for r in rows:
@@ -100,10 +100,15 @@ def test_lookup_is_a_broadcast(spark, named):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_large_lookup_is_staged(spark):
-    copy = bounded_copy(spark.range(50).toDF("x"), max_rows=20)
-    assert copy.count() == 50
-    assert "parquet" in copy._jdf.queryExecution().executedPlan().toString()
+def test_lookup_keeps_the_column_order(spark, named):
+    customers = spark.createDataFrame([(1, 2.0, 3)], "CustomerID bigint, x double, prediction int")
+    assert G.attach_segments(customers, named).columns == ["CustomerID", "x", "prediction", "Segment"]
+
+
+def test_descriptions_follow_the_rules(spark):
+    rules = S.SegmentRules(inactive_recency=90)
+    profile = spark.createDataFrame([(0, 1, 120.0, 1.0, 10.0)], PROFILE)
+    assert G.name_groups(profile, rules=rules).first().Description == "recency over 90 days"
 
 
 @pytest.fixture
@@ -131,6 +136,7 @@ def test_profile_of_groups(customers):
     expected += [f"{m}_{s}" for m in S.MEASURES for s in ("mean", "std", "min", "max")]
     expected += ["TotalTransactions_mean", "AvgTransactionValue_mean", "RFM_Score_mean"]
     assert P.profile(customers).columns == expected
+    assert [r.prediction for r in P.profile(customers).collect()] == [0, 1]
 
 
 def test_groups_come_in_order(customers):
