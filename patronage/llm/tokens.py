@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -80,29 +81,61 @@ def _encoder(path: str):
 KNOWN_WORDS = 600_000
 
 
+#: Normalizer and splitter for which words may be told apart by white space and by trailing stops.
+WORD_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Stops after a letter or digit that stays one in the tokenizer's own view: a piece of their own.
+_STOPS = re.compile("(?<=[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])[.,;:!?]+\\Z")
+#: White space to str.split, but not to the tokenizer.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SPACED = re.compile("[^\t-\r ]+")
+
+
+def _split(text: str) -> list[str]:
+    """Parts of a text between white space; only what the tokenizer takes for white space parts them."""
+    return _SPACED.findall(text) if _SEPARATORS.search(text) else text.split()
+
+
 def _word_encoder(path: str):
     """As `_encoder`, for a tokenizer with word ends that drops white space.
 
     There the ids of a text are those of its words one after the other, so each distinct word is
-    encoded once per task and memory. Words of letters go to the library many at a time and are
-    told apart by the ids that end a word; others go one by one.
+    encoded once per task and memory. Stops after a letter or digit are a word of their own; any
+    other run of signs stays whole. Words of letters go to the library many at a time and are told
+    apart by the ids that end a word; others go one by one. Other tokenizers encode whole texts.
     """
+    sliced = _encoder(path)
+    if path.endswith(".model"):
+        return sliced
     from tokenizers import Tokenizer
 
-    sliced = _encoder(path)
     model = Tokenizer.from_file(path)
-    ending = json.loads(model.to_str())["model"].get("end_of_word_suffix")
-    if not ending:
+    settings = json.loads(model.to_str())
+    ending = settings["model"].get("end_of_word_suffix")
+    specials = [t["content"] for t in settings["added_tokens"]]
+    splitter = ((settings["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+    if (
+        not ending
+        or (settings["normalizer"] or {}).get("normalizers") != WORD_NORMALIZERS
+        or (splitter.get("pattern"), splitter.get("behavior"), splitter.get("invert")) != ({"Regex": WORD_PATTERN}, "Removed", True)
+        or any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in settings["added_tokens"])
+        or any(re.search(r"[\s.,;:!?]", x) for x in specials)
+    ):
         return sliced
     ends = np.zeros(model.get_vocab_size() + 1, bool)
     ends[[i for token, i in model.get_vocab().items() if token.endswith(ending)]] = True
     known: dict[str, list[int]] = {}
 
+    def small(stem: str) -> str:
+        """In lower case, as the tokenizer does, unless that could make or unmake a special string."""
+        lower = stem.lower()
+        return stem if any(x.lower() in lower for x in specials) else lower
+
     def learn(words: set[str]) -> None:
-        # stops after a word are split off by the tokenizer too, and so is the case of its letters
-        stems = [w.rstrip(".,;:!?") for w in words]
-        stems = [x.lower() if x.isascii() else x for x in stems]
+        words = list(words)
+        stems = [_STOPS.sub("", w) for w in words]
         stops = [w[len(x) :] for w, x in zip(words, stems)]
+        stems = [small(x) if x.isascii() else x for x in stems]
         wanted = set(stems).union(stops).difference(known)
         wanted.discard("")
         plain = [w for w in wanted if w.isalpha() and w.lower().isalpha()]
@@ -120,7 +153,7 @@ def _word_encoder(path: str):
         known.update((w, known[x] + known[y] if y else known[x]) for w, x, y in zip(words, stems, stops))
 
     def encode(texts: list[str]) -> Iterator[list[int]]:
-        words = [t.split() for t in texts]
+        words = [_split(t) for t in texts]
         if len(known) > KNOWN_WORDS:
             known.clear()
         new = set().union(*words).difference(known)

@@ -276,6 +276,22 @@ def test_token_ids_round_trip(spark, edges, empty, tmp_path):
     assert tokens.read_digests(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_remembered_words_equal_whole_texts():
+    """Random punctuation, controls, specials and letters against the library on whole texts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    model = Tokenizer.from_file(path)
+    texts = ['foo).', 'say "foo".', "the dogs'.", "50%, a*, it's. don't?!", "a\x1cb \x1d\x1e c\x1fd", "<|ENDOFTEXT|> <|endoftext|>.x", "İ. i̇."]
+    texts += [f"b{chr(c)}. A{chr(c)}{chr(c)},; {chr(c)}?" for c in range(1, 0x3100)]
+    pieces = [*"abzAZ09.,;:!?'\"()%*<|> \t\n\x0b\x1c\x1f\x85\xa0\u2003\u3000éÉßİıΣςÅ\u0301\u0307½٣中ǅ", "'s", "'RE", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "..."]
+    random = np.random.default_rng(11)
+    texts += ["".join(random.choice(pieces, random.integers(1, 40))) for _ in range(5_000)]
+    for text, ids in zip(texts, tokens._word_encoder(path)(texts), strict=True):
+        assert ids == model.encode(text, add_special_tokens=False).ids, text
+
+
 def test_mixture_of_odd_rows(spark, edges, empty):
     rows = mixing.mix(edges).collect()
     assert len(rows) == len(edge_rows())
