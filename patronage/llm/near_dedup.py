@@ -13,8 +13,10 @@ borrow from others in a fixed random order. Bands of compressed registers find c
    at most a spanning forest of the verified links, so there is no row per pair;
 4. components of verified links are the groups.
 
-A pair at the limit escapes all bands with a chance of about one in a million, and then still
-meets if it shares a cluster. Unequal sets of fewer than six shingles cannot reach 0.85.
+Registers fall into bands as wide as the limit allows: a pair at the limit escapes all bands with
+a chance of at most five in a million, and then still meets if it shares a cluster. Sets that are
+too small to be linked to any unequal set (`smallest`: under six shingles at 85 %, under four at
+80 %) need no bands.
 
 Words are split at white space, A-Z in lower case. A text of fewer words is one shingle. Nulls
 and texts without words are empty sets, alone in their groups. Rows that repeat a doc_id are
@@ -34,15 +36,27 @@ from patronage.llm.blocks import ByteHash, slices, splitmix
 from patronage.llm.components import components
 from patronage.staging import stage
 
-BANDS, ROWS = 36, 7
-REGISTERS = BANDS * ROWS
+REGISTERS = 252
 MANTISSA = 10
 #: Pairs whose estimate is this much under the limit are not verified: nine standard deviations.
 SLACK = 0.25
-SMALLEST = 6
+#: Chance with which a pair at the limit may escape all bands.
+ESCAPE = 5e-6
 CHUNK_SHINGLES = 400_000
 CHUNK_SETS = 700
 
+
+def rows_per_band(percent: int) -> int:
+    """Registers per band: the most that keep the chance to escape all bands under ESCAPE at the limit."""
+    fit = [r for r in range(1, REGISTERS + 1) if REGISTERS % r == 0 and (1 - (percent / 100) ** r) ** (REGISTERS // r) <= ESCAPE]
+    return max(fit, default=1)
+
+
+def smallest(percent: int) -> int:
+    """Least size of a set that can be linked to a larger one: all of it shared, one shingle more."""
+    return max(1, -(-percent // (100 - percent))) if percent < 100 else 1 << 62
+
+
 _hash, _check = ByteHash(31), ByteHash(32)
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
@@ -126,20 +140,22 @@ def _digests(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
 SIGNED = "doc_id long, n_shingles long, class binary, keys array<long>"
 
 
-def _signed(width: int, with_keys: bool):
-    powers = splitmix(np.arange(ROWS, dtype=np.uint64) + np.uint64(77)) | np.uint64(1)
+def _signed(width: int, percent: int):
+    rows, least = rows_per_band(percent), smallest(percent)
+    count = REGISTERS // rows
+    powers = splitmix(np.arange(rows, dtype=np.uint64) + np.uint64(77)) | np.uint64(1)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts, ids = pdf["text"].tolist(), pdf["doc_id"]
             for i, j in slices(np.fromiter((len(t or "") for t in texts), np.int64, len(texts)), 1 << 20):
                 hashes, sizes = shingle_sets(texts[i:j], width)
-                found = sketches(hashes, np.where(sizes >= SMALLEST, sizes, sizes)).astype(np.uint64)
-                bands = found.reshape(j - i, BANDS, ROWS)
-                keys = splitmix((bands * powers).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+                found = sketches(hashes, sizes).astype(np.uint64)
+                bands = found.reshape(j - i, count, rows)
+                keys = splitmix((bands * powers).sum(axis=2, dtype=np.uint64) + np.arange(count, dtype=np.uint64)).view(np.int64)
                 yield pd.DataFrame({
                     "doc_id": ids[i:j].astype("Int64"), "n_shingles": sizes, "class": _digests(hashes, sizes),
-                    "keys": [k if n >= SMALLEST else None for k, n in zip(keys, sizes)],
+                    "keys": [k if n >= least else None for k, n in zip(keys, sizes)],
                 })
 
     return sign
@@ -209,7 +225,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85) -> DataF
     Documents are linked if 100 x shared shingles >= `percent` x shingles of either.
     """
     text = docs.select(F.col("doc_id").cast("long"), "text")
-    signed = stage(text.mapInPandas(_signed(width, True), SIGNED), "signed")
+    signed = stage(text.mapInPandas(_signed(width, percent), SIGNED), "signed")
     # A class is known by its least doc_id; classes without any doc_id have nothing to name a group by.
     classes = stage(
         signed.where("class is not null and doc_id is not null").groupBy("class").agg(

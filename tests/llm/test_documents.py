@@ -78,6 +78,25 @@ def test_near_duplicates_of_a_spread_group(spark, monkeypatch):
     assert 1 < len(set(expected.values())) < 90
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_deduplicate_short_texts_against_brute_force(spark, percent):
+    """Texts of 5 to 12 words, with a word more or less at an end."""
+    random = np.random.default_rng(8)
+    rows = []
+    for n in range(5, 13):
+        for k in range(6):
+            base = [f"w{n}x{k}y{i}" for i in range(n)]
+            rows += [(len(rows), " ".join(base), "s"), (len(rows) + 1, " ".join([*base, "more"][:12]), "s")]
+            if random.integers(2):
+                rows.append((len(rows), " ".join(["first", *base][:12]), "s"))
+    sets = {i: shingles(t) for i, t, _ in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    assert any(len(sets[a]) in (4, 5) and sets[a] != sets[b] for a, b in links) == (percent == 80)
+    expected = groups(links, sets)
+    left = near_dedup.deduplicate(documents(spark, rows), percent=percent).collect()
+    assert sorted(r.doc_id for r in left) == sorted(set(expected.values()))
+
+
 def test_estimates_are_near_the_truth():
     random = np.random.default_rng(2)
     shared = random.integers(0, 2**63, 400).astype(np.uint64)
