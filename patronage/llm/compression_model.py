@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from patronage.llm.blocks import ByteHash, slices, splitmix, stage_blocks
 from patronage.staging import stage
 
-ORDER = 4
+ORDER = 5
 END = 10
 BATCH_BYTES = 1 << 20
 _hash = ByteHash(41)
@@ -217,7 +217,7 @@ def model(features: DataFrame) -> DataFrame:
     )
 
 
-def score(docs: DataFrame, held: Column, block_bytes: int = 6 << 20) -> DataFrame:
+def score(docs: DataFrame, held: Column, block_bytes: int = 3 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each whole text.
 
     Learns from rows for which `held` is false.

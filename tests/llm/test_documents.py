@@ -202,6 +202,15 @@ def test_scores_against_brute_force(spark, edges, small):
             assert r.held_out == (crc_mod(r.doc_id, 7) == 2)
 
 
+def test_scores_use_contexts_of_five_bytes(spark):
+    """Only the fifth byte before the last one tells which one follows."""
+    assert compression_model.ORDER >= 5
+    rows = [(i, f"{'pq'[i % 2]}abcd{'xy'[i % 2]}", "s") for i in range(40)] + [(100, "pabcdx", "s"), (101, "pabcdy", "s")]
+    found = compression_model.score(documents(spark, rows), F.col("doc_id") >= 100).collect()
+    right, wrong = (next(r.score for r in found if r.doc_id == i) for i in (100, 101))
+    assert right > wrong + 1
+
+
 def test_scores_without_rows_or_training(spark, empty):
     assert compression_model.score(empty, compression_model.held_out()).count() == 0
     row = compression_model.score(documents(spark, [(1, "ab", "s")]), F.lit(True)).first()
