@@ -5,9 +5,11 @@ Texts become words without case and punctuation. Numbers, units after a number,
 other numbers or names gives the same template. Windows of `width` template words of documents
 and items are joined by hash, in two readings: with names as placeholders and with names as words.
 
-Windows of a document that match an item at one offset are laid together. They count if their
-slots are consistent (equal fillers in the item stand for equal fillers in the document, and
-different ones for different ones) and if they cover `cover` words of the item, or all of it.
+Windows of a document that match an item at one offset are laid together. They are evidence if they
+cover `cover` words of the item, or all of it, by words that are literally the same, wherever the
+other slots differ; or by words with consistent slots (equal fillers in the item stand for equal
+fillers in the document, and different ones for different ones), in the whole or in one run of
+windows. Rows that share an id but not the text are laid by themselves.
 
 Before the join, documents are probed with a bitmap of the items' windows. The bitmap has a fixed
 size, so what is broadcast is bounded; when it fills up, more rows reach the join, nothing else.
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.blocks import ByteHash, slices, splitmix
@@ -124,10 +126,10 @@ def _units() -> np.ndarray:
 
 _unit_hashes: np.ndarray | None = None
 
-WINDOW = "id long, reading int, width int, place int, key long, literal array<long>, slot array<byte>"
+WINDOW = "id long, version long, reading int, width int, place int, key long, literal array<long>, slot array<byte>"
 
 
-def _window_rows(ids: np.ndarray, texts: list[str], widths, bitmap: np.ndarray | None, whole: bool) -> pd.DataFrame:
+def _window_rows(ids: np.ndarray, versions: np.ndarray, texts: list[str], widths, bitmap: np.ndarray | None, whole: bool) -> pd.DataFrame:
     """Rows of WINDOW; `whole`: only windows as wide as the text is, if it is shorter than the widest."""
     words = Words(texts)
     lengths = np.bincount(words.doc, minlength=len(texts))
@@ -146,19 +148,19 @@ def _window_rows(ids: np.ndarray, texts: list[str], widths, bitmap: np.ndarray |
                 spans = first[:, None] + np.arange(width)
                 slot = words.slot if reading else np.where(words.slot == NAME, 0, words.slot)
                 parts.append(pd.DataFrame({
-                    "id": ids[words.doc[first]], "reading": reading, "width": width, "place": words.word[first],
+                    "id": ids[words.doc[first]], "version": versions[words.doc[first]], "reading": reading, "width": width, "place": words.word[first],
                     "key": key.view(np.int64), "literal": list(words.literal.view(np.int64)[spans]),
                     "slot": list(slot[spans]), "length": lengths[words.doc[first]],
                 }))
-    return pd.concat(parts) if parts else pd.DataFrame(columns=["id", "reading", "width", "place", "key", "literal", "slot", "length"])
+    return pd.concat(parts) if parts else pd.DataFrame(columns=["id", "version", "reading", "width", "place", "key", "literal", "slot", "length"])
 
 
 def _rows(widths, bitmap, whole: bool):
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ids, texts = pdf["id"].to_numpy(np.int64), pdf["text"].tolist()
+            ids, versions, texts = pdf["id"].to_numpy(np.int64), pdf["version"].to_numpy(np.int64), pdf["text"].tolist()
             for i, j in slices(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 19):
-                rows = _window_rows(ids[i:j], texts[i:j], widths, bitmap, whole)
+                rows = _window_rows(ids[i:j], versions[i:j], texts[i:j], widths, bitmap, whole)
                 if len(rows):
                     yield rows
 
@@ -166,7 +168,22 @@ def _rows(widths, bitmap, whole: bool):
 
 
 def _texts(df: DataFrame, key: str) -> DataFrame:
-    return df.select(F.col(key).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).where("id is not null")
+    text = F.coalesce("text", F.lit(""))
+    return df.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("version"), text.alias("text")).where("id is not null")
+
+
+def _evidence(words: Column) -> Column:
+    """Numbers of words and of slots among them."""
+    return F.struct(F.size(words).alias("n_words"), F.size(F.filter(words, lambda w: w["slot"] > 0)).alias("n_slots"))
+
+
+def _consistent(words: Column) -> Column:
+    """As `_evidence`, noughts unless fillers stand for each other one to one."""
+    slots = F.filter(words, lambda w: w["slot"] > 0)
+    kinds = lambda *names: F.size(F.array_distinct(F.transform(slots, lambda w: F.struct(*[w[n].alias(n) for n in names]))))
+    pairs = kinds("slot", "literal", "item_literal")
+    fits = (pairs == kinds("slot", "literal")) & (pairs == kinds("slot", "item_literal"))
+    return F.when(fits, _evidence(words)).otherwise(F.struct(F.lit(0).alias("n_words"), F.lit(0).alias("n_slots")))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, cover: int = 13) -> DataFrame:
@@ -185,26 +202,28 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, cover: int =
     hits = _texts(docs, "doc_id").mapInPandas(_rows(widths, bitmap, False), WINDOW + ", length long")
     # One row per distinct window: items that share it come together, and repeats in a document are one.
     keys = ["key", "reading", "width"]
-    items = items.select(*keys, F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("literal").alias("item_literal"), F.col("slot").alias("item_slot"), F.col("length").alias("item_words"))
-    hits = hits.select(*keys, F.col("id").alias("doc_id"), "place", "literal", "slot")
+    items = items.select(*keys, F.col("id").alias("item_id"), F.col("version").alias("item_version"), F.col("place").alias("item_place"), F.col("literal").alias("item_literal"), F.col("slot").alias("item_slot"), F.col("length").alias("item_words"))
+    hits = hits.select(*keys, F.col("id").alias("doc_id"), "version", "place", "literal", "slot")
     pairs = hits.join(items, keys).where("slot = item_slot")
+    alignment = ["doc_id", "version", "item_id", "item_version", "item_words", "reading", "offset"]
     words = pairs.select(
-        "doc_id", "item_id", "item_words", "reading", (F.col("place") - F.col("item_place")).alias("offset"),
+        *alignment[:-1], (F.col("place") - F.col("item_place")).alias("offset"),
         F.explode(F.arrays_zip("literal", "item_literal", "slot", F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda k: k + F.col("item_place")).alias("at"))).alias("w"),
-    ).select("doc_id", "item_id", "item_words", "reading", "offset", "w.*").distinct()
-    found = F.when(F.col("slot") > 0, F.struct("slot", "literal", "item_literal"))
-    laid = words.groupBy("doc_id", "item_id", "item_words", "reading", "offset").agg(
-        F.count_distinct("at").alias("n_words"),
-        F.count_distinct(F.when(F.col("slot") > 0, F.col("at"))).alias("n_slots"),
-        F.size(F.collect_set(found)).alias("pairs"),
-        F.size(F.collect_set(F.when(F.col("slot") > 0, F.struct("slot", "literal")))).alias("own"),
-        F.size(F.collect_set(F.when(F.col("slot") > 0, F.struct("slot", "item_literal")))).alias("theirs"),
-        F.bool_and(F.col("literal") == F.col("item_literal")).alias("exact"),
-    )
-    laid = laid.where("pairs = own and pairs = theirs").where(F.col("n_words") >= F.least(F.lit(cover), F.col("item_words")))
+    ).select(*alignment, "w.at", "w.slot", "w.literal", "w.item_literal")
+    laid = words.groupBy(*alignment).agg(F.sort_array(F.collect_set(F.struct("at", "slot", "literal", "item_literal"))).alias("words"))
+    enough = F.least(F.lit(cover), F.col("item_words"))
+    laid = laid.where(F.size("words") >= enough)
+    # words next to each other have the same place less their number in order
+    runs = F.array_distinct(F.transform("words", lambda w, i: w["at"] - i))
+    alone = F.transform(runs, lambda r: _consistent(F.filter("words", lambda w, i: w["at"] - i == r)))
+    same = F.filter("words", lambda w: w["literal"] == w["item_literal"])
+    evidence = F.array_max(F.concat(F.array(_consistent(F.col("words")), _evidence(same)), alone))
+    laid = laid.select(
+        "doc_id", "item_id", "item_words", enough.alias("enough"), evidence.alias("evidence"), (F.size(same) == F.size("words")).alias("exact")
+    ).where("evidence.n_words >= enough")
     return laid.groupBy("doc_id", "item_id").agg(
-        F.max("n_words").alias("n_words"), F.max("item_words").alias("item_words"),
-        F.max_by("n_slots", "n_words").alias("n_slots"), F.bool_or("exact").alias("exact"),
+        F.max("evidence.n_words").cast("long").alias("n_words"), F.max("item_words").alias("item_words"),
+        F.max_by("evidence.n_slots", "evidence.n_words").cast("long").alias("n_slots"), F.bool_or("exact").alias("exact"),
     )
 
 
