@@ -1,9 +1,10 @@
 """Benchmark decontamination by template windows.
 
 Texts become words without case and punctuation. Numbers, units after a number, and names
-(capitals inside a sentence) become typed placeholders, so a question that is asked again with
-other numbers or names gives the same template. Windows of `width` template words of documents
-and items are joined by hash, in two readings: with names as placeholders and with names as words.
+(capitals) become typed placeholders, so a question that is asked again with other numbers or names
+gives the same template. Windows of `width` template words of documents and items are joined by
+hash, in three readings: with names as words, with capitals inside a sentence as names, and with
+capitals at its beginning as names too.
 
 Windows of a document that match an item at one offset are laid together. They are evidence if they
 cover `cover` words of the item, or all of it, by words that are literally the same, wherever the
@@ -21,6 +22,7 @@ window. Repeated rows of a document give one result row per (doc_id, item_id).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,24 +52,38 @@ _space = np.isin(_table, [9, 10, 11, 12, 13, 32])
 _stop = np.isin(_table, np.frombuffer(b".!?:\n", np.uint8))
 
 
+#: Characters that take another number of bytes in lower case.
+_resized = re.compile("[" + "".join(c for c in map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x20000))) if len(c.lower().encode()) != len(c.encode())) + "]")
+
+
+def _lowered(text: str) -> tuple[bytes, np.ndarray]:
+    """UTF-8 in lower case, and which of its bytes belong to characters that were capitals."""
+    small = text.lower().encode("utf-8", "replace")
+    if text.isascii() or not _resized.search(text):
+        raw = text.encode("utf-8", "replace")
+        if len(raw) == len(small):
+            return small, np.frombuffer(raw, np.uint8) != np.frombuffer(small, np.uint8)
+    sizes = [len(c.lower().encode("utf-8", "replace")) for c in text]
+    changed = np.repeat(np.fromiter((c != c.lower() for c in text), bool, len(text)), sizes)
+    return small, changed if len(changed) == len(small) else np.zeros(len(small), bool)
+
+
 class Words:
     """Template words of some texts end to end."""
 
     def __init__(self, texts: list[str]):
-        lower = [t.lower() for t in texts]
-        # where lowering changes the number of characters, capitals cannot be told: taken as small
-        upper = "\0".join(t if len(t) == len(s) else s for t, s in zip(texts, lower))
-        lower_text = "\0".join(lower)
-        small = np.frombuffer(lower_text.encode("utf-8", "replace"), np.uint8)
-        capital = np.frombuffer(upper.encode("utf-8", "replace"), np.uint8)
-        same_size = len(small) == len(capital)
+        # a NUL ends a text; inside one it is white space
+        lowered = [_lowered(t.replace("\0", " ")) for t in texts]
+        small = np.frombuffer(b"\0".join(x for x, _ in lowered), np.uint8)
+        border = np.zeros(1, bool)
+        capital = np.concatenate([border, *(x for _, c in lowered for x in (c, border)), np.zeros(3, bool)])[1:]
         space = _space[small] | (small == 0)
         keep = _alnum[small]
         at = np.flatnonzero(keep)
         if not len(at):
             self.word = self.doc = np.zeros(0, np.int64)
-            self.literal = self.plain = self.named = np.zeros(0, np.uint64)
-            self.slot = np.zeros(0, np.int8)
+            self.literal = self.plain = self.named = self.initial = np.zeros(0, np.uint64)
+            self.slots = [np.zeros(0, np.int8)] * 3
             return
         gaps = np.cumsum(space)[at]
         first = np.flatnonzero(np.concatenate([[True], gaps[1:] != gaps[:-1]]))
@@ -81,30 +97,30 @@ class Words:
         after_number = np.concatenate([[False], number[:-1] & (self.doc[1:] == self.doc[:-1])])
         unit = after_number & np.isin(self.literal, _units())
         head = at[first]
-        name = (small[head] != capital[head]) if same_size else np.zeros(len(head), bool)
-        if same_size:  # letters of two bytes may differ in the second
-            second = np.minimum(head + 1, len(small) - 1)
-            name |= (small[head] >= 128) & (small[second] != capital[second])
+        name = capital[head]
+        for k, lead in ((1, 0xC0), (2, 0xE0), (3, 0xF0)):  # letters of several bytes may differ in a later one
+            name |= (small[head] >= lead) & capital[head + k]
+        name &= ~number & ~unit
         stops = np.cumsum(_stop[small] | (small == 0))
         begins = np.concatenate([[True], stops[head[1:]] != stops[head[:-1]]])
-        name &= ~begins & ~number & ~unit
-        self.slot = np.select([number, unit, name], [NUMBER, UNIT, NAME], 0).astype(np.int8)
-        self.named = np.where(self.slot > 0, self.slot.astype(np.uint64), self.literal)
-        self.plain = np.where((self.slot > 0) & ~name, self.slot.astype(np.uint64), self.literal)
+        fixed = np.select([number, unit], [NUMBER, UNIT], 0)
+        self.slots = [np.where(names, NAME, fixed).astype(np.int8) for names in (np.zeros(len(name), bool), name & ~begins, name)]
+        self.plain, self.named, self.initial = (np.where(x > 0, x.astype(np.uint64), self.literal) for x in self.slots)
         starts = np.searchsorted(self.doc, np.arange(len(texts)))
         self.word = np.arange(len(self.doc)) - starts[self.doc]
 
     def windows(self, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        """(first words, hashes, reading) of windows inside one text; named ones where they differ."""
+        """(first words, hashes, reading) of windows inside one text; those with names where there are any."""
         n = len(self.doc) - width + 1
         if n <= 0:
             return
         inside = self.doc[:n] == self.doc[width - 1 :]
         plain = _window(self.plain, width)
         yield np.flatnonzero(inside), plain[inside], 0
-        named = _window(self.named, width)
-        other = inside & (named != plain)
-        yield np.flatnonzero(other), named[other], 1
+        for reading, symbols in ((1, self.named), (2, self.initial)):
+            named = _window(symbols, width)
+            other = inside & (named != plain)
+            yield np.flatnonzero(other), named[other], reading
 
 
 def _window(symbols: np.ndarray, width: int) -> np.ndarray:
@@ -146,7 +162,7 @@ def _window_rows(ids: np.ndarray, versions: np.ndarray, texts: list[str], widths
             first, key = first[ok], key[ok]
             if len(first):
                 spans = first[:, None] + np.arange(width)
-                slot = words.slot if reading else np.where(words.slot == NAME, 0, words.slot)
+                slot = words.slots[reading]
                 parts.append(pd.DataFrame({
                     "id": ids[words.doc[first]], "version": versions[words.doc[first]], "reading": reading, "width": width, "place": words.word[first],
                     "key": key.view(np.int64), "literal": list(words.literal.view(np.int64)[spans]),

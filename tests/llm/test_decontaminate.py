@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from patronage.llm import decontaminate
 
 DOCS = "doc_id long, text string"
@@ -35,3 +37,20 @@ def test_one_altered_number_leaves_the_literal_words(spark):
 def test_rows_that_share_an_id_do_not_veto_each_other(spark):
     short = "she pays 4 coins and gets 4 small cakes"
     assert set(found(spark, [(1, short), (1, short.replace("4", "6")), (1, short.replace("gets 4", "gets 9"))], [(8, short)])) == {(1, 8)}
+
+
+def test_names_at_the_beginning_of_sentences(spark):
+    anna = "Anna has 5 apples. Anna buys 3 more apples."
+    item = "Anna has 5 apples and 4 pears. Anna buys 3 more apples and gives 2 of them away."
+    docs = [(1, "Ben has 6 apples. Ben buys 2 more apples."), (2, item.replace("Anna", "Ben").replace("5", "8")), (3, "Today Ben has 6 apples. Ben buys 2 more apples."), (4, "Ben has 6 apples. Carl buys 2 more apples.")]
+    assert set(found(spark, docs, [(7, anna), (8, item)])) == {(1, 7), (2, 8), (3, 7)}
+
+
+def test_capitals_and_borders_do_not_depend_on_neighbours():
+    texts = ["yesterday Anna met Émile, Ạn and ΑΣ there", "a Kelvin \u212a, \u1e9e and \u023a met Bert", "one\0two three", "", "then Carl came"]
+    alone = [decontaminate.Words([t]) for t in texts]
+    whole = decontaminate.Words(texts)
+    assert [int((whole.doc == i).sum()) for i in range(len(texts))] == [len(w.doc) for w in alone] == [8, 8, 3, 0, 3]
+    for name in ("literal", "plain", "named", "initial", "word"):
+        assert np.array_equal(getattr(whole, name), np.concatenate([getattr(w, name) for w in alone]))
+    assert [w.slots[1].tolist() for w in alone] == [[0, 3, 0, 3, 3, 0, 3, 0], [0, 3, 3, 3, 0, 3, 0, 3], [0, 0, 0], [], [0, 3, 0]]
