@@ -7,7 +7,7 @@ as the article. A decision tree trained on `EXAMPLES`, a small labelled table, t
 blocks from the rest.
 
 A null page is empty. A page without article blocks has an empty text. Markup may be cut off or
-badly nested: an end tag closes what is open inside it, an end tag without a start does nothing,
+badly nested: a start tag closes what HTML lets end without a tag, an end tag closes what is open inside it, an end tag without a start does nothing,
 and an unended comment or script reaches to the end.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<(?:svg|math)(?:\s(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)?(?<=/)>"
     r"|<(script|style|template|textarea|title|svg|math|iframe|noscript|select|button|object|canvas|audio|video)\b[^>]*+>"
     r".*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*+>"
@@ -51,8 +52,31 @@ _NAMED = re.compile(
     re.I,
 )
 _HEADER = re.compile(r"(?:(?:site|page|main|top|global)[-_]?)?header(?:[-_]?(?:bar|inner|wrap|wrapper|container))*", re.I)
-_ATTRIBUTE = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
+#: Start tags that end an open p.
+_ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
+    "h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+_ITEM_LIMITS = _BLOCK - frozenset("address div p".split())
+_ROWS = frozenset("caption colgroup tr".split())
+_CELLS = frozenset("td th".split())
+_GROUPS = _ROWS | frozenset("tbody tfoot thead".split())
+_TABLE = frozenset(["table"])
+#: By start tag: the open elements that it ends, and those beyond which it ends nothing.
+_IMPLIED = {
+    "li": (frozenset(["li"]), _ITEM_LIMITS - {"li"}),
+    **dict.fromkeys(("dt", "dd"), (frozenset(["dt", "dd"]), _ITEM_LIMITS - {"dt", "dd"})),
+    "option": (frozenset(["option"]), _BLOCK - {"option"}),
+    "optgroup": (frozenset(["option", "optgroup"]), _BLOCK - {"option", "optgroup"}),
+    **dict.fromkeys(("td", "th"), (_CELLS, _TABLE | {"tr"})),
+    "tr": (_ROWS, _TABLE),
+    **dict.fromkeys(("tbody", "tfoot", "thead", "caption", "colgroup"), (_GROUPS, _TABLE)),
+}
+_P = (frozenset(["p"]), frozenset("table td th caption".split()))
+_HEAD = (frozenset(["head"]), frozenset(["body"]))
+_IN_HEAD = frozenset("base basefont bgsound html link meta".split())
 _SPACE = re.compile(r"\s+")
 
 
@@ -73,11 +97,11 @@ def _part(tag: str, attributes: str, inside: int) -> tuple[bool, bool]:
         return not inside, False
     other, article = tag in _OTHER, tag in _INSIDE
     if attributes:
-        if _HIDDEN.search(attributes):
-            return True, False
         for name, *values in _ATTRIBUTE.findall(attributes):
             value = next((v for v in values if v), "")
             name = name.lower()
+            if name == "hidden" or name == "style" and _UNSEEN.search(value) or name == "aria-hidden" and value.strip().lower() == "true":
+                return True, False
             if name == "role":
                 other |= value.lower() in _ROLES
                 article |= value.lower() in ("main", "article")
@@ -113,6 +137,25 @@ def blocks(page: str | None) -> list[Block]:
         if links:
             linked += len("".join(html.unescape(piece).split()))
 
+    def pop():
+        nonlocal other, inside, links
+        name, was_other, was_inside = stack.pop()
+        other -= was_other
+        inside -= was_inside
+        links -= name == "a"
+        return name
+
+    def end(names: frozenset, limits: frozenset):
+        """Close the outermost open element of some names below the nearest of the limits."""
+        last = None
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] in names:
+                last = k
+            elif stack[k][0] in limits:
+                break
+        while last is not None and len(stack) > last:
+            pop()
+
     page = page or ""
     at = 0
     for token in _TOKEN.finditer(page):
@@ -131,14 +174,16 @@ def blocks(page: str | None) -> list[Block]:
             text.append(" ")
         if closing:
             if any(open_tag == tag for open_tag, _, _ in stack):
-                while stack:
-                    name, was_other, was_inside = stack.pop()
-                    other -= was_other
-                    inside -= was_inside
-                    links -= name == "a"
-                    if name == tag:
-                        break
-        elif tag not in _VOID and not attributes.endswith("/"):
+                while stack and pop() != tag:
+                    pass
+            continue
+        if tag not in _IN_HEAD and tag != "head":
+            end(*_HEAD)
+        if tag in _IMPLIED:
+            end(*_IMPLIED[tag])
+        if tag in _ENDS_P:
+            end(*_P)
+        if tag not in _VOID and not attributes.endswith("/"):
             is_other, is_inside = _part(tag, attributes, inside)
             stack.append((tag, is_other, is_inside))
             other += is_other
