@@ -16,7 +16,9 @@ from patronage.llm import (
     html_text,
     mixing,
     near_dedup,
+    packing,
     quality,
+    resampling,
     tokens,
     vector_dedup,
 )
@@ -79,6 +81,15 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op11_resample(spark: SparkSession, folder: str) -> DataFrame:
+    rows = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), percent=5, least_words=20, seed=42)
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_pack(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digests(packing.pack(table(spark, folder, "documents"), "byte_bpe_50k.json", end_id=0, size=1024))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -87,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_compression_scores, op3_quality_scores, op4_remove_repeats, op5_benchmark_matches,
-        op6_mix_sources, op7_token_ids, op8_main_text, op9_vector_links, op10_token_counts, pipeline,
+        op6_mix_sources, op7_token_ids, op8_main_text, op9_vector_links, op10_token_counts,
+        op11_resample, op12_pack, pipeline,
     )
 }
