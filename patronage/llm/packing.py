@@ -15,6 +15,7 @@ own. Rows without doc_id keep null. An empty table gives no pieces. Other column
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,9 +29,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.llm.tokens import tokenizer_file
+from patronage.llm.tokens import PARQUET, tokenizer_file
 from patronage.llm.word_ids import WordIds
-from patronage.staging import stage
+from patronage.staging import _application_folder, stage
 
 #: Ids that leave a task in one batch, or those of one longer document.
 BATCH_IDS = 1 << 20
@@ -89,7 +90,7 @@ def _encode(name: str, end_id: int, size: int):
 
 @dataclass
 class Run:
-    """Bytes [low, high) of the remainders of one length, those of `n` ranks from `rank` on."""
+    """Ids [low, high) of the remainders of one length, those of `n` ranks from `rank` on."""
 
     length: int
     low: int
@@ -304,7 +305,10 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0,
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     encoded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    encoded = stage(encoded.mapInArrow(_encode(tokenizer, end_id, size), ENCODED), "packed-ids")
+    # small row groups bound what a writer holds
+    folder = f"{_application_folder(docs.sparkSession)}/packed-ids-{uuid.uuid4().hex}"
+    encoded.mapInArrow(_encode(tokenizer, end_id, size), ENCODED).write.options(**PARQUET).parquet(folder)
+    encoded = docs.sparkSession.read.schema(ENCODED).parquet(folder)
     counts = encoded.groupBy("part", "length").agg(
         F.count("*").alias("n"), F.sum(F.floor(F.col("n_tokens") / size)).alias("whole")
     )

@@ -1,7 +1,7 @@
 """Token ids of whole texts, each distinct word encoded by the library once per task.
 
 A text is cut only where the tokenizer's own splitter cuts it whatever stands around: between a
-visible character and the blank after it, and between an ASCII letter or digit and a stop. Pieces
+visible character and the blank after it, and between an ASCII letter or digit and a sign. Pieces
 are told apart in Arrow, distinct new ones go to the library, and the ids of all pieces are
 gathered from one flat array, so no Python object exists per occurrence of a word. The splitters
 known here are those of the two public vocabularies; with any other, whole texts are encoded.
@@ -18,15 +18,15 @@ import numpy as np
 import pyarrow as pa
 
 #: Distinct pieces that a task remembers; beyond that it forgets all and starts anew.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 300_000
 #: Bytes of text that are split at a time, or one longer text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 JOINED_WORDS = 2000
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_STOP = np.zeros(256, bool)
-_STOP[list(b".,;:!?")] = True
+#: Signs that follow an ASCII letter or digit as a piece of their own; those of special strings never do.
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _VISIBLE = np.zeros(256, bool)
@@ -69,9 +69,12 @@ class WordIds:
         splitter = settings["pre_tokenizer"] or {}
         inner = (splitter.get("pretokenizers") or [{}])[0]
         plain_specials = not any(
-            t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or set(t["content"]) & set(" \t\n\v\f\r.,;:!?")
+            t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or set(t["content"]) & set(" \t\n\v\f\r")
             for t in settings["added_tokens"]
         )
+        own = "".join(t["content"] for t in settings["added_tokens"]).encode()
+        self.stop = np.zeros(256, bool)
+        self.stop[[sign for sign in SIGNS if sign not in own]] = True
         vocabulary = self.model.get_vocab()
         marks = np.zeros(max(vocabulary.values(), default=0) + 2, bool)
         self.kind = None
@@ -151,14 +154,14 @@ class WordIds:
         blank = _BLANK[data]
         before = np.empty_like(data)
         before[0], before[1:] = 0, data[:-1]
-        stop = _STOP[data] & _ALNUM[before]
+        stop = self.stop[data] & _ALNUM[before]
         first = np.zeros(len(data), bool)
         first[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
         if self.kind == "blanks":
             visible = _VISIBLE[before]
             # letters of two bytes, U+00C0 to U+00FF, are visible too
             visible[2:] |= (data[:-2] == 0xC3) & (before[2:] >= 0x80)
-            begin = np.flatnonzero(first | stop | ((data == 0x20) & visible))
+            begin = np.flatnonzero(first | stop | (blank & visible))
             return begin, np.append(begin[1:], len(data))
         after_blank = np.empty(len(data), bool)
         after_blank[0], after_blank[1:] = True, blank[:-1]
