@@ -19,6 +19,7 @@ from patronage.llm import (
     packing,
     quality,
     resampling,
+    spelling,
     tokens,
     vector_dedup,
 )
@@ -90,6 +91,10 @@ def op12_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, folder, "documents"), "byte_bpe_50k.json", end_id=0, size=1024))
 
 
+def op13_spelling_forms(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_forms(table(spark, folder, "documents"), spoil=31, times=10)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -99,6 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_near_duplicates, op2_compression_scores, op3_quality_scores, op4_remove_repeats, op5_benchmark_matches,
         op6_mix_sources, op7_token_ids, op8_main_text, op9_vector_links, op10_token_counts,
-        op11_resample, op12_pack, pipeline,
+        op11_resample, op12_pack, op13_spelling_forms, pipeline,
     )
 }

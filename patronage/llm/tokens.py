@@ -16,12 +16,9 @@ Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patronage.llm.word_ids import WordIds
 from patronage.staging import _application_folder, stage
 
 BATCH_CHARS = 1 << 18
@@ -77,94 +75,6 @@ def _encoder(path: str):
     return sliced
 
 
-#: Words that a task remembers the ids of; beyond that it forgets all and starts anew.
-KNOWN_WORDS = 600_000
-
-
-#: Normalizer and splitter for which words may be told apart by white space and by trailing stops.
-WORD_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
-WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-#: Stops after a letter or digit that stays one in the tokenizer's own view: a piece of their own.
-_STOPS = re.compile("(?<=[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])[.,;:!?]+\\Z")
-#: White space to str.split, but not to the tokenizer.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_SPACED = re.compile("[^\t-\r ]+")
-
-
-def _split(text: str) -> list[str]:
-    """Parts of a text between white space; only what the tokenizer takes for white space parts them."""
-    return _SPACED.findall(text) if _SEPARATORS.search(text) else text.split()
-
-
-def _word_encoder(path: str):
-    """As `_encoder`, for a tokenizer with word ends that drops white space.
-
-    There the ids of a text are those of its words one after the other, so each distinct word is
-    encoded once per task and memory. Stops after a letter or digit are a word of their own; any
-    other run of signs stays whole. Words of letters go to the library many at a time and are told
-    apart by the ids that end a word; others go one by one. Other tokenizers encode whole texts.
-    """
-    sliced = _encoder(path)
-    if path.endswith(".model"):
-        return sliced
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(path)
-    settings = json.loads(model.to_str())
-    ending = settings["model"].get("end_of_word_suffix")
-    specials = [t["content"] for t in settings["added_tokens"]]
-    splitter = ((settings["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
-    if (
-        not ending
-        or (settings["normalizer"] or {}).get("normalizers") != WORD_NORMALIZERS
-        or (splitter.get("pattern"), splitter.get("behavior"), splitter.get("invert")) != ({"Regex": WORD_PATTERN}, "Removed", True)
-        or any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in settings["added_tokens"])
-        or any(re.search(r"[\s.,;:!?]", x) for x in specials)
-    ):
-        return sliced
-    ends = np.zeros(model.get_vocab_size() + 1, bool)
-    ends[[i for token, i in model.get_vocab().items() if token.endswith(ending)]] = True
-    known: dict[str, list[int]] = {}
-
-    def small(stem: str) -> str:
-        """In lower case, as the tokenizer does, unless that could make or unmake a special string."""
-        lower = stem.lower()
-        return stem if any(x.lower() in lower for x in specials) else lower
-
-    def learn(words: set[str]) -> None:
-        words = list(words)
-        stems = [_STOPS.sub("", w) for w in words]
-        stops = [w[len(x) :] for w, x in zip(words, stems)]
-        stems = [small(x) if x.isascii() else x for x in stems]
-        wanted = set(stems).union(stops).difference(known)
-        wanted.discard("")
-        plain = [w for w in wanted if w.isalpha() and w.lower().isalpha()]
-        rest = list(wanted.difference(plain))
-        for i in range(0, len(plain), 2000):
-            part = plain[i : i + 2000]
-            ids = next(iter(sliced([" ".join(part)])))
-            cut = [0, *(np.flatnonzero(ends[ids]) + 1).tolist()]
-            if len(cut) == len(part) + 1 and cut[-1] == len(ids):
-                known.update((w, ids[x:y]) for w, x, y in zip(part, cut, cut[1:]))
-            else:
-                rest += part
-        known.update(zip(rest, sliced(rest)))
-        known[""] = []
-        known.update((w, known[x] + known[y] if y else known[x]) for w, x, y in zip(words, stems, stops))
-
-    def encode(texts: list[str]) -> Iterator[list[int]]:
-        words = [_split(t) for t in texts]
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        new = set().union(*words).difference(known)
-        if new:
-            learn(new)
-        for own in words:
-            yield list(chain.from_iterable(map(known.__getitem__, own)))
-
-    return encode
-
-
 def _counter(name: str):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = _encoder(tokenizer_file(name))
@@ -238,23 +148,15 @@ PARQUET = {
 
 def _ids_of(name: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sliced = _word_encoder(tokenizer_file(name))
+        words = WordIds(tokenizer_file(name))
         for batch in batches:
-            doc_id, texts = batch.column(0), batch.column(1).to_pylist()
-            at = 0
-            while at < len(texts):  # output batches are as bounded as the encoder's slices
-                end, size = at, 0
-                while end < len(texts) and (end == at or size + len(texts[end]) <= 4 * BATCH_CHARS):
-                    size += len(texts[end])
-                    end += 1
-                ids = [np.array([*i, end_id], np.int32) for i in sliced(texts[at:end])]
-                counts = np.fromiter(map(len, ids), np.int64, len(ids))
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+            for low, high, ids, counts in words.encode(batch.column(1)):
+                ids = np.insert(ids, np.cumsum(counts), end_id).astype(np.int32)
+                offsets = np.concatenate([[0], np.cumsum(counts + 1)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
-                    [doc_id.slice(at, end - at), pa.array(counts), lists], names=["doc_id", "n_tokens", "ids"]
+                    [batch.column(0).slice(low, high - low), pa.array(counts + 1), lists], names=["doc_id", "n_tokens", "ids"]
                 )
-                at = end
 
     return encode
 
