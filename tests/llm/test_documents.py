@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from patronage.llm import compression_model, exact_dedup, mixing, near_dedup, quality, tokens
+from patronage.llm import compression_model, exact_dedup, mixing, near_dedup, quality, tokens, word_ids
 from patronage.llm.components import components
 from patronage.llm.suffixes import suffix_array
 from tests.llm.helpers import crc_mod, documents, edge_rows, groups, shingles, words
@@ -304,20 +304,31 @@ def test_token_ids_round_trip(spark, edges, empty, tmp_path):
     assert tokens.read_digests(spark, str(tmp_path / "none")).count() == 0
 
 
-def test_remembered_words_equal_whole_texts():
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_remembered_words_equal_whole_texts(name, monkeypatch):
     """Random punctuation, controls, specials and letters against the library on whole texts."""
     import public_tokenizers
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
-    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(word_ids, "KNOWN_WORDS", 5000)
+    path = public_tokenizers.path(name)
     model = Tokenizer.from_file(path)
     texts = ['foo).', 'say "foo".', "the dogs'.", "50%, a*, it's. don't?!", "a\x1cb \x1d\x1e c\x1fd", "<|ENDOFTEXT|> <|endoftext|>.x", "İ. i̇."]
     texts += [f"b{chr(c)}. A{chr(c)}{chr(c)},; {chr(c)}?" for c in range(1, 0x3100)]
     pieces = [*"abzAZ09.,;:!?'\"()%*<|> \t\n\x0b\x1c\x1f\x85\xa0\u2003\u3000éÉßİıΣςÅ\u0301\u0307½٣中ǅ", "'s", "'RE", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "..."]
     random = np.random.default_rng(11)
     texts += ["".join(random.choice(pieces, random.integers(1, 40))) for _ in range(5_000)]
-    for text, ids in zip(texts, tokens._word_encoder(path)(texts), strict=True):
-        assert ids == model.encode(text, add_special_tokens=False).ids, text
+    texts += ["".join(random.choice([*pieces, " a", "\n", "$", "[", "]", "#", "_", "-"], random.integers(0, 40))) for _ in range(5_000)]
+    encoder = word_ids.WordIds(path)
+    assert encoder.kind
+    found = []
+    monkeypatch.setattr(word_ids, "SLICE_BYTES", 20_000)
+    for low, high, ids, counts in encoder.encode(pa.array(["", *texts]).slice(1)):
+        assert high - low == len(counts) and len(ids) == counts.sum()
+        found += np.split(ids, np.cumsum(counts)[:-1])
+    for text, ids in zip(texts, found, strict=True):
+        assert ids.tolist() == model.encode(text, add_special_tokens=False).ids, text
 
 
 def test_mixture_of_odd_rows(spark, edges, empty):
