@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ FREQUENCY_BOUND = 100
 MONETARY_QUANTILE = 0.95
 
 
+#: Parts that a group is ranked in before its sample is taken.
 SALTS = 64
 
 
@@ -66,10 +69,59 @@ def frequency_histogram(
 
 def quantile(rfm: DataFrame, column: str, probability: float) -> float | None:
     """Exact quantile of a column over all customers."""
-    found = quantiles(rfm, {column: [probability]}, id_column="CustomerID").first()
+    found = quantiles(rfm, {column: [probability]}).first()
     return found["value"] if found else None
 
 
+def approximate_quantiles(
+    rfm: DataFrame, columns: Iterable[str], probabilities: Iterable[float], *, accuracy: int = 1000
+) -> DataFrame:
+    """(measure, probability, value) in one scan: values whose rank is off by at most rows / accuracy.
+
+    The value at probability p is one of the column's own: fewer than (p + 1 / accuracy) of the
+    rows lie below it, and at least (p - 1 / accuracy) of them do not lie above. Nulls and NaN are
+    ignored. `quantile` is exact.
+    """
+    probabilities = sorted(probabilities)
+    listed = F.array(*(F.lit(float(p)) for p in probabilities))
+    found = rfm.agg(
+        *(F.percentile_approx(F.when(_is_number(c), F.col(c).cast("double")), listed, accuracy).alias(c) for c in columns)
+    )
+    rows = [
+        F.struct(F.lit(c).alias("measure"), F.lit(float(p)).alias("probability"), F.col(c)[i].alias("value"))
+        for c in columns
+        for i, p in enumerate(probabilities)
+    ]
+    return found.select(F.inline(F.array(*rows))).where("value IS NOT NULL")
+
+
+def rank_errors(rfm: DataFrame, found: DataFrame) -> DataFrame:
+    """`found` (measure, probability, value) with the share of rows by which each rank is off.
+
+    Rows below and up to every value are counted in one scan: each row is dealt to the first value
+    that it does not exceed, and running sums over the values do the rest.
+    """
+    values = found.groupBy("measure").agg(F.array_sort(F.collect_set("value")).alias("values"))
+    columns = [r["measure"] for r in values.select("measure").collect()]
+    long = rfm.select(
+        F.inline(F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("own")) for c in columns)))
+    ).where(_is_number("own"))
+    # One row per measure, as many values as probabilities were asked for.
+    dealt = long.join(F.broadcast(values), "measure").select(
+        "measure", F.expr("get(filter(values, v -> own <= v), 0)").alias("value"), F.expr("array_contains(values, own)").alias("equal")
+    )
+    counts = dealt.groupBy("measure", "value").agg(F.count("*").alias("n"), F.count_if("equal").alias("ties"))
+    in_order = Window.partitionBy("measure").orderBy(F.col("value").asc_nulls_last())
+    counts = counts.select(
+        "measure", "value", F.sum("n").over(in_order).alias("upto"), "ties",
+        F.sum("n").over(Window.partitionBy("measure")).alias("rows"),
+    )
+    wanted = F.col("probability") * F.col("rows")
+    off = F.greatest(F.col("upto") - F.col("ties") - wanted, wanted - F.col("upto"), F.lit(0.0))
+    joined = found.join(counts, ["measure", "value"])
+    return joined.select("measure", "probability", "value", (off / F.col("rows")).alias("rank_error"))
+
+
 def below_quantile(
     rfm: DataFrame, column: str = "Monetary", probability: float = MONETARY_QUANTILE
 ) -> DataFrame:
@@ -133,7 +185,7 @@ def box_statistics(customers: DataFrame, column: str, key: str = "prediction") -
     of the box, or at the box where there are none, and everything beyond counts as outlier.
     """
     parts = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    found = quantiles(customers, {column: parts.values()}, id_column="CustomerID", group=key)
+    found = quantiles(customers, {column: parts.values()}, group=key)
     at = {name: F.max(F.when(F.col("probability") == p, F.col("value"))) for name, p in parts.items()}
     boxes = found.groupBy("group").agg(*(value.alias(name) for name, value in at.items()))
     reach = 1.5 * (F.col("q3") - F.col("q1"))

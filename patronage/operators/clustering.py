@@ -93,6 +93,20 @@ def silhouette(
     ).evaluate(labelled)
 
 
+#: Customers that a partition of a fit holds.
+FIT_ROWS = 250_000
+
+
+def dealt(rows: DataFrame, *, id_column: str = "CustomerID", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The same rows in an order and in partitions that depend only on their ids and number.
+
+    Models start from samples that are drawn partition by partition, so without this the same
+    customers give other clusters when a table is written in other pieces.
+    """
+    partitions = max(1, -(-rows.count() // fit_rows))
+    return rows.repartition(partitions, id_column).sortWithinPartitions(id_column)
+
+
 def fit_kmeans(features: DataFrame, k: int) -> KMeansModel:
     return KMeans(
         featuresCol="features", k=k, seed=S.SEED, maxIter=S.KMEANS_ITERATIONS, tol=S.TOLERANCE
@@ -130,8 +144,8 @@ def renumber(labelled: DataFrame, numbers: DataFrame | None) -> DataFrame:
 
 def label(rfm: DataFrame, fit: Fit, k: int = 4) -> DataFrame:
     """Scale the measures, fit one model and label the customers with canonical numbers."""
-    features, _ = scale(rfm)
-    labelled = stage(fit(features, k).transform(features), "labels")
+    features, scaler = scale(dealt(rfm))
+    labelled = stage(fit(features, k).transform(scaler.transform(rfm)), "labels")
     return renumber(labelled, canonical_numbers(labelled))
 
 
@@ -152,10 +166,11 @@ def cluster(rfm: DataFrame, k: int = 4, *, canonical: bool = True) -> Clustering
     """
     if not rfm.limit(1).count():
         raise ValueError("no customers to cluster")
-    features, scaler = scale(rfm)
+    dealt_features, scaler = scale(dealt(rfm))
+    features = scaler.transform(rfm)
 
     def run(fit: Fit):
-        model = fit(features, k)
+        model = fit(dealt_features, k)
         labelled = stage(model.transform(features), "labels")
         numbers = canonical_numbers(labelled)
         score = silhouette(labelled, clusters=numbers.count())
@@ -176,24 +191,27 @@ def cluster(rfm: DataFrame, k: int = 4, *, canonical: bool = True) -> Clustering
     )
 
 
-def cost_sweep(features: DataFrame, max_k: int = 10, *, parallelism: int = 2) -> DataFrame:
-    """Within-cluster sum of squares of K-Means for k = 2..max_k, ordered by k.
+def sweep_models(features: DataFrame, max_k: int = 10, *, parallelism: int = 2) -> dict[int, KMeansModel]:
+    """K-Means for k = 2..max_k.
 
     All fits iterate over one persisted frame of vectors, which spills to disk where memory is
     short and is given up at the end; `parallelism` is how many fits share it at a time.
     """
-    vectors = features.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = dealt(features).select("features").persist(StorageLevel.MEMORY_AND_DISK)
 
-    def cost(k: int) -> tuple[int, float]:
-        model = KMeans(
-            featuresCol="features", k=k, seed=S.SEED, maxIter=S.SWEEP_ITERATIONS
-        ).fit(vectors)
-        return k, float(model.summary.trainingCost)
+    def fit(k: int) -> tuple[int, KMeansModel]:
+        return k, KMeans(featuresCol="features", k=k, seed=S.SEED, maxIter=S.SWEEP_ITERATIONS).fit(vectors)
 
     try:
         # The largest k takes longest, so it starts first.
-        tasks = [lambda k=k: cost(k) for k in range(max_k, 1, -1)]
-        rows = sorted(_in_threads(features.sparkSession, tasks, parallelism))
+        tasks = [lambda k=k: fit(k) for k in range(max_k, 1, -1)]
+        return dict(sorted(_in_threads(features.sparkSession, tasks, parallelism), key=lambda found: found[0]))
     finally:
         vectors.unpersist(blocking=True)
+
+
+def cost_sweep(features: DataFrame, max_k: int = 10, *, parallelism: int = 2) -> DataFrame:
+    """Within-cluster sum of squares of K-Means for k = 2..max_k, ordered by k."""
+    models = sweep_models(features, max_k, parallelism=parallelism)
+    rows = [(k, float(model.summary.trainingCost)) for k, model in models.items()]
     return features.sparkSession.createDataFrame(rows, CURVE_SCHEMA)

@@ -24,7 +24,7 @@ from patronage.operators.quartiles import quartiles
 from patronage.sources.exports import (
     CUSTOMERS_NAME,
     REPORT_NAME,
-    write_customers,
+    commit_export,
     write_report,
 )
 from patronage.staging import stage
@@ -222,8 +222,11 @@ def full_analysis(
 def export(
     analysis: ClusterAnalysis, folder: str, *, written_at: datetime.datetime | None = None
 ) -> None:
-    """Write the segmented customers and the summary report into `folder`."""
-    write_customers(analysis.segmented, f"{folder}/{CUSTOMERS_NAME}")
+    """Write the segmented customers and the summary report into `folder`.
+
+    The customers are a committed export: an earlier one is replaced only by a complete one.
+    """
+    commit_export(analysis.segmented, f"{folder}/{CUSTOMERS_NAME}")
     write_report(
         analysis.summary,
         analysis.clustering,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from patronage import schema as S
 from patronage.functions.scalars import segment_descriptions
 from patronage.operators.segments import ACTIONS
-from patronage.plans.catalog import CURVE_KS, RULES
+from patronage.plans.catalog import ALL_BRANCHES, CURVE_KS, RULES
 
 _MONEY = 1000
 
@@ -89,6 +89,17 @@ _RFM = _CLEANED + _MEASURES
 _CUSTOMERS = _RFM + _TILES
 _DIRTY_CUSTOMERS = _DIRTY_CLEANED + _MEASURES + _TILES
 
+# As the measures, but some customers have no readable date.
+_UNDATED = """,
+dated AS (SELECT *, CASE WHEN "CustomerID" % 7 <> 3 THEN "InvoiceDate" END AS day FROM cleaned),
+rfm AS (
+  SELECT "CustomerID",
+         CAST(date_diff('day', max(day), (SELECT max(day) FROM dated)) AS INTEGER) AS "Recency",
+         count(DISTINCT "InvoiceNo") AS "Frequency",
+         CAST(sum(CAST("TotalAmount" AS DECIMAL(18, 2))) AS DOUBLE) AS "Monetary"
+  FROM dated GROUP BY "CustomerID"
+)"""
+
 _BASE_COLUMNS = f""""CustomerID", "Recency", "Frequency", "Monetary", "TotalTransactions",
   {_half_up('"AvgTransactionValue"', 6)} AS "AvgTransactionValue",
   "FirstPurchaseDate", "LastPurchaseDate\""""
@@ -114,22 +125,29 @@ profile AS (
 )"""
 
 
-def _ladder(recency: str, frequency: str, monetary: str, fallback: str) -> str:
+# Limits in the order of the ladder: recency, frequency and value of the first two rungs, then one each.
+_USUAL_LIMITS = (50, 10, 2000 * _MONEY, 100, 5, 1000 * _MONEY, 30, 180, 500 * _MONEY)
+_ALL_LIMITS = (50, 12, 2500000, 100, 11, 2200000, 60, 400, 2100000)
+
+
+def _ladder(recency: str, frequency: str, monetary: str, fallback: str, limits=_USUAL_LIMITS) -> str:
+    vip_r, vip_f, vip_m, loyal_r, loyal_f, loyal_m, new_r, inactive_r, high_m = limits
     return f"""CASE
-    WHEN {recency} < 50 AND {frequency} > 10 AND {monetary} > {2000 * _MONEY} THEN '{S.VIP}'
-    WHEN {recency} < 100 AND {frequency} > 5 AND {monetary} > {1000 * _MONEY} THEN '{S.LOYAL}'
-    WHEN {recency} < 30 THEN '{S.NEW}'
-    WHEN {recency} > 180 THEN '{S.INACTIVE}'
-    WHEN {monetary} > {500 * _MONEY} THEN '{S.HIGH_VALUE}'
+    WHEN {recency} < {vip_r} AND {frequency} > {vip_f} AND {monetary} > {vip_m} THEN '{S.VIP}'
+    WHEN {recency} < {loyal_r} AND {frequency} > {loyal_f} AND {monetary} > {loyal_m} THEN '{S.LOYAL}'
+    WHEN {recency} < {new_r} THEN '{S.NEW}'
+    WHEN {recency} > {inactive_r} THEN '{S.INACTIVE}'
+    WHEN {monetary} > {high_m} THEN '{S.HIGH_VALUE}'
     ELSE {fallback} END"""
 
 
-def _named(key: str) -> str:
+def _named(key: str, limits=_USUAL_LIMITS) -> str:
     name = _ladder(
         '"Recency_mean"',
         '"Frequency_mean"',
         '"Monetary_mean"',
         f"'{S.UNNAMED_PREFIX}' || CAST(\"{key}\" AS VARCHAR)",
+        limits,
     )
     return f"""{_CUSTOMERS}{_profile(key)},
 named AS (
@@ -137,10 +155,31 @@ named AS (
 )"""
 
 
-_TEXTS = segment_descriptions(RULES)
-_DESCRIPTION = "CASE \"Segment_Name\"" + "".join(
-    f" WHEN '{name}' THEN '{text}'" for name, text in _TEXTS.items() if name
-) + f""" ELSE '{_TEXTS[None]}' END AS "Description\""""
+def _description(rules: S.SegmentRules) -> str:
+    texts = segment_descriptions(rules)
+    return "CASE \"Segment_Name\"" + "".join(
+        f" WHEN '{name}' THEN '{text}'" for name, text in texts.items() if name
+    ) + f""" ELSE '{texts[None]}' END AS "Description\""""
+
+
+_DESCRIPTION = _description(RULES)
+
+
+def _recommended(named: str) -> str:
+    return f"""WITH {named},
+        actions(kind, rank, action) AS (VALUES
+    {_ACTION_ROWS}),
+        kinds AS (
+          SELECT DISTINCT "Segment_Name",
+                 CASE WHEN "Segment_Name" LIKE '%VIP%' THEN 'VIP'
+                      WHEN "Segment_Name" LIKE '%Loyal%' THEN 'Loyal'
+                      WHEN "Segment_Name" LIKE '%New%' THEN 'New'
+                      WHEN "Segment_Name" LIKE '%Inactive%' THEN 'Inactive'
+                      ELSE 'Other' END AS kind
+          FROM named)
+        SELECT "Segment_Name", CAST(rank AS INTEGER) AS rank, action
+        FROM kinds JOIN actions ON kinds.kind = actions.kind"""
+
 
 _ACTION_ROWS = ",\n    ".join(
     f"('{kind}', {rank}, '{action}')"
@@ -176,8 +215,30 @@ ratios AS (
 )"""
 
 
-def _axis(name: str, source: str, measure: str) -> str:
-    """Fifty equal bins over the values of a measure."""
+def _report(key: str) -> str:
+    def fixed(column: str, places: int) -> str:
+        value = f'CAST(CAST("{column}" AS DECIMAL(38, 5)) AS DECIMAL(38, {places}))'
+        return f"CAST({value} AS VARCHAR)"
+
+    return f"""WITH {_named(key)},
+written AS (
+  SELECT 1 AS position, 'Segments of ' || CAST(sum("CustomerID_count") AS VARCHAR)
+         || ' customers as of 2024-05-06 07:08:09' AS value FROM named
+  UNION ALL SELECT 2, 'Model: {S.KMEANS_NAME} with k = 4, mean silhouette 0.5000'
+  UNION ALL SELECT 3, ''
+  UNION ALL SELECT 4, concat_ws(chr(9), 'no.', 'segment', 'size', 'days since last invoice', 'invoices', 'value', 'revenue')
+  UNION ALL
+  SELECT 4 + row_number() OVER (ORDER BY "{key}"),
+         concat_ws(chr(9), CAST("{key}" AS VARCHAR), "Segment_Name", CAST("CustomerID_count" AS VARCHAR),
+                   {fixed("Recency_mean", 1)}, {fixed("Frequency_mean", 1)}, {fixed("Monetary_mean", 2)},
+                   CAST(CAST(CAST("Monetary_mean" * "CustomerID_count" AS DECIMAL(38, 5)) AS DECIMAL(38, 0)) AS VARCHAR))
+  FROM named
+)
+SELECT CAST(position AS INTEGER) AS position, value FROM written"""
+
+
+def _axis(name: str, source: str, measure: str, bins: int = 50) -> str:
+    """Equal bins over the values of a measure."""
     return f"""
 {name}_span AS (
   SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo,
@@ -186,14 +247,24 @@ def _axis(name: str, source: str, measure: str) -> str:
         FROM {source})
 ),
 {name} AS (
-  SELECT CAST(i AS INTEGER) AS bin, lo + i * ((hi - lo) / 50) AS bin_low,
-         lo + (i + 1) * ((hi - lo) / 50) AS bin_high
-  FROM {name}_span, range(50) AS t(i)
+  SELECT CAST(i AS INTEGER) AS bin, lo + i * ((hi - lo) / {bins}) AS bin_low,
+         lo + (i + 1) * ((hi - lo) / {bins}) AS bin_high
+  FROM {name}_span, range({bins}) AS t(i)
 )"""
 
 
-def _in_bin(name: str, value: str) -> str:
-    return f"({value} >= {name}.bin_low AND ({value} < {name}.bin_high OR {name}.bin = 49))"
+def _in_bin(name: str, value: str, bins: int = 50) -> str:
+    return f"({value} >= {name}.bin_low AND ({value} < {name}.bin_high OR {name}.bin = {bins - 1}))"
+
+
+def _cube(key: str, bins: int = 20) -> str:
+    axes = {"x": "Recency", "y": "Frequency", "z": "Monetary"}
+    spans = ",".join(_axis(f"{a}_axis", "customers", m, bins) for a, m in axes.items())
+    joins = " ".join(f"""JOIN {a}_axis ON {_in_bin(f"{a}_axis", f'"{m}"', bins)}""" for a, m in axes.items())
+    cells = ", ".join(f"{a}_axis.bin" for a in axes)
+    named = ", ".join(f"{a}_axis.bin AS {a}_bin" for a in axes)
+    return f"""WITH {_CUSTOMERS},{spans}
+SELECT "{key}", {named}, count(*) AS customers FROM customers {joins} GROUP BY "{key}", {cells}"""
 
 
 def _histogram(measure: str, condition: str) -> str:
@@ -219,19 +290,19 @@ FROM {source} JOIN x_axis ON {_in_bin("x_axis", f'"{x}"')}
 GROUP BY {keys}x_axis.bin, y_axis.bin"""
 
 
-def _box(measure: str) -> str:
+def _box(measure: str, key: str = '"R_Quartile"', name: str = "R_Quartile") -> str:
     return f"""WITH {_CUSTOMERS},
 boxes AS (
-  SELECT "R_Quartile" AS g, quantile_cont("{measure}", 0.25) AS q1,
+  SELECT {key} AS g, quantile_cont("{measure}", 0.25) AS q1,
          quantile_cont("{measure}", 0.5) AS median, quantile_cont("{measure}", 0.75) AS q3
-  FROM customers GROUP BY "R_Quartile"
+  FROM customers GROUP BY {key}
 ),
 placed AS (
   SELECT g, q1, median, q3, CAST("{measure}" AS DOUBLE) AS v,
          "{measure}" BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside
-  FROM customers JOIN boxes ON "R_Quartile" = g
+  FROM customers JOIN boxes ON {key} = g
 )
-SELECT g AS "R_Quartile", count(*) AS customers, {_half_up('q1', 4)} AS q1,
+SELECT g AS "{name}", count(*) AS customers, {_half_up('q1', 4)} AS q1,
        {_half_up('median', 4)} AS median, {_half_up('q3', 4)} AS q3,
        {_half_up("least(q1, min(v) FILTER (WHERE inside))", 4)} AS whisker_low,
        {_half_up("greatest(q3, max(v) FILTER (WHERE inside))", 4)} AS whisker_high,
@@ -247,8 +318,9 @@ def _scaled(source: str) -> str:
     return f'SELECT *, {columns} FROM {source} WHERE "Recency" IS NOT NULL'
 
 
-_SILHOUETTE = f"""WITH {_CUSTOMERS},
-points AS (SELECT "CustomerID" AS id, "R_Quartile" AS c, r, f, m FROM ({_scaled("customers")})),
+def _silhouette(label: str) -> str:
+    return f"""WITH {_CUSTOMERS},
+points AS (SELECT "CustomerID" AS id, "{label}" AS c, r, f, m FROM ({_scaled("customers")})),
 sums AS (
   SELECT c, count(*) AS n, sum(r) AS yr, sum(f) AS yf, sum(m) AS ym,
          sum(r * r + f * f + m * m) AS psi
@@ -286,6 +358,54 @@ _CLEAN_STATS = f"""WITH {_DIRTY_CLEANED}
                      count(*) FILTER (WHERE "InvoiceDate" IS NULL) AS bad_date_count
               FROM cleaned)"""
 
+_CHARTED = ("hist_recency", "grid_rf", "grid_fm", "grid_rm")
+
+
+def _job_counts() -> str:
+    return f"""{_DIRTY_CUSTOMERS},
+counts AS (
+  SELECT (SELECT count(*) FROM lines) AS original_count, (SELECT count(*) FROM cleaned) AS cleaned_count,
+         count(*) AS customers, CAST(sum("RFM_Score") AS BIGINT) AS score_sum,
+         count("Recency") AS dated, count(*) FILTER (WHERE "Recency" IS NULL) AS undated
+  FROM customers
+)"""
+
+
+def _job_customers() -> str:
+    charted = ", ".join(
+        f"CAST({'dated' if 'r' in name.split('_')[1] else 'customers'} AS BIGINT) AS {name}" for name in _CHARTED
+    )
+    return f"""WITH {_job_counts()}
+SELECT original_count, cleaned_count, customers,
+       (SELECT {_half_up('avg("Monetary")')} FROM customers) AS mean_value, score_sum, {charted},
+       CAST((SELECT count(*) FROM customers WHERE "Frequency" < 100) AS BIGINT) AS hist_frequency,
+       CAST((SELECT count(*) FROM customers
+             WHERE "Monetary" < (SELECT quantile_cont("Monetary", 0.95) FROM customers)) AS BIGINT) AS hist_monetary,
+       CAST(10 AS BIGINT) AS preview_rows,
+       (SELECT strftime(max("InvoiceDate"), '%Y-%m-%d') FROM cleaned) AS snapshot_day
+FROM counts"""
+
+
+def _job_clusters() -> str:
+    everyone = ("profiled", "impact_customers", "summary_customers", "sizes", "box_recency", "box_monetary",
+                "cube_by_cluster", "grid_rf_by_cluster", "grid_fm_by_cluster", "grid_rm_by_cluster")
+    return f"""WITH {_job_counts()}
+SELECT dated AS segmented,
+       (SELECT round(CAST(sum(CAST("Monetary" AS DECIMAL(18, 2))) AS DOUBLE), 2) FROM customers WHERE "Recency" IS NOT NULL) AS revenue,
+       (SELECT CAST(sum("RFM_Score") AS BIGINT) FROM customers WHERE "Recency" IS NOT NULL) AS scores,
+       CAST(4 AS BIGINT) AS clusters, CAST(4 AS BIGINT) AS numbers, undated AS unscaled_count,
+       CAST(0 AS BIGINT) AS actions_missing, {", ".join(f"dated AS {name}" for name in everyone)}
+FROM counts"""
+
+
+def _job_full() -> str:
+    return f"""WITH {_job_counts()}
+SELECT original_count, cleaned_count, customers, score_sum, dated AS hist_recency, dated AS segmented,
+       CAST(4 AS BIGINT) AS clusters, dated AS profiled, dated AS grid_rf_by_cluster, dated AS exported,
+       CAST(8 AS BIGINT) AS report_lines, CAST(3 AS BIGINT) AS sweep_steps
+FROM counts"""
+
+
 _MEANS = ", ".join(f"""{_half_up(f'avg("{m}")', 4)} AS "{m}_mean\"""" for m in S.MEASURES)
 
 ORACLE: dict[str, str] = {
@@ -297,6 +417,10 @@ ORACLE: dict[str, str] = {
              LEFT JOIN customer ON o_custkey = c_custkey
              LEFT JOIN nation ON c_nationkey = n_nationkey""",
     "clean_rows": f"WITH {_DIRTY_CLEANED} SELECT {_CLEAN_COLUMNS} FROM cleaned",
+    "clean_rows_csv": f"WITH {_DIRTY_CLEANED} SELECT {_CLEAN_COLUMNS} FROM cleaned",
+    "csv_records": f"""WITH {_DIRTY_LINES}
+        SELECT lines + broken AS record_count, lines AS line_count, broken AS corrupt_count
+        FROM (SELECT count(*) AS lines FROM lines), (SELECT count(*) AS broken FROM supplier)""",
     "clean_rows_dated": f"""WITH {_DIRTY_CLEANED}
         SELECT {_CLEAN_COLUMNS} FROM cleaned WHERE "InvoiceDate" IS NOT NULL""",
     "clean_stats": _CLEAN_STATS,
@@ -317,6 +441,8 @@ ORACLE: dict[str, str] = {
     "rfm_dirty_quartiles": f"""WITH {_DIRTY_CUSTOMERS}
         SELECT "CustomerID", "R_Quartile", "F_Quartile", "M_Quartile", "RFM_Score"
         FROM customers""",
+    "undated_quartiles": f"""WITH {_CLEANED}{_UNDATED}{_TILES}
+        SELECT "CustomerID", "Recency", "R_Quartile", "F_Quartile", "M_Quartile", "RFM_Score" FROM customers""",
     "customer_kpis": f"WITH {_RFM} SELECT count(*) AS customers, {_MEANS} FROM rfm",
     "score_projection": f"""WITH {_CUSTOMERS}
         SELECT "CustomerID", "Recency", "Frequency", "Monetary", "R_Quartile" AS prediction,
@@ -334,6 +460,13 @@ ORACLE: dict[str, str] = {
         SELECT {_half_up('max(p)', 4)} AS p95,
                count(*) FILTER (WHERE "Monetary" < p) AS customers_below
         FROM rfm, bound""",
+    "approximate_quantiles": " UNION ALL ".join(
+        f"SELECT '{m}' AS measure, CAST(49 AS BIGINT) AS probabilities, CAST(0 AS BIGINT) AS outside" for m in S.MEASURES
+    ),
+    "frequency_sketches": f"""WITH {_RFM}
+        SELECT "CustomerID", "Recency", "Frequency", "Monetary", "TotalTransactions",
+               1 AS estimate_near
+        FROM rfm""",
     "vip_count": f"""WITH {_named("RFM_Score")}
         SELECT CAST(coalesce(sum("CustomerID_count")
                     FILTER (WHERE "Segment_Name" LIKE '%VIP%'), 0) AS BIGINT) AS vip_customers
@@ -355,19 +488,23 @@ ORACLE: dict[str, str] = {
     "segment_lookup": f"""WITH {_named("RFM_Score")}
         SELECT "CustomerID", customers."RFM_Score", "Segment_Name" AS "Segment"
         FROM customers JOIN named ON customers."RFM_Score" = named."RFM_Score\"""",
-    "recommendations": f"""WITH {_named("RFM_Score")},
-        actions(kind, rank, action) AS (VALUES
-    {_ACTION_ROWS}),
-        kinds AS (
-          SELECT DISTINCT "Segment_Name",
-                 CASE WHEN "Segment_Name" LIKE '%VIP%' THEN 'VIP'
-                      WHEN "Segment_Name" LIKE '%Loyal%' THEN 'Loyal'
-                      WHEN "Segment_Name" LIKE '%New%' THEN 'New'
-                      WHEN "Segment_Name" LIKE '%Inactive%' THEN 'Inactive'
-                      ELSE 'Other' END AS kind
-          FROM named)
-        SELECT "Segment_Name", CAST(rank AS INTEGER) AS rank, action
-        FROM kinds JOIN actions ON kinds.kind = actions.kind""",
+    "recommendations": _recommended(_named("RFM_Score")),
+    "recommend_all_kinds": _recommended(_named("RFM_Score", _ALL_LIMITS)),
+    "segment_all_branches": f"""WITH {_named("RFM_Score", _ALL_LIMITS)}
+        SELECT "RFM_Score", "CustomerID_count", "Segment_Name", {_description(ALL_BRANCHES)} FROM named""",
+    "lookup_fallback": f"""WITH {_named("RFM_Score")}
+        SELECT "CustomerID", customers."RFM_Score",
+               CASE WHEN customers."RFM_Score" % 2 = 0 THEN "Segment_Name"
+                    ELSE '{S.UNNAMED_PREFIX}' || CAST(customers."RFM_Score" AS VARCHAR) END AS "Segment"
+        FROM customers JOIN named ON customers."RFM_Score" = named."RFM_Score\"""",
+    "profile_order": f"""WITH {_named("RFM_Score")}
+        SELECT "RFM_Score", CAST(row_number() OVER (ORDER BY "RFM_Score") AS INTEGER) AS position FROM named""",
+    "report_text": _report("R_Quartile"),
+    "export_read_back": f"""WITH {_CUSTOMERS}
+        SELECT "CustomerID", "Recency", "Frequency", "Monetary", "TotalTransactions", "RFM_Score",
+               {_ladder('"Recency"', '"Frequency"', '"Monetary"', "'Regular'")} AS "Segment",
+               'CustomerID,Recency,Frequency,Monetary,TotalTransactions,RFM_Score,Segment' AS column_order
+        FROM customers""",
     "impact_summary": f"""WITH {_named("RFM_Score")}
         SELECT CAST(sum("CustomerID_count") AS BIGINT) AS customers,
                CAST(coalesce(sum("CustomerID_count")
@@ -383,7 +520,23 @@ ORACLE: dict[str, str] = {
         SELECT "CustomerID", round(r, 6) AS "Recency_scaled", round(f, 6) AS "Frequency_scaled",
                round(m, 6) AS "Monetary_scaled"
         FROM ({_scaled("rfm")})""",
-    "silhouette_fixed": _SILHOUETTE,
+    "silhouette_fixed": _silhouette("R_Quartile"),
+    "model_choice": f"""WITH a AS ({_silhouette("R_Quartile")}), b AS ({_silhouette("M_Quartile")}),
+        cases AS (
+          SELECT 'as_is' AS "case", a.silhouette AS kmeans, b.silhouette AS mixture FROM a, b
+          UNION ALL SELECT 'swapped', b.silhouette, a.silhouette FROM a, b
+          UNION ALL SELECT 'tie', b.silhouette, b.silhouette FROM b)
+        SELECT *, CASE WHEN kmeans > mixture THEN '{S.KMEANS_NAME}' ELSE '{S.MIXTURE_NAME}' END AS chosen FROM cases""",
+    "kmeans_check": f"""WITH {_RFM}
+        SELECT count(*) AS customers, CAST(0 AS BIGINT) AS not_nearest, CAST(0 AS BIGINT) AS cost_differing FROM rfm""",
+    "mixture_check": """SELECT CAST(0 AS BIGINT) AS sums_off, CAST(0 AS BIGINT) AS not_most_probable,
+        CAST(0 AS BIGINT) AS means_moved""",
+    "sweep_check": f"""WITH {_RFM}
+        SELECT CAST(k AS INTEGER) AS k, customers, 0 AS differing
+        FROM (SELECT count(*) AS customers FROM rfm), range(2, 11) AS t(k)""",
+    "labels_by_partitioning": f"""WITH {_RFM}
+        SELECT model, customers, CAST(0 AS BIGINT) AS differing
+        FROM (SELECT count(*) AS customers FROM rfm), (VALUES ('kmeans'), ('mixture')) AS t(model)""",
     "elbow_table": f"""WITH {_CURVE}
         SELECT k, "WSSSE",
                coalesce({_half_up('("WSSSE" / lag("WSSSE") OVER (ORDER BY k) - 1) * -100')}, 0)
@@ -401,7 +554,26 @@ ORACLE: dict[str, str] = {
     "grid_rf": _grid("Recency", "Frequency", "Monetary"),
     "grid_fm": _grid("Frequency", "Monetary", "Recency"),
     "grid_rm": _grid("Recency", "Monetary", "Frequency"),
+    "hist_frequency_10": _histogram("Frequency", '"Frequency" < 10'),
     "grid_by_group": _grid("Recency", "Frequency", "Monetary", "R_Quartile"),
+    "grid_fm_by_group": _grid("Frequency", "Monetary", "Recency", "R_Quartile"),
+    "grid_rm_by_group": _grid("Recency", "Monetary", "Frequency", "R_Quartile"),
+    "cube_by_group": _cube("R_Quartile"),
+    "point_sample": f"""WITH {_CUSTOMERS},
+        placed AS (
+          SELECT "CustomerID", "Recency", "Frequency", "Monetary", "R_Quartile",
+                 row_number() OVER (PARTITION BY "R_Quartile" ORDER BY md5('42:' || CAST("CustomerID" AS VARCHAR)), "CustomerID") AS place,
+                 count(*) OVER (PARTITION BY "R_Quartile") AS group_customers
+          FROM customers)
+        SELECT * EXCLUDE (place) FROM placed WHERE place <= 100""",
+    "job_customers": _job_customers(),
+    "job_clusters": _job_clusters(),
+    "job_full": _job_full(),
     "box_recency": _box("Recency"),
     "box_monetary": _box("Monetary"),
+    "box_by_customer_group": _box("Monetary", '"CustomerID" % 150', "customer_group"),
+    "tiles_100": f"""WITH {_RFM}
+        SELECT "CustomerID", """
+    + ", ".join(f'{_tile(m, 100)} AS "{m}_tile"' for m in S.MEASURES)
+    + " FROM rfm",
 }

@@ -1,11 +1,18 @@
-"""Outputs: segmented customers and the summary report."""
+"""Outputs: segmented customers and the summary report, and exports that are whole or not there.
+
+A committed export is written beside its place, counted, given a manifest, and moved to its place in
+one step. What has no manifest was never finished, so readers refuse it.
+"""
 
 from __future__ import annotations
 
 import datetime
+import json
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronage.operators.clustering import Clustering
 
@@ -22,6 +29,63 @@ def write_customers(segmented: DataFrame, path: str, *, format: str = "csv") ->
     writer.save(path)
 
 
+MANIFEST = "_manifest"
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def commit_export(df: DataFrame, path: str, *, format: str = "csv") -> dict:
+    """Write `df` to `path`, replacing an earlier export only when the new one is complete.
+
+    Returns the manifest: row count, columns with types in order, format. A run that ends early
+    leaves a folder beside `path` that no reader takes for an export, and the earlier export as it
+    was. Where the file system renames folders in one step, so does the last step.
+    """
+    spark = df.sparkSession
+    files, place = _file_system(spark, path)
+    beside = f"{path}.writing-{uuid.uuid4().hex}"
+    write_customers(df, beside, format=format)
+    written = spark.read.schema(df.schema).format(format)
+    written = (written.option("header", True) if format == "csv" else written).load(beside)
+    manifest = {
+        "rows": written.count(),
+        "columns": [[f.name, f.dataType.simpleString()] for f in df.schema.fields],
+        "format": format,
+    }
+    spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.text(f"{beside}/{MANIFEST}")
+    before = None
+    if files.exists(place):
+        before = _file_system(spark, f"{path}.before-{uuid.uuid4().hex}")[1]
+        if not files.rename(place, before):
+            raise OSError(f"cannot replace {path}")
+    if not files.rename(_file_system(spark, beside)[1], place):
+        if before is not None:
+            files.rename(before, place)
+        raise OSError(f"cannot move the export to {path}")
+    if before is not None:
+        files.delete(before, True)
+    return manifest
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """A committed export, its columns in order and typed; an error if there is none that is whole."""
+    files, place = _file_system(spark, f"{path}/{MANIFEST}/_SUCCESS")
+    if not files.exists(place):
+        raise FileNotFoundError(f"no finished export in {path}")
+    manifest = json.loads(spark.read.text(f"{path}/{MANIFEST}").first()[0])
+    schema = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in manifest["columns"]))
+    reader = spark.read.schema(schema).format(manifest["format"])
+    if manifest["format"] == "csv":
+        reader = reader.option("header", True).option("enforceSchema", False)
+    rows = reader.load(path)
+    if rows.count() != manifest["rows"]:
+        raise ValueError(f"{path} does not hold the {manifest['rows']} rows of its manifest")
+    return rows
+
+
 def report_header(
     written_at: datetime.datetime, customers: int, k: int, best_model: str, score: float | None
 ) -> list[str]:

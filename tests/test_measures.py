@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from patronage.operators.cleaning import clean
 from patronage.operators.measures import invoice_facts, rfm
-from patronage.operators.order_stats import counts, quantiles, rows_at_ranks
+from patronage.operators.order_stats import quantiles, values_at
 from patronage.operators.quartiles import last_ranks, quartiles, tile_columns
 from patronage.sources import tables
 from tests.test_cleaning import frame
@@ -93,7 +93,7 @@ def test_tiles_of_few_rows(spark, n):
 def test_tiles_under_heavy_ties_and_nulls(spark, tiles):
     """A third of the rows share one value, a third are null, the rest spread widely."""
     df = _materialised(spark)
-    assert _same(_distributed(df, tiles, buckets=64, finish_rows=5), _with_windows(df, tiles))
+    assert _same(_distributed(df, tiles, accuracy=64, finish_rows=5), _with_windows(df, tiles))
 
 
 def _materialised(spark):
@@ -110,7 +110,7 @@ def test_text_ids_break_ties_by_hash(spark):
     df = spark.createDataFrame(
         [(f"c'{i}", 1, float(i % 5)) for i in range(500)], "CustomerID string, A int, B double"
     )
-    tiles = _distributed(df, buckets=64, finish_rows=3)
+    tiles = _distributed(df, accuracy=64, finish_rows=3)
     sizes = {r.A: r["count"] for r in tiles.groupBy("A").count().collect()}
     assert sizes == {1: 125, 2: 125, 3: 125, 4: 125}
     hashed = df.withColumn("h", F.xxhash64("CustomerID"))
@@ -137,9 +137,8 @@ def test_quantiles_of_groups(spark):
     found = quantiles(
         df,
         {"A": [0.25, 0.5], "B": [0.0, 0.95, 1.0]},
-        id_column="CustomerID",
         group="g",
-        buckets=100,
+        accuracy=100,
         finish_rows=4,
     ).collect()
     exact = {
@@ -157,13 +156,13 @@ def test_quantiles_of_groups(spark):
 
 def test_quantiles_without_values(spark):
     df = spark.createDataFrame([(1, None)], "CustomerID bigint, A double")
-    assert quantiles(df, {"A": [0.5]}, id_column="CustomerID").count() == 0
+    assert quantiles(df, {"A": [0.5]}).count() == 0
 
 
 def test_values_that_are_not_finite_have_places(spark):
     values = [float("nan"), None, 2.0, float("inf"), float("-inf"), 1.0]
     df = spark.createDataFrame(list(enumerate(values)), "CustomerID bigint, A double")
-    tile = tile_columns(df, [("A", 6)], buckets=3)["A", 6]
+    tile = tile_columns(df, [("A", 6)], finish_rows=0)["A", 6]
     found = {r.CustomerID: r.tile for r in df.select("CustomerID", tile.alias("tile")).collect()}
     assert found == {1: 1, 4: 2, 5: 3, 2: 4, 3: 5, 0: 6}
 
@@ -173,12 +172,8 @@ def test_text_groups_and_a_null_group(spark):
         [(i, float(i), ("it's", "b\\", None)[i % 3]) for i in range(90)],
         "CustomerID bigint, A double, g string",
     )
-    known = counts(df, ["A"], "CustomerID", "g")
-    ranks = spark.createDataFrame(
-        [("it's", "A", 10), ("b\\", "A", 10), (None, "A", 10)], "group string, measure string, rank int"
-    )
-    cuts = rows_at_ranks(df, ranks, known, id_column="CustomerID", group="g", buckets=4)
-    assert {r["group"]: r["id"] for r in cuts.collect()} == {"it's": 27, "b\\": 28, None: 29}
+    cuts = values_at(df, {"A": {0.33: "10"}}, nulls=True, group="g", accuracy=8, finish_rows=0)
+    assert {r["group"]: r["value"] for r in cuts.collect()} == {"it's": 27.0, "b\\": 28.0, None: 29.0}
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -197,7 +192,7 @@ def test_text_groups_and_a_null_group(spark):
 def test_tiles_of_any_values(spark, values, tiles):
     rows = [(i * 7919 % 104729, v) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "CustomerID bigint, A double")
-    columns = tile_columns(df, [("A", tiles)], buckets=200)
+    columns = tile_columns(df, [("A", tiles)], accuracy=8, finish_rows=2)
     ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0.0, r[0]))
     borders = last_ranks(len(rows), tiles)
     expected = {r[0]: 1 + sum(n > b for b in borders) for n, r in enumerate(ordered, 1)}
