@@ -21,7 +21,8 @@ import pyarrow as pa
 KNOWN_WORDS = 300_000
 #: Bytes of text that are split at a time, or one longer text.
 SLICE_BYTES = 2 << 20
-JOINED_WORDS = 2000
+#: Words that go to the library in one string.
+JOINED_WORDS = 200
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -61,8 +62,12 @@ class WordIds:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
 
         self.model = Tokenizer.from_file(path)
+        # the same model for words of ASCII letters, which need no pattern to be told apart
+        self.letters = Tokenizer(self.model.model)
+        self.letters.pre_tokenizer = CharDelimiterSplit(" ")
         self.model.no_truncation()
         self.model.no_padding()
         settings = json.loads(self.model.to_str())
@@ -110,6 +115,10 @@ class WordIds:
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _joined(self, text: str, letters: bool) -> np.ndarray:
+        model = self.letters if letters else self.model
+        return np.array(model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+
     def _remember(self, pieces: list[bytes], ids: np.ndarray, length: np.ndarray) -> None:
         """Add `pieces` whose ids lie one after the other in `ids`, `length` of them each."""
         n, at = len(ids), len(self.known)
@@ -127,27 +136,37 @@ class WordIds:
 
     def _learn(self, new: list[bytes]) -> None:
         """Encode pieces by the library: words of letters many at a time, told apart by the marked ids."""
-        texts = [piece.decode() for piece in new]
         lead = 1 if self.kind == "blanks" else 0
-        plain, rest = [], []
-        for i, text in enumerate(texts):
+        letters, words, rest = [], [], []
+        for piece in new:
+            if piece[lead:].isalpha() and (not lead or piece[0] == 0x20):  # of bytes: ASCII letters
+                letters.append(piece)
+                continue
+            text = piece.decode()
             body = text[lead:]
             whole = body.isalpha() and body.lower().isalpha() and (not lead or text[0] == " ")
-            (plain if whole else rest).append(i)
-        for at in range(0, len(plain), JOINED_WORDS):
-            part = plain[at : at + JOINED_WORDS]
-            ids = np.array(self._library([("" if lead else " ").join(texts[i] for i in part)])[0], np.int32)
-            cut = np.flatnonzero(self.marks[ids])
-            cut = np.append(cut, len(ids)) if lead else np.concatenate([[0], cut + 1])
-            if len(cut) == len(part) + 1 and cut[0] == 0 and cut[-1] == len(ids):
-                self._remember([new[i] for i in part], ids, np.diff(cut))
-            else:
-                rest += part
+            (words if whole else rest).append(piece)
+        for pieces, plain in ((letters, True), (words, False)):
+            for at in range(0, len(pieces), JOINED_WORDS):
+                part = pieces[at : at + JOINED_WORDS]
+                if not lead:
+                    text = b" ".join(part)
+                    ids = self._joined((text.lower() if plain else text).decode(), plain)
+                elif plain:
+                    ids = self._joined(b"".join(part).decode().replace(" ", " Ġ")[1:], True)
+                else:
+                    ids = self._joined(b"".join(part).decode(), False)
+                cut = np.flatnonzero(self.marks[ids])
+                cut = np.append(cut, len(ids)) if lead else np.concatenate([[0], cut + 1])
+                if len(cut) == len(part) + 1 and cut[0] == 0 and cut[-1] == len(ids):
+                    self._remember(part, ids, np.diff(cut))
+                else:
+                    rest += part
         for at in range(0, len(rest), JOINED_WORDS):
             part = rest[at : at + JOINED_WORDS]
-            ids = self._library([texts[i] for i in part])
+            ids = self._library([piece.decode() for piece in part])
             length = np.fromiter(map(len, ids), np.int64, len(ids))
-            self._remember([new[i] for i in part], np.fromiter(chain.from_iterable(ids), np.int32, length.sum()), length)
+            self._remember(part, np.fromiter(chain.from_iterable(ids), np.int32, length.sum()), length)
 
     def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where pieces begin and end; every row that is not empty begins one."""
@@ -200,7 +219,7 @@ class WordIds:
         pieces = pa.Array.from_buffers(
             pa.large_binary(), len(begin), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(packed))]
         ).dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > KNOWN_WORDS:
             self._forget()
         new = [piece for piece in distinct if piece not in self.known]
