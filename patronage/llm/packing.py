@@ -257,7 +257,7 @@ class Places:
         return np.repeat(rows, times), self.low[piece], self.high[piece], self.sequence[piece] + skip, self.at[piece]
 
 
-def _cut(places: Places, size: int):
+def _cut(places: Places, size: int, digest: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = batch.column("n_tokens").to_numpy()
@@ -265,13 +265,13 @@ def _cut(places: Places, size: int):
             at = 0
             while at < len(counts):
                 end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + BATCH_IDS, "right")) - 1)
-                yield _pieces(batch.slice(at, end - at), places, size)
+                yield _pieces(batch.slice(at, end - at), places, size, digest)
                 at = end
 
     return cut
 
 
-def _pieces(batch: pa.RecordBatch, places: Places, size: int) -> pa.RecordBatch:
+def _pieces(batch: pa.RecordBatch, places: Places, size: int, digest: bool) -> pa.RecordBatch:
     number = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in batch.schema.names if n not in ("doc_id", "ids")}
     tokens, length = number["n_tokens"], number["length"]
     ids = batch.column("ids").flatten().to_numpy()
@@ -288,20 +288,31 @@ def _pieces(batch: pa.RecordBatch, places: Places, size: int) -> pa.RecordBatch:
     order = np.lexsort((start, rows))
     rows, start, count, sequence, at = (x[order] for x in (rows, start, count, sequence, at))
     # pieces of a row follow each other without gaps, so the ids lie in order already
+    content = pa.array(_checksums(ids, count)) if digest else _lists(ids, count)
     return pa.RecordBatch.from_arrays(
         [
-            batch.column("doc_id").take(pa.array(rows)), pa.array(start), pa.array(count), _lists(ids, count),
+            batch.column("doc_id").take(pa.array(rows)), pa.array(start), pa.array(count), content,
             pa.array(tokens[rows]), pa.array(sequence), pa.array(at),
         ],
-        names=PIECES.names,
+        names=["ids_crc32" if digest and n == "ids" else n for n in PIECES.names],
     )
 
 
-def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, size: int = 1024) -> DataFrame:
+def _checksums(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Unsigned crc32 of each piece's ids, as little-endian 32-bit integers."""
+    data = memoryview(np.ascontiguousarray(ids.astype("<u4", copy=False))).cast("B") if len(ids) else memoryview(b"")
+    ends = (4 * np.cumsum(count)).tolist()
+    return np.array([zlib.crc32(data[a:z]) for a, z in zip([0, *ends[:-1]], ends)], np.int64)
+
+
+def pack(
+    docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0, size: int = 1024, digest: bool = False
+) -> DataFrame:
     """doc_id, start, length, ids, doc_tokens, sequence_id, offset: one row per piece of a document.
 
     `start` counts the document's ids before the piece, `offset` the sequence's. Sequences hold at
-    most `size` ids and are either as long as that or as a power of two.
+    most `size` ids and are either as long as that or as a power of two. With `digest` the ids are
+    left behind, and `ids_crc32` is the unsigned crc32 of them as little-endian 32-bit integers.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     encoded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
@@ -324,22 +335,9 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 0,
     histogram = {r["length"]: (r["n"], r["whole"]) for r in counts.groupBy("length").agg(F.sum("n").alias("n"), F.sum("whole").alias("whole")).collect()}
     patterns = fill_up(shortest_pack_first({k: n for k, (n, _) in histogram.items()}, size), size)
     places = Places(patterns, sum(whole for _, whole in histogram.values()))
-    return encoded.join(bases, ["part", "length"]).mapInArrow(_cut(places, size), PIECES)
-
-
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column("ids")
-        offsets = lists.offsets.to_numpy()
-        data = memoryview(np.ascontiguousarray(lists.values.to_numpy().astype("<u4", copy=False))).cast("B")
-        sums = [zlib.crc32(data[4 * a : 4 * z]) for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        columns = [pa.array(sums, pa.int64()) if n == "ids" else batch.column(n) for n in PIECES.names]
-        yield pa.RecordBatch.from_arrays(columns, names=["ids_crc32" if n == "ids" else n for n in PIECES.names])
-
-
-def digests(pieces: DataFrame) -> DataFrame:
-    """The pieces with the unsigned crc32 of their ids, as little-endian 32-bit integers, for the ids."""
-    return pieces.mapInArrow(_digest, DIGESTS)
+    return encoded.join(bases, ["part", "length"]).mapInArrow(
+        _cut(places, size, digest), DIGESTS if digest else PIECES
+    )
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def op11_resample(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_pack(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.digests(packing.pack(table(spark, folder, "documents"), "byte_bpe_50k.json", end_id=0, size=1024))
+    return packing.pack(table(spark, folder, "documents"), "byte_bpe_50k.json", end_id=0, size=1024, digest=True)
 
 
 def op13_spelling_forms(spark: SparkSession, folder: str) -> DataFrame:

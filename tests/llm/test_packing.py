@@ -87,7 +87,7 @@ def test_documents_round_trip(spark, size):
         starts = sorted((r.start, r.length) for r in found if r.doc_id == i)
         times = sum(1 for j, _, _ in rows if j == i)
         assert sum(n for _, n in starts) == times * len(own)
-    digests = packing.digests(pieces).collect()
+    digests = packing.pack(documents(spark, rows).repartition(3), size=size, digest=True).collect()
     assert {(r.doc_id, r.start, r.ids_crc32) for r in digests} == {
         (r.doc_id, r.start, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in found
     }
