@@ -10,19 +10,21 @@ Within a label, vectors with a cosine of `limit` or more are linked.
    clearly nearer to (robust pruning). Adjacency lists of a node from all its shards are united.
 4. Each task searches its nodes in the united graph: greedily from the medoid, then through
    everything in range, from the nodes in range that were met and from the node itself. Every
-   reported cosine is computed in double precision. A pair that meets in several tasks is counted
-   in the first shard the two share.
+   reported cosine is computed in double precision. A pair that meets in several shards is counted
+   in the first one the two share, but joins components whichever shard finds it; a node has at
+   least as many links as any one shard found.
 5. Tasks return the weight of links per node and one tree edge per node; components follow by joins.
 
 `recall` compares with brute force over a query set. Vectors that are null, empty, zero or hold
 null or non-finite components, and those without label, link with nothing; so do vectors of
 different length. Repeated vec_ids are counted as vectors of their own. Rows without vec_id get
-a null component.
+a null component and are not kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,8 @@ from patronage.llm.components import components
 from patronage.staging import stage
 
 SAMPLE = 20_000
-CENTROIDS = 256
+#: Centroids at most, a tenth of the sample they are fitted on; shards beyond `CHUNK` are dealt into chunks.
+CENTROIDS = SAMPLE // 10
 OVERLAP = 3
 CHUNK = 2_000
 POOL, DEGREE, ALPHA = 48, 16, 1.2
@@ -47,12 +50,14 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors**2).sum(axis=1, keepdims=True))
 
 
-def fit_centroids(sample: list[list[float]], rows: int, rounds: int = 6, seed: int = 3) -> np.ndarray:
+def fit_centroids(
+    sample: list[list[float]], rows: int, shards: int | None = None, rounds: int = 6, seed: int = 3
+) -> np.ndarray:
     """Unit centroids of a sample of vectors of one length."""
     if not sample:
         return np.zeros((0, 0))
     unit = _unit(np.array(sample))
-    k = int(min(CENTROIDS, len(unit), max(1, rows // (CHUNK // 2))))
+    k = int(min(len(unit), shards or min(CENTROIDS, max(1, rows // (CHUNK // 2)))))
     centre = unit[np.random.default_rng(seed).choice(len(unit), k, replace=False)]
     for _ in range(rounds):
         own = np.argmax(unit @ centre.T, axis=1)
@@ -115,19 +120,35 @@ def build(unit: np.ndarray) -> tuple[np.ndarray, int]:
     return robust_prune(unit, pool, close), medoid
 
 
-def _with_reverse(lists: list[np.ndarray], n: int) -> np.ndarray:
-    """Adjacency matrix of lists and their reverse edges, padded with -1."""
-    source = np.repeat(np.arange(n), [len(x) for x in lists])
-    target = np.concatenate(lists) if lists else np.zeros(0, np.int64)
-    edges = np.unique(np.concatenate([source * n + target, target * n + source]))
-    source, target = edges // n, edges % n
-    count = np.bincount(source, minlength=n)
-    padded = np.full((n, max(1, count.max(initial=0))), -1, np.int64)
-    padded[source, np.arange(len(source)) - np.repeat(np.cumsum(count) - count, count)] = target
-    return padded
+#: Edges that are followed at a time.
+FRONTIER = 20_000
 
 
-def range_search(unit: np.ndarray, adjacency: np.ndarray, medoid: int, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+@dataclass(frozen=True)
+class Graph:
+    """Adjacency of `n` nodes: the neighbours of a node are `target[offset[node] : offset[node + 1]]`."""
+
+    offset: np.ndarray
+    target: np.ndarray
+
+    @staticmethod
+    def of(source: np.ndarray, target: np.ndarray, n: int) -> Graph:
+        """Edges in both directions, each once; a hub costs its edges and nothing else."""
+        edges = np.unique(np.concatenate([source * n + target, target * n + source]))
+        return Graph(np.searchsorted(edges, np.arange(n + 1) * n), edges % n)
+
+    def parts(self, nodes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(place in `nodes`, neighbour) for all neighbours of `nodes`, a bounded number at a time."""
+        first, count = self.offset[nodes], self.offset[nodes + 1] - self.offset[nodes]
+        ends = np.cumsum(count)
+        total = int(ends[-1]) if len(ends) else 0
+        for low in range(0, total, FRONTIER):
+            edge = np.arange(low, min(total, low + FRONTIER))
+            place = np.searchsorted(ends, edge, "right")
+            yield place, self.target[first[place] + edge - ends[place] + count[place]]
+
+
+def range_search(unit: np.ndarray, graph: Graph, medoid: int, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per batch of nodes: (query, found) pairs with cosine of `limit` or more, the query itself left out."""
     n = len(unit)
     for first in range(0, n, QUERIES):
@@ -142,34 +163,31 @@ def range_search(unit: np.ndarray, adjacency: np.ndarray, medoid: int, limit: fl
         near[np.arange(size), at] = best >= limit
         moving = np.arange(size)
         while len(moving):
-            around = adjacency[at[moving]]
-            cosine = np.einsum("ijk,ik->ij", unit[around], unit[queries[moving]])
-            cosine[around < 0] = -np.inf
-            rows = np.repeat(moving, around.shape[1]).reshape(around.shape)
-            valid = around >= 0
-            seen[rows[valid], around[valid]] = True
-            near[rows[valid], around[valid]] |= cosine[valid] >= limit
-            step = np.argmax(cosine, axis=1)
-            value = cosine[np.arange(len(moving)), step]
-            better = value > best[moving]
-            at[moving[better]] = around[np.arange(len(moving)), step][better]
-            best[moving[better]] = value[better]
-            moving = moving[better]
+            step, value = at.copy(), best.copy()
+            for place, node in graph.parts(at[moving]):
+                row = moving[place]
+                cosine = np.einsum("ij,ij->i", unit[node], unit[queries[row]])
+                seen[row, node] = True
+                near[row, node] |= cosine >= limit
+                order = np.lexsort([cosine, row])
+                last = order[np.append(row[order][1:] != row[order][:-1], True)]
+                better = last[cosine[last] > value[row[last]]]
+                step[row[better]], value[row[better]] = node[better], cosine[better]
+            moving = moving[value[moving] > best[moving]]
+            at, best = step, value
         # then outwards through what is in range
         seen[np.arange(size), queries] = near[np.arange(size), queries] = True
         row, node = np.nonzero(near)
         while len(row):
             fresh = np.zeros((size, n), bool)
-            for part in np.array_split(np.arange(len(row)), max(1, len(row) // 50_000)):
-                around = adjacency[node[part]]
-                rows = np.repeat(row[part], around.shape[1])
-                flat = around.reshape(-1)
-                fresh[rows[flat >= 0], flat[flat >= 0]] = True
+            for place, neighbour in graph.parts(node):
+                fresh[row[place], neighbour] = True
             fresh &= ~seen
             seen |= fresh
             row, node = np.nonzero(fresh)
             hit = np.zeros(len(row), bool)
-            for part in np.array_split(np.arange(len(row)), max(1, len(row) // 50_000)):
+            for low in range(0, len(row), FRONTIER):
+                part = slice(low, low + FRONTIER)
                 hit[part] = np.einsum("ij,ij->i", unit[queries[row[part]]], unit[node[part]]) >= limit
             row, node = row[hit], node[hit]
             near[row, node] = True
@@ -196,33 +214,35 @@ def _searched(limit: float):
         node, weight, chunk = (pdf[c].to_numpy(np.int64) for c in ("node", "weight", "chunk"))
         unit = _unit(np.stack(pdf["embedding"].to_numpy()))
         index = pd.Index(node)
-        lists = dict(zip(graph["node"], graph["near"]))
-        inside = [index.get_indexer(np.asarray(lists.get(x, ()), np.int64)) for x in node]
-        adjacency = _with_reverse([x[x >= 0] for x in inside], len(node))
+        source = np.repeat(index.get_indexer(graph["node"].to_numpy(np.int64)), graph["near"].str.len().to_numpy(np.int64) if len(graph) else 0)
+        target = index.get_indexer(np.concatenate([np.zeros(0, np.int64), *graph["near"]]).astype(np.int64))
+        inside = (source >= 0) & (target >= 0)
+        edges = Graph.of(source[inside], target[inside], len(node))
         medoid = int(np.argmax(unit @ unit.mean(axis=0)))
         shards = np.full((len(node), max(map(len, pdf["shards"]))), -1, np.int64)
         for i, s in enumerate(pdf["shards"]):
             shards[i, : len(s)] = s
-        links, root = np.zeros(len(node), np.int64), np.arange(len(node))
-        for query, found in range_search(unit, adjacency, medoid, limit):
+        owned, whole, root = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64), np.arange(len(node))
+        for query, found in range_search(unit, edges, medoid, limit):
+            # whichever shard finds a link, it joins two components
+            for q, start, end in zip(*_spans(query)):
+                roots = np.unique(root[np.append(found[start:end], q)])
+                if len(roots) > 1:
+                    root[np.isin(root, roots[1:])] = roots[0]
             if left != right:
                 cross = chunk[query] != chunk[found]
                 query, found = query[cross], found[cross]
-            # the first shard both lie in counts the pair
+            np.add.at(whole, query, weight[found])
+            # the first shard both lie in owns the pair
             first = np.full(len(query), np.iinfo(np.int64).max)
             for k in range(shards.shape[1]):
                 own = shards[query, k]
                 common = (own >= 0) & (shards[found] == own[:, None]).any(axis=1)
                 first = np.minimum(first, np.where(common, own, first))
             mine = first == shard
-            query, found = query[mine], found[mine]
-            np.add.at(links, query, weight[found])
-            for q, start, end in zip(*_spans(query)):
-                roots = np.unique(root[np.append(found[start:end], q)])
-                if len(roots) > 1:
-                    root[np.isin(root, roots[1:])] = roots[0]
-        some = links > 0
-        return pd.DataFrame({"node": node[some], "links": links[some], "root": node[root[some]]})
+            np.add.at(owned, query[mine], weight[found[mine]])
+        some = (whole > 0) | (root != np.arange(len(node)))
+        return pd.DataFrame({"node": node[some], "shard": np.int32(shard), "owned": owned[some], "whole": whole[some], "root": node[root[some]]})
 
     return search
 
@@ -234,8 +254,11 @@ def _spans(sorted_keys: np.ndarray):
     return sorted_keys[start], start, np.append(start[1:], len(sorted_keys))
 
 
-def vector_links(vectors: DataFrame, limit: float = 0.98) -> DataFrame:
-    """vec_id, n_links, component_id, kept: one row per vector."""
+def vector_links(vectors: DataFrame, limit: float = 0.98, shards: int | None = None) -> DataFrame:
+    """vec_id, n_links, component_id, kept: one row per vector.
+
+    `shards` sets the number of centroids, which otherwise grows with the rows.
+    """
     # doubles keep floats as they are, and make the arithmetic of the checks double
     numbers = F.col("embedding").cast("array<double>")
     fine = F.col("label").isNotNull() & (F.size(numbers) > 0) & F.forall(
@@ -252,7 +275,7 @@ def vector_links(vectors: DataFrame, limit: float = 0.98) -> DataFrame:
     nodes = stage(nodes.withColumn("node", F.xxhash64("same")), "nodes")
     sample = nodes.select("embedding", F.size("embedding").alias("n")).orderBy(F.xxhash64("node")).limit(SAMPLE).collect()
     usual = max({r["n"] for r in sample}, key=[r["n"] for r in sample].count) if sample else 0
-    centroids = fit_centroids([r["embedding"] for r in sample if r["n"] == usual], nodes.count())
+    centroids = fit_centroids([r["embedding"] for r in sample if r["n"] == usual], nodes.count(), shards)
     kept = [f for f in nodes.schema.fields if f.name in ("node", "label", "weight", "embedding")]
     placed = nodes.select(*[f.name for f in kept]).mapInPandas(
         _assigned(centroids), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", shards array<int>"
@@ -272,10 +295,12 @@ def vector_links(vectors: DataFrame, limit: float = 0.98) -> DataFrame:
         united, F.col("member") == F.col("node")
     ).drop("member")
     found = members.groupBy(*task).cogroup(graph.groupBy(*[f"{c}_" for c in task])).applyInPandas(
-        _searched(limit), "node long, links long, root long"
+        _searched(limit), "node long, shard int, owned long, whole long, root long"
     )
     found = stage(found, "vector-links")
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+    # every pair is owned by one shard; a single shard may still have found more than the owners did
+    counts = found.groupBy("node", "shard").agg(F.sum("owned").alias("owned"), F.sum("whole").alias("whole"))
+    counts = counts.groupBy("node").agg(F.greatest(F.sum("owned"), F.max("whole")).alias("links"))
     groups = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vector-groups")
     named = groups.join(nodes.select("node", "vec_id"), "node")
     least = named.groupBy("component").agg(F.min("vec_id").alias("component_id"))
@@ -286,33 +311,52 @@ def vector_links(vectors: DataFrame, limit: float = 0.98) -> DataFrame:
         "vector-names",
     )
     group = F.coalesce("component_id", "vec_id")
+    kept = F.coalesce(F.col("vec_id") == group, F.lit(False))
     return keyed.select("vec_id", "same").join(names, "same", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("vec_id").isNotNull(), group).alias("component_id"), (F.col("vec_id") == group).alias("kept"),
+        F.when(F.col("vec_id").isNotNull(), group).alias("component_id"), kept.alias("kept"),
     )
 
 
-def recall(vectors: DataFrame, linked: DataFrame, limit: float = 0.98, every: int = 100) -> float:
-    """Share of brute-force links found, over queries whose vec_id is divisible by `every`.
+def _usable(vectors: DataFrame) -> DataFrame:
+    """vec_id, label and vector, in doubles, of the rows that can link."""
+    numbers = F.col("embedding").cast("array<double>")
+    fine = F.col("label").isNotNull() & (F.size(numbers) > 0) & F.forall(
+        numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    ) & F.exists(numbers, lambda x: x != 0)
+    return vectors.where(fine).select(F.col("vec_id").cast("long"), F.col("label").cast("int"), numbers.alias("embedding"))
+
+
+def recall(vectors: DataFrame, linked: DataFrame, limit: float = 0.98, every: int = 100, block: int = 500) -> float:
+    """Share of brute-force links found, over all queries whose vec_id is divisible by `every`.
 
-    The queries go to every block of rows in turn; counts are summed, so no pair becomes a row.
+    Queries of one label and length are dealt into blocks of about `block`, and every row of the label and
+    length meets each block in turn: a stated query set against all rows. Only counts leave a task.
     """
-    rows = vectors.where(f"vec_id % {every} = 0 and label is not null and embedding is not null").select("vec_id", "label", "embedding")
-    parts = [rows.where(F.pmod(F.xxhash64("vec_id"), F.lit(8)) == k).collect() for k in range(8)]
-    true = 0
-    for part in parts:
-        if not part:
-            continue
-        ids, labels = np.array([r["vec_id"] for r in part]), np.array([r["label"] for r in part])
-        unit = _unit(np.array([r["embedding"] for r in part]))
-
-        def count(batches, ids=ids, labels=labels, unit=unit):
-            for pdf in batches:
-                other = _unit(np.stack(pdf["embedding"].to_numpy()))
-                hit = (unit @ other.T >= limit) & (labels[:, None] == pdf["label"].to_numpy()) & (ids[:, None] != pdf["vec_id"].to_numpy())
-                yield pd.DataFrame({"n": [int(hit.sum())]})
-
-        whole = vectors.where("label is not null and embedding is not null").select("vec_id", "label", "embedding")
-        true += whole.mapInPandas(count, "n long").agg(F.sum("n")).first()[0] or 0
-    got = linked.where(f"vec_id % {every} = 0").agg(F.sum("n_links")).first()[0] or 0
+    rows = stage(_usable(vectors).withColumn("dims", F.size("embedding")), "usable")
+    where = ["label", "dims"]
+    queries = rows.where(F.col("vec_id") % every == 0)
+    blocks = queries.groupBy(*where).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    blocks = stage(blocks, "query-blocks")
+    queries = queries.join(blocks, where).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+    parts = 16
+    against = rows.join(blocks, where).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    against = against.withColumn("part", F.pmod(F.xxhash64("embedding"), F.lit(parts)).cast("int"))
+    queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+    def count(pdf: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf) or not len(other):
+            return pd.DataFrame({"n": np.zeros(0, np.int64)})
+        unit, ids = _unit(np.stack(pdf["embedding"].to_numpy())), pdf["vec_id"].to_numpy()
+        total = 0
+        for low in range(0, len(other), 2_000):
+            some = other.iloc[low : low + 2_000]
+            near = unit @ _unit(np.stack(some["embedding"].to_numpy())).T >= limit
+            total += int((near & (ids[:, None] != some["vec_id"].to_numpy())).sum())
+        return pd.DataFrame({"n": [total]})
+
+    task = [*where, "block", "part"]
+    queries, against = stage(queries, "recall-queries"), stage(against, "recall-rows")
+    true = queries.groupBy(*task).cogroup(against.groupBy(*task)).applyInPandas(count, "n long").agg(F.sum("n")).first()[0] or 0
+    got = linked.where(F.col("vec_id") % every == 0).agg(F.sum("n_links")).first()[0] or 0
     return got / true if true else 1.0
