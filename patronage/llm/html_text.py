@@ -6,7 +6,9 @@ whether it lies in a part of the page named as something else (menu, form, comme
 as the article. A decision tree trained on `EXAMPLES`, a small labelled table, tells article
 blocks from the rest.
 
-A null page is empty. A page without article blocks has an empty text. Markup may be cut off or
+A null page is empty. If no block of a page is article text, all that are in no part named otherwise
+and are not mostly links are: a page of a heading and a sentence is short, not empty. What is left
+without such blocks has an empty text. Markup may be cut off or
 badly nested: a start tag closes what HTML lets end without a tag, an end tag closes what is open inside it, an end tag without a start does nothing,
 and an unended comment or script reaches to the end.
 """
@@ -26,7 +28,7 @@ from pyspark.sql import types as T
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?:svg|math)(?:\s(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)?(?<=/)>"
-    r"|<(script|style|template|textarea|title|svg|math|iframe|noscript|select|button|object|canvas|audio|video)\b[^>]*+>"
+    r"|<(script|style|template|textarea|title|svg|math|iframe)\b[^>]*+>"
     r".*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*+>"
     r"""|<(/?)([a-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
@@ -40,18 +42,24 @@ _BLOCK = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _OTHER = frozenset("nav aside form footer head menu dialog fieldset search".split())
+#: Elements whose text is no text of the page; unended ones end with their parent.
+_SILENT = frozenset("noscript select button object canvas audio video".split())
 _INSIDE = frozenset("article main".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 _NAMED = re.compile(
     r"(?:(?:site|page|main|top|bottom|left|right|global|primary|secondary|header|footer|post|article|user|reader)[-_]?)?"
     r"(?:ads?|adv|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|sidebars?|side-?bar|widgets?|menus?|nav|navbar|navigation|"
-    r"breadcrumbs?|toolbar|footer|comments?|respond|replies|discussion|disqus\w*|share|sharing|social|related|"
+    r"breadcrumbs?|toolbar|footer|comments?|respond|replies|disqus\w*|share|sharing|social|related|"
     r"recommend\w*|newsletter|subscribe\w*|subscription|signup|login|search|cookies?|consent|gdpr|notices?|alerts?|"
-    r"popup|modal|overlay|pagination|pager|paywall|skip|masthead|copyright|legal)"
+    r"popup|modal|overlay|pagination|pager|paywall|skip|masthead|copyright)"
     r"(?:[-_]?(?:box|bar|banner|notice|container|wrapper|wrap|list|area|section|inner|block|form|links?|item|menu|message|popup|consent|unit|slot|top|bottom|left|right|thread|\d+))*",
     re.I,
 )
-_HEADER = re.compile(r"(?:(?:site|page|main|top|global)[-_]?)?header(?:[-_]?(?:bar|inner|wrap|wrapper|container))*", re.I)
+#: Names that mean something else around an article, and may mean a part of it inside.
+_AROUND = re.compile(
+    r"(?:(?:site|page|main|top|global)[-_]?)?(?:header|legal|discussions?)(?:[-_]?(?:bar|box|area|section|inner|wrap|wrapper|container|links?|thread))*",
+    re.I,
+)
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 #: Start tags that end an open p.
@@ -107,7 +115,7 @@ def _part(tag: str, attributes: str, inside: int) -> tuple[bool, bool]:
                 article |= value.lower() in ("main", "article")
             elif name in ("class", "id") and not article:
                 for part in value.split():
-                    other |= bool(_NAMED.fullmatch(part)) or not inside and bool(_HEADER.fullmatch(part))
+                    other |= bool(_NAMED.fullmatch(part)) or not inside and bool(_AROUND.fullmatch(part))
             elif name == "itemprop":
                 article |= value.lower() == "articlebody"
     return other, article
@@ -119,7 +127,7 @@ def blocks(page: str | None) -> list[Block]:
     text: list[str] = []
     linked = 0
     stack: list[tuple[str, bool, bool]] = []
-    other = inside = links = 0
+    other = inside = links = silent = 0
 
     def flush():
         nonlocal linked
@@ -133,16 +141,20 @@ def blocks(page: str | None) -> list[Block]:
 
     def add(piece: str):
         nonlocal linked
+        if silent:
+            text.append(" ")
+            return
         text.append(piece)
         if links:
             linked += len("".join(html.unescape(piece).split()))
 
     def pop():
-        nonlocal other, inside, links
+        nonlocal other, inside, links, silent
         name, was_other, was_inside = stack.pop()
         other -= was_other
         inside -= was_inside
         links -= name == "a"
+        silent -= name in _SILENT
         return name
 
     def end(names: frozenset, limits: frozenset):
@@ -189,6 +201,7 @@ def blocks(page: str | None) -> list[Block]:
             other += is_other
             inside += is_inside
             links += tag == "a"
+            silent += tag in _SILENT
     if at < len(page):
         add(page[at:])
     flush()
@@ -272,7 +285,9 @@ TREE = grow(*np.split(np.concatenate([EXAMPLES, _mirrored]), [8], axis=1))
 
 def main_text(page: str | None) -> str:
     found = blocks(page)
-    return "\n\n".join(b.text for b, row in zip(found, features(found).tolist()) if decide(TREE, row) > 0.5)
+    kept = [b for b, row in zip(found, features(found).tolist()) if decide(TREE, row) > 0.5]
+    kept = kept or [b for b in found if not b.other and b.links < 0.5]
+    return "\n\n".join(b.text for b in kept)
 
 
 def extract(pages: DataFrame, name: str = "text") -> DataFrame:
