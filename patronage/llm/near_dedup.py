@@ -153,10 +153,11 @@ def _signed(width: int, percent: int):
                 found = sketches(hashes, sizes).astype(np.uint64)
                 bands = found.reshape(j - i, count, rows)
                 keys = splitmix((bands * powers).sum(axis=2, dtype=np.uint64) + np.arange(count, dtype=np.uint64)).view(np.int64)
+                own = {"digest": pdf["digest"][i:j]} if "digest" in pdf else {}
                 yield pd.DataFrame({
                     "doc_id": ids[i:j].astype("Int64"), "n_shingles": sizes, "class": _digests(hashes, sizes),
                     "keys": [k if n >= least else None for k, n in zip(keys, sizes)],
-                })
+                } | own)
 
     return sign
 
@@ -178,6 +179,10 @@ def _sets(width: int):
     return sets
 
 
+#: Shingles from which on a set is large: its registers are hardly shared, so estimates hold.
+ESTIMATED = 250
+
+
 def _verified(percent: int):
     def verify(key, pdf: pd.DataFrame) -> pd.DataFrame:
         _, left, right = key
@@ -201,7 +206,9 @@ def _verified(percent: int):
             later = later[(root[later] != root[i]) & (100 * small >= percent * big)]
             if not len(later):
                 continue
-            later = later[estimate(registers[i], registers[later], sizes[i], sizes[later]) >= percent / 100 - SLACK]
+            # registers of small sets repeat, so only large ones are ruled out by an estimate
+            small = np.minimum(sizes[later], sizes[i]) < ESTIMATED
+            later = later[small | (estimate(registers[i], registers[later], sizes[i], sizes[later]) >= percent / 100 - SLACK)]
             if not len(later):
                 continue
             mark[codes[starts[i] : ends[i]]] = True
@@ -219,13 +226,16 @@ def _verified(percent: int):
     return verify
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document.
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85, digest: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document; with `digest`, that of the text too.
 
-    Documents are linked if 100 x shared shingles >= `percent` x shingles of either.
+    Documents are linked if 100 x shared shingles >= `percent` x shingles of either. Rows without
+    doc_id have no component and are not kept.
     """
     text = docs.select(F.col("doc_id").cast("long"), "text")
-    signed = stage(text.mapInPandas(_signed(width, percent), SIGNED), "signed")
+    extra = ["digest"] if digest else []
+    signing = text.withColumn("digest", _text_digest()) if digest else text
+    signed = stage(signing.mapInPandas(_signed(width, percent), SIGNED + ", digest binary" * digest), "signed")
     # A class is known by its least doc_id; classes without any doc_id have nothing to name a group by.
     classes = stage(
         signed.where("class is not null and doc_id is not null").groupBy("class").agg(
@@ -263,13 +273,43 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 85) -> DataF
         .select("class", F.coalesce("component_id", "doc").alias("component_id")),
         "group-names",
     )
-    rows = signed.select("doc_id", "n_shingles", "class").join(names, "class", "left")
+    rows = signed.select("doc_id", "n_shingles", "class", *extra).join(names, "class", "left")
     group = F.coalesce("component_id", "doc_id")
-    return rows.select("doc_id", "n_shingles", group.alias("component_id"), (F.col("doc_id") == group).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == group, F.lit(False))
+    return rows.select("doc_id", "n_shingles", group.alias("component_id"), kept.alias("kept"), *extra)
+
+
+def _text_digest():
+    """Of the whole text; a null one is told from an empty one."""
+    return F.unhex(F.sha2(F.coalesce(F.concat(F.lit("="), F.col("text")), F.lit("")), 256))
 
 
 def deduplicate(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """`docs` with one document of each group; rows without doc_id stay, repeated rows become one."""
-    gone = near_duplicates(docs, width, percent).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(stage(gone, "near-duplicates"), F.col("doc_id").cast("long") == F.col("gone_id"), "left_anti")
-    return left
+    """`docs` with one document of each group; rows without doc_id stay, repeated rows become one.
+
+    A row is known by doc_id and text. Of a group's rows with its least doc_id the one with the
+    least digest of the text stays; rows that share a doc_id but not the group are judged apart.
+    Of rows equal in doc_id and text one stays, whatever their other columns.
+    """
+    rows = stage(near_duplicates(docs, width, percent, digest=True).where("doc_id is not null"), "near-duplicates")
+    known = ["doc_id", "digest"]
+    # rows without words are groups of their own
+    leaders = rows.where("kept and n_shingles > 0").groupBy("component_id").agg(F.min("digest").alias("least"))
+    judged = rows.groupBy(*known, "component_id", "n_shingles").agg(F.count("*").alias("times"), F.bool_or("kept").alias("kept"))
+    judged = judged.join(leaders, "component_id", "left").withColumn(
+        "stays", F.col("kept") & ((F.col("n_shingles") == 0) | (F.col("digest") == F.col("least")))
+    )
+    judged = stage(judged.where("not stays or times > 1").select(*known, "stays"), "judged")
+    own = F.struct(F.col("rows.doc_id").cast("long").alias("doc_id"), _text_digest().alias("digest"))
+    found = own == F.struct("judged.doc_id", "judged.digest")
+    left = docs.alias("rows").join(judged.alias("judged"), found, "left_anti")
+    again = docs.alias("rows").join(judged.where("stays").alias("judged"), found, "left_semi")
+    return left.unionByName(_once(again))
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """One row for each doc_id and text."""
+    whole = F.struct(*rows.columns)
+    keys = [F.col("doc_id").cast("long").alias("key_id"), _text_digest().alias("key_digest")]
+    least = rows.groupBy(*keys).agg(F.min_by(whole, F.to_json(whole)).alias("row"))
+    return least.select("row.*")
