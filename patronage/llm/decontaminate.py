@@ -247,4 +247,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFram
     """`docs` without those that hold a benchmark item; rows without doc_id stay."""
     found = matches(docs, benchmark, **settings).select(F.col("doc_id").alias("found_id")).distinct()
     found = stage(found, "contaminated")
-    return docs.join(found, F.col("doc_id").cast("long") == F.col("found_id"), "left_anti")
+    return docs.alias("rows").join(
+        found.alias("found"), F.col("rows.doc_id").cast("long") == F.col("found.found_id"), "left_anti"
+    )

@@ -114,7 +114,7 @@ def mix(
     and `r_` tell which words those are (see `chosen_words`).
     """
     sized = stage(
-        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words(text).alias("size"), *keep),
+        docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words(text).alias("size"), F.xxhash64(text).alias("content"), *keep),
         "sizes",
     )
     sources = stage(
@@ -142,7 +142,7 @@ def mix(
         ),
         "shards",
     )
-    stream = Window.partitionBy("source", "shard").orderBy("digest", "doc_id", "size")
+    stream = Window.partitionBy("source", "shard").orderBy("digest", "doc_id", "size", "content")
     placed = own.withColumn(
         "begin", F.coalesce(F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
@@ -177,8 +177,10 @@ def mixture(docs: DataFrame, **settings) -> DataFrame:
     space. `n_chars`, where there is such a column, is that of the shorter text.
     """
     block = settings.get("block_words", 128)
-    columns = [c for c in docs.columns if c not in ("doc_id", "source")]
-    rows = mix(docs, keep=tuple(columns), **settings)
+    # all columns but the text travel in one, so that their names meet no others
+    others = [c for c in docs.columns if c != "text"]
+    packed = docs.select("doc_id", "source", "text", F.struct(*others).alias("row_"))
+    rows = mix(packed, keep=("text", "row_"), **settings)
     first, last = F.floor(F.col("begin") / block), F.floor((F.col("begin") + F.col("size") - 1) / block)
     blocks = F.when((F.col("size") > 0) & (F.col("m_") > 0), F.filter(F.sequence(first, last), _chosen)).otherwise(
         F.array().cast("array<bigint>")
@@ -200,7 +202,10 @@ def mixture(docs: DataFrame, **settings) -> DataFrame:
     part = F.array_join(
         F.slice(words_, (F.col("span_.low") + 1).cast("int"), (F.col("span_.high") - F.col("span_.low")).cast("int")), " "
     )
-    rows = rows.withColumn("text", F.when(F.col("span_.low") < 0, F.col("text")).otherwise(part))
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("span_.low") < 0, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return rows.select(*docs.columns)
+    as_is = F.col("span_.low") < 0
+    rows = rows.withColumn("text", F.when(as_is, F.col("text")).otherwise(part))
+    own = {c: F.col(f"row_.`{c}`").alias(c) for c in others} | {"text": F.col("text")}
+    if "n_chars" in others:
+        kind = docs.schema["n_chars"].dataType
+        own["n_chars"] = F.when(as_is, own["n_chars"]).otherwise(F.length("text").cast(kind)).alias("n_chars")
+    return rows.select(*(own[c] for c in docs.columns))

@@ -194,11 +194,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000) -> Model:
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """`docs` with the score of each whole text."""
+    """`docs` with the score of each whole text, in place of a column of that name."""
+    others = [f for f in docs.schema.fields if f.name != name]
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            pdf[name] = np.array([model.score(t) for t in pdf["text"]], np.float64)
-            yield pdf
+            scores = np.array([model.score(t) for t in pdf["text"]], np.float64)
+            pdf = pdf[[f.name for f in others]]
+            yield pdf.assign(**{name: scores})
 
-    return docs.mapInPandas(scored, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInPandas(scored, T.StructType([*others, T.StructField(name, T.DoubleType())]))
