@@ -44,6 +44,14 @@ def drop_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop(df: DataFrame) -> None:
+    """Delete a table that `stage` returned, once nothing that is still to run reads it."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside are deleted at the end, those of other analyses are not.
