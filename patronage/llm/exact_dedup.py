@@ -5,13 +5,14 @@ smaller id. Strings are judged on the input and never cross documents.
 
 1. Every `width`-byte string holds at least one *anchor*: the `core` bytes in it with the least
    hash. Anchors depend on the string alone, so equal strings share theirs. Only anchors seen in
-   more than one document matter further; about one byte in sixteen is an anchor.
+   more than one document matter further; about one byte in sixteen is an anchor. Blocks send
+   theirs packed by bucket, four bytes each; a chance match costs work and changes nothing.
 2. The *context* of an anchor is all that any string with this anchor can hold. Where a whole
    context is in an earlier document, everything in it goes. Copies collapse here, so what
    follows sees one document per context.
 3. A string with an anchor holds all of the first, the second or the third `probe` of the
-   anchor's context. Contexts left over that share a probe with a different context are laid end
-   to end per block, and a suffix array of them, built by linear grouping (`suffixes`), brings equal strings
+   anchor's context. Of contexts left over, the strings that hold a probe which a different context
+   has too are laid end to end per block, and a suffix array of them, built by linear grouping (`suffixes`), brings equal strings
    together; neighbours are compared byte by byte. One row per distinct string and block then
    meets the other blocks' rows by a 128-bit digest.
 
@@ -25,14 +26,16 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.blocks import ByteHash, slices, splitmix, stage_blocks
 from patronage.llm.suffixes import suffix_array
-from patronage.staging import stage
+from patronage.staging import drop, stage
 
 BATCH_BYTES = 512 << 10
+#: Anchors that one task compares.
+ANCHORS = 1 << 20
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _hash, _other = ByteHash(11), ByteHash(12)
 
@@ -141,32 +144,68 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _anchor_rows(width: int, core: int):
+def _short(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of a core, and what tells it from nearly all others in the bucket."""
+    return ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _anchor_rows(width: int, core: int, buckets: int):
     def anchors(pdf: pd.DataFrame) -> pd.DataFrame:
+        """A block's distinct cores, packed by bucket, and whether several of its documents hold them."""
         keys, ids = [], []
         for doc_ids, _, b in _batches(pdf, width, core):
             keys.append(b.key)
             ids.append(doc_ids[b.doc])
-        if not keys:
-            return pd.DataFrame({"core": [], "tag": []}, dtype="int64")
-        key, doc = np.concatenate(keys), np.concatenate(ids)
-        order = np.lexsort([doc, key])
-        key, doc = key[order], doc[order]
-        first = np.flatnonzero(np.concatenate([key[:1] == key[:1], key[1:] != key[:-1]]))
-        last = np.append(first[1:], len(key)) - 1
-        several = doc[first] != doc[last]
-        tag = np.int64(pdf["block"].iloc[0]) * 2 + several
-        return pd.DataFrame({"core": _signed(key[first]), "tag": tag})
+        rows = []
+        if keys:
+            key, doc = np.concatenate(keys), np.concatenate(ids)
+            bucket, short = _short(key, buckets)
+            order = np.lexsort([doc, short, bucket])
+            bucket, short, doc = bucket[order], short[order], doc[order]
+            new = np.concatenate([[True], (short[1:] != short[:-1]) | (bucket[1:] != bucket[:-1])])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(short)) - 1
+            several = doc[first] != doc[last]
+            bucket, short = bucket[first], short[first]
+            for k, start, end in zip(*_runs(bucket)):
+                rows.append((k, short[start:end].tobytes(), np.packbits(several[start:end]).tobytes()))
+        table = pd.DataFrame(rows, columns=["bucket", "cores", "several"])
+        table.insert(0, "block", np.int64(pdf["block"].iloc[0]))
+        return table.astype({"bucket": "int64"})
 
     return anchors
 
 
-def _context_rows(width: int, core: int):
+def _runs(sorted_keys: np.ndarray):
+    first = np.flatnonzero(np.concatenate([sorted_keys[:1] == sorted_keys[:1], sorted_keys[1:] != sorted_keys[:-1]]))
+    return sorted_keys[first].tolist(), first.tolist(), np.append(first[1:], len(sorted_keys)).tolist()
+
+
+def _repeated_rows(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Per block, the cores of a bucket that several documents hold."""
+    cores = [np.frombuffer(x, np.uint32) for x in pdf["cores"]]
+    sizes = np.fromiter(map(len, cores), np.int64, len(cores))
+    whole = np.concatenate(cores)
+    several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(pdf["several"], sizes)])
+    _, number, count = np.unique(whole, return_inverse=True, return_counts=True)
+    often = count > 1
+    often[number[several > 0]] = True
+    kept = [c[often[n]].tobytes() for c, n in zip(cores, np.split(number, np.cumsum(sizes)[:-1]))]
+    table = pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "cores": kept})
+    return table[table["cores"].str.len() > 0]
+
+
+def _context_rows(width: int, core: int, buckets: int):
     def contexts(key, pdf: pd.DataFrame, repeated: pd.DataFrame) -> pd.DataFrame:
-        wanted = pd.Index(repeated["core"].to_numpy(np.int64))
+        wanted = [np.zeros(0, np.int64)]
+        for bucket, cores in zip(repeated["bucket"], repeated["cores"]):
+            wanted.append((np.int64(bucket) << 32) | np.frombuffer(cores, np.uint32).astype(np.int64))
+        wanted = np.sort(np.concatenate(wanted))
         parts = []
         for doc_ids, _, b in _batches(pdf, width, core) if len(wanted) and len(pdf) else ():
-            at = np.flatnonzero(wanted.get_indexer(_signed(b.key)) >= 0)
+            bucket, short = _short(b.key, buckets)
+            own = (bucket << 32) | short.astype(np.int64)
+            at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own)
             context = b.contexts(b.anchor[at], b.doc[at])
             probes = b.probes(b.anchor[at], b.doc[at])
             parts.append((_signed(b.key[at]), _signed(context), doc_ids[b.doc[at]], *probes))
@@ -187,7 +226,8 @@ def _string_rows(width: int, core: int):
     def strings(key, pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         index = pd.Index(known["context"].to_numpy(np.int64))
         least = known["least"].to_numpy(np.int64)
-        many = known["many"].to_numpy(bool)
+        parts = known["parts"].to_numpy(np.int64)
+        free = width - core
         out = []
         pieces, piece_row, piece_doc, piece_low, starts_at = [], [], [], [], []
         total = 0
@@ -205,12 +245,20 @@ def _string_rows(width: int, core: int):
                     z = min(y, b.end[k])
                     out.append((rows[k], x - b.start[k], z - b.start[k], 0, 0, 0, None))
                     x, k = z, k + 1
-            own = ~old & many[place]
+            own = ~old & (parts[place] > 0)
             if not own.any():
                 continue
-            marked = np.full(len(b.own), TOP)
-            marked[anchor[own]] = b.own[anchor[own]]
-            ours = np.flatnonzero((_sliding(marked, width - core + 1, np.minimum) == b.least) & (b.least > 0))
+            # strings whose anchor lies so far inside that they hold a part which another context has too
+            mine = np.zeros(len(b.least), bool)
+            for k in range(3):
+                marked = np.full(len(b.own), TOP)
+                some = anchor[own & ((parts[place] >> k) & 1 > 0)]
+                marked[some] = b.own[some]
+                near, far = k * free // 3, (k + 1) * free // 3 + (k == 2)
+                mine |= _sliding(marked, far - near, np.minimum)[near : near + len(mine)] == b.least
+            ours = np.flatnonzero(mine & (b.least > 0))
+            if not len(ours):
+                continue
             d = np.searchsorted(b.end, ours, side="right")
             # strings of one document that overlap or touch become one piece
             new = np.flatnonzero(np.concatenate([[True], (ours[1:] > ours[:-1] + width) | (d[1:] != d[:-1])]))
@@ -293,16 +341,15 @@ def remove_repeats(
         F.octet_length("body"),
         block_bytes,
     )
-    rows = blocks.groupBy("block").applyInPandas(_anchor_rows(width, core), "core long, tag long")
-    each = Window.partitionBy("core")
-    repeated = (
-        rows.withColumn("n", F.count("*").over(each)).withColumn("odd", F.max(F.col("tag") % 2).over(each))
-        .where("n > 1 or odd > 0")
-        .select(F.shiftright("tag", 1).alias("block"), "core")
+    # a group of anchors is some megabytes, whatever the size of the corpus
+    buckets = max(1, -(-blocks.select("block").distinct().count() * block_bytes // (16 * ANCHORS)))
+    rows = blocks.groupBy("block").applyInPandas(
+        _anchor_rows(width, core, buckets), "block long, bucket long, cores binary, several binary"
     )
+    repeated = rows.groupBy("bucket").applyInPandas(_repeated_rows, "block long, bucket long, cores binary")
     contexts = stage(
         blocks.groupBy("block").cogroup(repeated.groupBy("block"))
-        .applyInPandas(_context_rows(width, core), "block long, core long, context long, doc long, p0 int, p1 int, p2 int"),
+        .applyInPandas(_context_rows(width, core, buckets), "block long, core long, context long, doc long, p0 int, p1 int, p2 int"),
         "contexts",
     )
     least = contexts.groupBy("context").agg(F.min("doc").alias("least"))
@@ -311,16 +358,18 @@ def remove_repeats(
         "core", "context", F.posexplode(F.array("p0", "p1", "p2")).alias("part", "probe")
     ).where("probe <> 0")
     probes = stage(probes, "probes")
-    alike = stage(
-        probes.groupBy("core", "part", "probe").agg(F.min("context").alias("a"), F.max("context").alias("z"))
-        .where("a <> z").drop("a", "z"),
-        "alike",
+    alike = probes.groupBy("core", "part", "probe").agg(F.min("context").alias("a"), F.max("context").alias("z")).where("a <> z").drop("a", "z")
+    parts = (
+        probes.join(alike, ["core", "part", "probe"]).groupBy("context")
+        .agg(F.bit_or(F.expr("shiftleft(1, part)")).alias("parts"))
     )
-    many = probes.join(alike, ["core", "part", "probe"]).select("context", F.lit(True).alias("many")).distinct()
-    known = (
-        contexts.select("block", "context").join(least, "context").join(many, "context", "left")
-        .select("block", "context", "least", F.coalesce("many", F.lit(False)).alias("many"))
+    known = stage(
+        contexts.select("block", "context").join(least, "context").join(parts, "context", "left")
+        .select("block", "context", "least", F.coalesce("parts", F.lit(0)).alias("parts")),
+        "known",
     )
+    drop(contexts)
+    drop(probes)
     strings = stage(
         blocks.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(
             _string_rows(width, core),
@@ -328,6 +377,7 @@ def remove_repeats(
         ),
         "strings",
     )
+    drop(known)
     whole = strings.where("more is null").select("block", "row", "low", "high")
     single = strings.where("more is not null")
     shared = (
