@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.llm.tokens import PARQUET, tokenizer_file
-from patronage.llm.word_ids import WordIds
+from patronage.llm.word_ids import utf8, word_ids
 from patronage.staging import _application_folder, stage
 
 #: Ids that leave a task in one batch, or those of one longer document.
@@ -44,7 +44,8 @@ def _field(name: str, kind: T.DataType) -> T.StructField:
 
 _IDS = T.ArrayType(T.IntegerType(), False)
 ENCODED = T.StructType(
-    [_field(n, T.LongType()) for n in ("doc_id", "part", "length", "rank", "full_before", "n_tokens")] + [_field("ids", _IDS)]
+    [_field(n, T.LongType()) for n in ("doc_id", "part", "length", "rank", "full_before", "n_tokens")]
+    + [_field("ids", T.BinaryType())]  # 32-bit integers: no step between looks at them one by one
 )
 PIECES = T.StructType(
     [_field(n, T.LongType()) for n in ("doc_id", "start", "length")]
@@ -54,6 +55,12 @@ PIECES = T.StructType(
 DIGESTS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def _packed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(4 * counts)]).astype(np.int64)
+    data = pa.py_buffer(np.ascontiguousarray(values.astype("<i4", copy=False)))
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(offsets), data]).cast(pa.binary())
+
+
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -61,7 +68,7 @@ def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
 
 def _encode(name: str, end_id: int, size: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_file(name))
+        words = word_ids(tokenizer_file(name))
         part = TaskContext.get().partitionId()
         seen, full = np.zeros(size, np.int64), 0
         for batch in batches:
@@ -81,7 +88,7 @@ def _encode(name: str, end_id: int, size: int):
                 full += int(whole.sum())
                 columns = [np.full(len(counts), part, np.int64), length, rank, before, counts]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), *map(pa.array, columns), _lists(ids.astype(np.int32), counts)],
+                    [batch.column(0).slice(low, high - low), *map(pa.array, columns), _packed(ids, counts)],
                     names=ENCODED.names,
                 )
 
@@ -274,7 +281,7 @@ def _cut(places: Places, size: int, digest: bool):
 def _pieces(batch: pa.RecordBatch, places: Places, size: int, digest: bool) -> pa.RecordBatch:
     number = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in batch.schema.names if n not in ("doc_id", "ids")}
     tokens, length = number["n_tokens"], number["length"]
-    ids = batch.column("ids").flatten().to_numpy()
+    ids = utf8(batch.column("ids"))[0].view("<i4")
     whole = tokens // size
     row = np.repeat(np.arange(len(tokens)), whole)
     turn = np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)

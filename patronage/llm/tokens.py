@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.llm.word_ids import WordIds
+from patronage.llm.word_ids import word_ids
 from patronage.staging import _application_folder, stage
 
 BATCH_CHARS = 1 << 18
@@ -148,7 +148,7 @@ PARQUET = {
 
 def _ids_of(name: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_file(name))
+        words = word_ids(tokenizer_file(name))
         for batch in batches:
             for low, high, ids, counts in words.encode(batch.column(1)):
                 ids = np.insert(ids, np.cumsum(counts), end_id).astype(np.int32)

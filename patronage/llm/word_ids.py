@@ -1,4 +1,4 @@
-"""Token ids of whole texts, each distinct word encoded by the library once per task.
+"""Token ids of whole texts, each distinct word encoded by the library once per worker process.
 
 A text is cut only where the tokenizer's own splitter cuts it whatever stands around: between a
 visible character and the blank after it, and between an ASCII letter or digit and a sign. Pieces
@@ -12,13 +12,14 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-#: Distinct pieces that a task remembers; beyond that it forgets all and starts anew.
-KNOWN_WORDS = 300_000
+#: Distinct pieces that a worker process remembers; beyond that it forgets all and starts anew.
+KNOWN_WORDS = 600_000
 #: Bytes of text that are split at a time, or one longer text.
 SLICE_BYTES = 2 << 20
 #: Words that go to the library in one string.
@@ -57,7 +58,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class WordIds:
-    """Encodes texts with the tokenizer file at `path`; one object per task."""
+    """Encodes texts with the tokenizer file at `path`; see `word_ids`."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -235,5 +236,11 @@ class WordIds:
         return self.ids[source], np.diff(per_row)
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """The encoder of a worker process, whose tasks share what it remembers."""
+    return WordIds(path)
+
+
 def _row_ends(offsets: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return offsets[np.searchsorted(offsets, begin, "right")]
