@@ -14,8 +14,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Large-star and small-star steps in turn: each node's neighbours are linked to the least of
     them, first the larger ones, then the smaller ones. Rows never outnumber the edges much, every
     round is written to the shared folder, and the number of rounds grows with the logarithm of
-    the longest path. Least neighbours are found with partial aggregation, so a node with very
-    many neighbours is no hot group.
+    the longest path. Least neighbours are found with partial aggregation. A node with very many
+    neighbours is one key of two joins by sorting, which adaptive execution splits where it is large.
     """
     links = stage(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), name
