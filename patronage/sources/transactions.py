@@ -53,7 +53,7 @@ def _declared(spark: SparkSession, path: str, header: list[str], corrupt: bool)
 def _whole_ids(lines: DataFrame, customer_type: str) -> DataFrame:
     if customer_type == "string":
         return lines
-    number = F.col("CustomerID").cast("decimal(38,6)")
+    number = F.col("CustomerID").try_cast("decimal(38,6)")
     # An id with a fraction names nobody: its lines count as those of unknown customers.
     whole = F.when(number == F.floor(number), number.cast("bigint"))
     customer = F.coalesce(F.col("CustomerID").try_cast("bigint"), whole)
