@@ -53,7 +53,7 @@ def _declared(spark: SparkSession, path: str, header: list[str], corrupt: bool)
 def _whole_ids(lines: DataFrame, customer_type: str) -> DataFrame:
     if customer_type == "string":
         return lines
-    number = F.col("CustomerID").try_cast("decimal(38,6)")
+    number = F.col("CustomerID").cast("decimal(38,6)")
     # An id with a fraction names nobody: its lines count as those of unknown customers.
     whole = F.when(number == F.floor(number), number.cast("bigint"))
     customer = F.coalesce(F.col("CustomerID").try_cast("bigint"), whole)
@@ -63,12 +63,17 @@ def _whole_ids(lines: DataFrame, customer_type: str) -> DataFrame:
 def read_checked(spark: SparkSession, path: str, *, customer_type: str = "bigint") -> ReadResult:
     """As `read_transactions`, with records that do not fit the declared types kept apart.
 
-    A record is corrupt if a number cannot be read, or if it has more or fewer cells than the
-    header. An empty cell is a null, and dates are text, so neither makes a record corrupt.
+    A record is corrupt if a number or, unless ids are text, an id cannot be read, or if it has more
+    or fewer cells than the header. An empty cell is a null, and dates are text, so neither makes a
+    record corrupt.
     """
     header = _header(spark, path)
     records = _declared(spark, path, header, corrupt=True)
     names = [name for name in S.TRANSACTION_TYPES if name in header]
+    if customer_type != "string":
+        unread = F.col("CustomerID").isNotNull() & F.col("CustomerID").try_cast("decimal(38,6)").isNull()
+        written = F.when(unread, F.to_csv(F.struct(*header)))
+        records = records.withColumn(CORRUPT, F.coalesce(CORRUPT, written))
     lines = records.where(F.col(CORRUPT).isNull()).select(*names)
     return ReadResult(
         lines=_whole_ids(lines, customer_type),
