@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Distinct pieces that a worker process remembers; beyond that it forgets all and starts anew.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 200_000
 #: Bytes of text that are split at a time, or one longer text.
 SLICE_BYTES = 2 << 20
 #: Words that go to the library in one string.
@@ -49,10 +49,10 @@ def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of a string column without nulls, and the offsets of its rows."""
-    column = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
+    """Bytes of a string or binary column without nulls, and the offsets of its rows; nothing is copied."""
+    wide = pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type)
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    offsets = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
@@ -71,7 +71,10 @@ class WordIds:
         self.letters.pre_tokenizer = CharDelimiterSplit(" ")
         self.model.no_truncation()
         self.model.no_padding()
-        settings = json.loads(self.model.to_str())
+        # the vocabulary, which comes last, is left out: as Python objects it would be large
+        head, _, rest = self.model.to_str().partition(',"model":{')
+        settings = json.loads(head + "}")
+        word_end = '"end_of_word_suffix":"' in rest.partition('"vocab":')[0]
         splitter = settings["pre_tokenizer"] or {}
         inner = (splitter.get("pretokenizers") or [{}])[0]
         plain_specials = not any(
@@ -86,17 +89,17 @@ class WordIds:
         self.kind = None
         if (
             plain_specials
-            and settings["model"].get("end_of_word_suffix")
+            and word_end
             and (settings["normalizer"] or {}).get("normalizers") == WORD_NORMALIZERS
             and (inner.get("pattern"), inner.get("behavior"), inner.get("invert")) == ({"Regex": WORD_PATTERN}, "Removed", True)
         ):
             self.kind = "ends"
-            suffix = settings["model"]["end_of_word_suffix"]
+            suffix = json.loads('"' + rest.partition('"end_of_word_suffix":"')[2].partition('"')[0] + '"')
             marks[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         elif (
             plain_specials
             and settings["normalizer"] is None
-            and not settings["model"].get("end_of_word_suffix")
+            and not word_end
             and splitter.get("type") == "ByteLevel"
             and splitter.get("use_regex")
             and not splitter.get("add_prefix_space")
