@@ -19,9 +19,9 @@ import hashlib
 import os
 import zlib
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +30,9 @@ from pyspark.sql import types as T
 from patronage.llm.word_ids import word_ids
 from patronage.staging import _application_folder, stage
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 BATCH_CHARS = 1 << 18
 
 
@@ -77,6 +80,8 @@ def _encoder(path: str):
 
 def _counter(name: str):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd  # here, so that tasks which need no frames do not hold it
+
         encode = _encoder(tokenizer_file(name))
         for pdf in batches:
             counts = [len(ids) for ids in encode(pdf["body"].tolist())]

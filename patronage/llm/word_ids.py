@@ -11,9 +11,10 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -239,10 +240,15 @@ class WordIds:
         return self.ids[source], np.diff(per_row)
 
 
-@lru_cache(maxsize=1)
 def word_ids(path: str) -> WordIds:
-    """The encoder of a worker process, whose tasks share what it remembers."""
-    return WordIds(path)
+    """The encoder of a worker process, whose tasks share what it remembers.
+
+    Functions travel to executors by value, so what outlives a task is kept under a name of the process.
+    """
+    kept = sys.modules.setdefault("word_ids_of_this_process", ModuleType("word_ids_of_this_process"))
+    if getattr(kept, "path", None) != path:
+        kept.path, kept.encoder = path, WordIds(path)
+    return kept.encoder
 
 
 def _row_ends(offsets: np.ndarray, begin: np.ndarray) -> np.ndarray:
