@@ -19,7 +19,6 @@ import hashlib
 import os
 import zlib
 from collections.abc import Iterator
-from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +29,7 @@ from pyspark.sql import types as T
 from patronage.llm.word_ids import word_ids
 from patronage.staging import _application_folder, stage
 
-if TYPE_CHECKING:
-    import pandas as pd
-
+#: Characters that a sentencepiece model encodes at a time, or one longer text.
 BATCH_CHARS = 1 << 18
 
 
@@ -49,43 +46,40 @@ def tokenizer_version(path: str) -> str:
         return hashlib.sha256(file.read() + b"|special=default|add=no|truncate=no|pad=no").hexdigest()
 
 
-def _encoder(path: str):
-    """A function from texts to lists of ids, in slices of bounded size."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if path.endswith(".model"):
-        import sentencepiece
+def _sizes(path: str):
+    """A function from a column of texts to their numbers of ids, in slices of bounded size.
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        encode = lambda texts: model.encode(texts, num_threads=1)
-    else:
-        from tokenizers import Tokenizer
+    A tokenizers file encodes each distinct word once per worker process (`word_ids`); a
+    sentencepiece model, whose pieces cross words, encodes whole texts.
+    """
+    if not path.endswith(".model"):
+        words = word_ids(path)
+        return lambda column: (counts for _, _, _, counts in words.encode(column))
+    import sentencepiece
 
-        model = Tokenizer.from_file(path)
-        model.no_truncation()
-        model.no_padding()
-        encode = lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
 
-    def sliced(texts: list[str]) -> Iterator[list[int]]:
+    def sliced(column: pa.Array) -> Iterator[np.ndarray]:
+        texts = column.to_pylist()
         at = 0
         while at < len(texts):
             end, size = at, 0
             while end < len(texts) and (end == at or size + len(texts[end]) <= BATCH_CHARS):
                 size += len(texts[end])
                 end += 1
-            yield from encode(texts[at:end])
+            ids = model.encode(texts[at:end], num_threads=1)
+            yield np.fromiter(map(len, ids), np.int64, len(ids))
             at = end
 
     return sliced
 
 
 def _counter(name: str):
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pandas as pd  # here, so that tasks which need no frames do not hold it
-
-        encode = _encoder(tokenizer_file(name))
-        for pdf in batches:
-            counts = [len(ids) for ids in encode(pdf["body"].tolist())]
-            yield pd.DataFrame({"digest": pdf["digest"], "n_tokens": np.array(counts, np.int64)})
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = _sizes(tokenizer_file(name))
+        for batch in batches:
+            counts = np.concatenate([np.zeros(0, np.int64), *sizes(batch.column(1))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts)], names=["digest", "n_tokens"])
 
     return count
 
@@ -124,7 +118,7 @@ def token_counts(
     misses = keys.groupBy("digest").agg(F.min(identity).alias("id")).join(stored(), "digest", "left_anti")
     texts = docs.select(identity.alias("id"), digest.alias("digest"), body.alias("body"))
     new = texts.join(misses, ["id", "digest"]).select("digest", "body")
-    new = new.mapInPandas(_counter(tokenizer), "digest binary, n_tokens long")
+    new = new.mapInArrow(_counter(tokenizer), "digest binary, n_tokens long")
     # rows that repeat both doc_id and text come here twice and are stored once
     new = new.dropDuplicates(["digest"])
     new.select("digest", F.lit(version).alias("version"), "n_tokens").write.mode("append").parquet(folder)

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -277,6 +278,25 @@ def test_token_counts_and_their_cache(spark, edges, empty, tmp_path):
     assert tokens.token_counts(empty).count() == 0
 
 
+def test_token_counts_encode_a_distinct_word_once(monkeypatch):
+    """Texts of the same words go to the library as their distinct words, not as whole texts."""
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    sent = []
+    learn = word_ids.WordIds._learn
+    monkeypatch.setattr(word_ids.WordIds, "_learn", lambda self, new: (sent.extend(new), learn(self, new)))
+    monkeypatch.delitem(sys.modules, "word_ids_of_this_process", raising=False)
+    texts = ["", *(" ".join(["alpha"] * n + ["beta, <|endoftext|>é", "É\x1f"]) for n in range(300)), "é" * 3000]
+    batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts]), pa.array(texts)], names=["digest", "body"])
+    found = pa.Table.from_batches(tokens._counter("byte_bpe_50k.json")([batch]))
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert found["n_tokens"].to_pylist() == [len(model.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert found["digest"].to_pylist() == batch.column(0).to_pylist()
+    assert 0 < len(sent) < 20
+
+
 def test_token_ids_round_trip(spark, edges, empty, tmp_path):
     import public_tokenizers
     import pyarrow.parquet as pq
