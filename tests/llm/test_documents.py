@@ -203,6 +203,36 @@ def test_scores_against_brute_force(spark, edges, small):
             assert r.held_out == (crc_mod(r.doc_id, 7) == 2)
 
 
+def test_scores_of_many_buckets(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("doc_id < 60")
+    expected = brute_scores([(r.doc_id, r.text) for r in docs.collect()])
+    found = compression_model.score(docs, compression_model.held_out(), block_bytes=20_000, bucket_bytes=5_000).collect()
+    for r in found:
+        assert (r.n_tokens, r.n_known, r.train_tokens) == expected[r.doc_id][:3]
+        assert (r.base_score, r.score) == pytest.approx(expected[r.doc_id][3:], rel=1e-9)
+
+
+def test_keys_travel_packed():
+    """A block sends some bytes per distinct string, not a row."""
+    import pandas as pd
+
+    random = np.random.default_rng(2)
+    body = " ".join("".join(random.choice(list("etaoinshr"), random.integers(2, 9))) for _ in range(20_000)).encode()
+    pdf = pd.DataFrame({"block": [7], "held_out": [False], "doc_id": [1], "body": [body]})
+    rows = compression_model._block_features(5)(pdf)
+    assert len(rows) == 10 and set(rows["block"]) == {7}
+    stream = compression_model.Stream([body])
+    for kind, all_keys in enumerate((stream.strings, stream.words)):
+        part = rows[rows["kind"] == kind]
+        keys, n = np.unique(all_keys, return_counts=True)
+        found = [(compression_model._unpack_keys(k), compression_model._unpack(c)) for k, c in zip(part["keys"], part["n"])]
+        found_keys, found_n = map(np.concatenate, zip(*found))
+        order = np.argsort(found_keys)
+        assert (found_keys[order] == keys).all() and (found_n[order] == n).all()
+        sent = part["keys"].str.len().sum() + part["n"].str.len().sum()
+        assert sent < (4 if kind == 0 else 9) * len(keys), sent / len(keys)
+
+
 def test_scores_use_contexts_of_five_bytes(spark):
     """Only the fifth byte before the last one tells which one follows."""
     assert compression_model.ORDER >= 5
