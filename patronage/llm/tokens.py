@@ -19,6 +19,7 @@ import hashlib
 import os
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.llm.word_ids import word_ids
+from patronage.llm.word_ids import release, word_ids
 from patronage.staging import _application_folder, stage
 
 #: Characters that a sentencepiece model encodes at a time, or one longer text.
 BATCH_CHARS = 1 << 18
+#: Rows of texts or ids that go to a Python worker at a time; they are long.
+BATCH_ROWS = 2000
 
 
 def tokenizer_file(name: str) -> str:
@@ -145,6 +148,19 @@ PARQUET = {
 }
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside sends `BATCH_ROWS` rows at a time to Python, or fewer if the session says so."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _ids_of(name: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(tokenizer_file(name))
@@ -177,10 +193,12 @@ def write_token_ids(
         .repartitionByRange(files, *order[:2])
         .sortWithinPartitions(*order)
     )
-    dealt.mapInArrow(_ids_of(tokenizer, end_id), IDS).write.options(**PARQUET).parquet(folder)
+    with _small_batches(docs.sparkSession):
+        dealt.mapInArrow(_ids_of(tokenizer, end_id), IDS).write.options(**PARQUET).parquet(folder)
 
 
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()  # a reused worker process may hold the words of the stage that wrote the files
     for batch in batches:
         lists = batch.column(3)
         offsets = lists.offsets.to_numpy()
@@ -202,7 +220,8 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     rows = files.select(
         F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"), "doc_id", "ids"
     ).mapInArrow(_checksums, "file string, at long, doc_id long, n_tokens long, ids_crc32 long")
-    rows = stage(rows, "id-digests")
+    with _small_batches(spark):
+        rows = stage(rows, "id-digests")
     before = Window.orderBy(F.regexp_extract("file", r"^part-(\d+)", 1).cast("long"), "file").rowsBetween(Window.unboundedPreceding, -1)
     base = rows.groupBy("file").agg(F.sum("n_tokens").alias("all")).select(
         "file", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base")

@@ -9,6 +9,7 @@ known here are those of the two public vocabularies; with any other, whole texts
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import sys
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Distinct pieces that a worker process remembers; beyond that it forgets all and starts anew.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 800_000
 #: Bytes of text that are split at a time, or one longer text.
 SLICE_BYTES = 2 << 20
 #: Words that go to the library in one string.
@@ -218,9 +219,9 @@ class WordIds:
         if self.kind == "blanks":
             packed, bounds = data, np.append(begin, len(data))
         else:
-            size = end - begin
-            bounds = np.concatenate([[0], np.cumsum(size)])
-            packed = data[np.repeat(begin - bounds[:-1], size) + np.arange(bounds[-1])]
+            # every byte that is not blank lies in one piece, so nothing is gathered by number
+            bounds = np.concatenate([[0], np.cumsum(end - begin)])
+            packed = data[~_BLANK[data]]
         pieces = pa.Array.from_buffers(
             pa.large_binary(), len(begin), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(packed))]
         ).dictionary_encode()
@@ -251,5 +252,12 @@ def word_ids(path: str) -> WordIds:
     return kept.encoder
 
 
+def release() -> None:
+    """Free what `word_ids` keeps in this worker process, for stages that encode nothing."""
+    if sys.modules.pop("word_ids_of_this_process", None):
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def _row_ends(offsets: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return offsets[np.searchsorted(offsets, begin, "right")]

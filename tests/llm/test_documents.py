@@ -419,3 +419,47 @@ def test_seats_go_to_the_highest_quotients(spark):
     found = {r.party: r.quota for r in mixing.apportion(parties, [], ["party"], "weight", "seats").collect()}
     quotients = sorted(((w / (2 * k + 1), n) for n, w in weights.items() for k in range(40) if w), key=lambda q: (-q[0], q[1]))
     assert found == {"d": 0} | Counter(n for _, n in quotients[:17])
+
+
+def test_slices_of_words_need_little_memory():
+    """Beside what is remembered, encoding takes little room, whatever the size of a batch."""
+    import tracemalloc
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    text = "".join(f"wonderful{a} extraordinary{b} " for a in "abcdefgh" for b in "stuvw") + "\n"
+    column = pa.array([text] * ((8 << 20) // len(text)))
+    encoder = word_ids.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    list(encoder.encode(column.slice(0, 2)))
+    tracemalloc.start()
+    for _ in encoder.encode(column):
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 28 << 20, most
+
+
+def test_reading_ids_holds_no_words():
+    """A worker process that wrote ids frees its words before it reads files back."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    words = word_ids.word_ids(public_tokenizers.path("word_bpe_49k.json"))
+    list(words.encode(pa.array(["some words"])))
+    columns = {"file": ["part-0"], "at": [0], "doc_id": [1], "ids": pa.array([[5, 1]], pa.list_(pa.int32()))}
+    rows = pa.Table.from_batches(tokens._checksums(iter(pa.table(columns).to_batches())))
+    assert rows["n_tokens"].to_pylist() == [2]
+    assert rows["ids_crc32"].to_pylist() == [zlib.crc32(np.array([5, 1], "<u4").tobytes())]
+    assert "word_ids_of_this_process" not in sys.modules
+
+
+def test_ids_go_to_python_in_small_batches(spark, edges, tmp_path, monkeypatch):
+    key, put = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(key)
+    own = type(spark.conf).set
+    monkeypatch.setattr(type(spark.conf), "set", lambda self, k, v: (put.append((k, v)), own(self, k, v))[1])
+    tokens.write_token_ids(edges, str(tmp_path / "ids"))
+    assert tokens.read_digests(spark, str(tmp_path / "ids")).count() == len(edge_rows())
+    assert [v for k, v in put if k == key] == [str(tokens.BATCH_ROWS), before] * 2
+    assert spark.conf.get(key) == before
