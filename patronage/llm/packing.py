@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.llm.tokens import PARQUET, tokenizer_file
-from patronage.llm.word_ids import utf8, word_ids
+from patronage.llm.tokens import PARQUET, _small_batches, tokenizer_file
+from patronage.llm.word_ids import release, utf8, word_ids
 from patronage.staging import _application_folder, stage
 
 #: Ids that leave a task in one batch, or those of one longer document.
@@ -266,6 +266,7 @@ class Places:
 
 def _cut(places: Places, size: int, digest: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()  # a reused worker process may hold the words of the stage that encoded
         for batch in batches:
             counts = batch.column("n_tokens").to_numpy()
             bounds = np.concatenate([[0], np.cumsum(counts)])
@@ -325,7 +326,8 @@ def pack(
     encoded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     # small row groups bound what a writer holds
     folder = f"{_application_folder(docs.sparkSession)}/packed-ids-{uuid.uuid4().hex}"
-    encoded.mapInArrow(_encode(tokenizer, end_id, size), ENCODED).write.options(**PARQUET).parquet(folder)
+    with _small_batches(docs.sparkSession):
+        encoded.mapInArrow(_encode(tokenizer, end_id, size), ENCODED).write.options(**PARQUET).parquet(folder)
     encoded = docs.sparkSession.read.schema(ENCODED).parquet(folder)
     counts = encoded.groupBy("part", "length").agg(
         F.count("*").alias("n"), F.sum(F.floor(F.col("n_tokens") / size)).alias("whole")
@@ -342,9 +344,12 @@ def pack(
     histogram = {r["length"]: (r["n"], r["whole"]) for r in counts.groupBy("length").agg(F.sum("n").alias("n"), F.sum("whole").alias("whole")).collect()}
     patterns = fill_up(shortest_pack_first({k: n for k, (n, _) in histogram.items()}, size), size)
     places = Places(patterns, sum(whole for _, whole in histogram.values()))
-    return encoded.join(bases, ["part", "length"]).mapInArrow(
-        _cut(places, size, digest), DIGESTS if digest else PIECES
-    )
+    pieces = encoded.join(bases, ["part", "length"]).mapInArrow(_cut(places, size, digest), DIGESTS if digest else PIECES)
+    if not digest:
+        return pieces
+    # some bytes per piece: staged, so that rows of ids go to Python few at a time
+    with _small_batches(docs.sparkSession):
+        return stage(pieces, "packed-digests")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -1,12 +1,13 @@
 """Packing: every id lies in one piece, sequences are full or as long as a power of two."""
 
 import random
+import sys
 import zlib
 
 import numpy as np
 import pytest
 
-from patronage.llm import packing
+from patronage.llm import packing, tokens, word_ids
 from tests.llm.helpers import documents, edge_rows
 
 
@@ -94,3 +95,24 @@ def test_documents_round_trip(spark, size):
     whole = packing.sequences(pieces).collect()
     assert sum(len(r.ids) for r in whole) == sum(r.length for r in found)
     assert packing.pack(documents(spark, []), size=size).count() == 0
+
+
+def test_words_are_freed_before_pieces_are_cut():
+    word_ids.word_ids(tokens.tokenizer_file("byte_bpe_50k.json"))
+    assert "word_ids_of_this_process" in sys.modules
+    assert list(packing._cut(packing.Places([], 0), 1024, True)(iter([]))) == []
+    assert "word_ids_of_this_process" not in sys.modules
+
+
+def test_digests_go_to_python_in_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen = spark.conf.get(key), {}
+
+    def staged(df, name):
+        seen[name] = int(spark.conf.get(key))
+        return stage(df, name)
+
+    stage = packing.stage
+    monkeypatch.setattr(packing, "stage", staged)
+    assert packing.pack(documents(spark, edge_rows()), digest=True).count()
+    assert seen["packed-digests"] == tokens.BATCH_ROWS and spark.conf.get(key) == before
