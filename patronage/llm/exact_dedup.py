@@ -10,11 +10,14 @@ smaller id. Strings are judged on the input and never cross documents.
 2. The *context* of an anchor is all that any string with this anchor can hold. Where a whole
    context is in an earlier document, everything in it goes. Copies collapse here, so what
    follows sees one document per context.
-3. A string with an anchor holds all of the first, the second or the third `probe` of the
-   anchor's context. Of contexts left over, the strings that hold a probe which a different context
-   has too are laid end to end per block, and a suffix array of them, built by linear grouping (`suffixes`), brings equal strings
-   together; neighbours are compared byte by byte. One row per distinct string and block then
-   meets the other blocks' rows by a 128-bit digest.
+3. A shared string holds its anchor in both documents, so contexts of one core are all that need
+   comparing. Blocks send the contexts left over, where a core has several, to the core's bucket;
+   a suffix array, built by linear grouping over the parts in which contexts agree
+   (`shared_strings`), brings equal strings together. How far they reach goes back to the blocks.
+   Contexts of a core that very many blocks or contexts have would make a large bucket: they are
+   dealt one by one, and meet by 128-bit digests of their strings.
+
+What travels is packed: one row per block and bucket, or per block.
 
 Null texts are empty. Rows without doc_id keep their text and remove nothing from others. Rows
 that repeat a doc_id do not remove from each other. Other columns are ignored.
@@ -23,6 +26,7 @@ that repeat a doc_id do not remove from each other. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,13 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.blocks import ByteHash, slices, splitmix, stage_blocks
-from patronage.llm.suffixes import suffix_array
-from patronage.staging import drop, stage
+from patronage.llm.shared_strings import LAST, flat, shared_strings
+from patronage.staging import stage
 
 BATCH_BYTES = 512 << 10
 #: Anchors that one task compares.
 ANCHORS = 1 << 20
-TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _hash, _other = ByteHash(11), ByteHash(12)
 
 
@@ -91,21 +94,6 @@ class _Batch:
         low = np.maximum(at - (self.width - self.core), self.start[doc])
         return low, np.minimum(at + self.width, self.end[doc])
 
-    def probes(self, at: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
-        """Hashes of what a string starting far, less far or not far before the anchor must hold.
-
-        Nought where the document is too short for such a string.
-        """
-        free = self.width - self.core
-        result = []
-        for k in range(3):  # strings that start more than k thirds, up to k + 1 thirds of `free` before
-            left, right = k * free // 3, free - (k + 1) * free // 3
-            low, high = at - left, at + self.core + right
-            fits = (low >= self.start[doc]) & (high <= self.end[doc])
-            hashed = splitmix(_hash.ranges(self.sums, np.where(fits, low, 0), np.where(fits, high, 0)))
-            result.append(np.where(fits, hashed >> np.uint64(33), 0).astype(np.int64))
-        return result
-
     def contexts(self, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
         low, high = self.bounds(at, doc)
         shape = ((at - low) * 1024 + (high - at)).astype(np.uint64)
@@ -121,23 +109,24 @@ def _batches(pdf: pd.DataFrame, width: int, core: int):
         yield ids[i:j], rows[i:j], _Batch(bodies[i:j], width, core)
 
 
-def _least_by(keys: list[np.ndarray], values: np.ndarray) -> np.ndarray:
-    """Rows that hold the least value of their key."""
-    order = np.lexsort([values, *reversed(keys)])
-    first = np.ones(len(order), bool)
-    if len(order):
-        first[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
-    return order[first]
+def _firsts(*keys: np.ndarray) -> np.ndarray:
+    """Whether a row of sorted keys differs from the one before."""
+    first = np.ones(len(keys[0]), bool)
+    first[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return first
 
 
-def _merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unions of overlapping or touching ranges."""
+def _merged(owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unions of an owner's overlapping or touching ranges, by owner and place."""
+    order = np.lexsort([low, owner])
+    owner, low, high = owner[order], low[order], high[order]
     if not len(low):
-        return low, high
-    order = np.argsort(low, kind="stable")
-    low, reach = low[order], np.maximum.accumulate(high[order])
-    new = np.flatnonzero(np.concatenate([[True], low[1:] > reach[:-1]]))
-    return low[new], np.concatenate([reach[new[1:] - 1], reach[-1:]])
+        return owner, low, high
+    # owners lie apart, so that no range reaches the next one's
+    base = np.cumsum(_firsts(owner)) * (int(high.max()) + 1)
+    reach = np.maximum.accumulate(high + base)
+    new = np.flatnonzero(np.concatenate([[True], (low + base)[1:] > reach[:-1]]))
+    return owner[new], low[new], np.append(reach[new[1:] - 1], reach[-1]) - base[new]
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -177,164 +166,270 @@ def _anchor_rows(width: int, core: int, buckets: int):
 
 
 def _runs(sorted_keys: np.ndarray):
-    first = np.flatnonzero(np.concatenate([sorted_keys[:1] == sorted_keys[:1], sorted_keys[1:] != sorted_keys[:-1]]))
+    first = np.flatnonzero(_firsts(sorted_keys)) if len(sorted_keys) else np.zeros(0, np.int64)
     return sorted_keys[first].tolist(), first.tolist(), np.append(first[1:], len(sorted_keys)).tolist()
 
 
-def _repeated_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per block, the cores of a bucket that several documents hold."""
-    cores = [np.frombuffer(x, np.uint32) for x in pdf["cores"]]
-    sizes = np.fromiter(map(len, cores), np.int64, len(cores))
-    whole = np.concatenate(cores)
-    several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(pdf["several"], sizes)])
-    _, number, count = np.unique(whole, return_inverse=True, return_counts=True)
-    often = count > 1
-    often[number[several > 0]] = True
-    kept = [c[often[n]].tobytes() for c, n in zip(cores, np.split(number, np.cumsum(sizes)[:-1]))]
-    table = pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "cores": kept})
-    return table[table["cores"].str.len() > 0]
+def _dealt(block: int, bucket: np.ndarray, *columns: np.ndarray) -> pd.DataFrame:
+    """One row per bucket with the packed columns of its rows, in the order they have."""
+    order = np.argsort(bucket, kind="stable")
+    columns = [x[order] for x in columns]
+    rows = [(block, k, [x[a:z].tobytes() for x in columns]) for k, a, z in zip(*_runs(bucket[order]))]
+    return pd.DataFrame(rows, columns=["block", "bucket", "parts"]).astype({"block": "int64", "bucket": "int64"})
+
+
+def _unpacked(parts: pd.Series, *kinds) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Which row each packed value comes from, and the columns one row after the other."""
+    columns = [[np.frombuffer(p[k], kind) for p in parts] for k, kind in enumerate(kinds)]
+    sizes = np.fromiter(map(len, columns[0]), np.int64, len(parts))
+    joined = [np.concatenate([np.zeros(0, kind), *x]) for kind, x in zip(kinds, columns)]
+    return np.repeat(np.arange(len(parts)), sizes), joined
+
+
+def _repeated_rows(hot_blocks: int):
+    def repeated(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Per block, the cores of a bucket that several documents hold, and which of them very many blocks do."""
+        cores = [np.frombuffer(x, np.uint32) for x in pdf["cores"]]
+        sizes = np.fromiter(map(len, cores), np.int64, len(cores))
+        whole = np.concatenate(cores)
+        several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(pdf["several"], sizes)])
+        _, number, count = np.unique(whole, return_inverse=True, return_counts=True)
+        often = count > 1
+        often[number[several > 0]] = True
+        hot = (count > hot_blocks)[number]
+        rows = []
+        for block, bucket, c, n, h in zip(
+            pdf["block"], pdf["bucket"], cores, *(np.split(x, np.cumsum(sizes)[:-1]) for x in (number, hot))
+        ):
+            keep = often[n]
+            if keep.any():
+                rows.append((block, bucket, [c[keep].tobytes(), h[keep].astype(np.uint8).tobytes()]))
+        return pd.DataFrame(rows, columns=["block", "bucket", "parts"]).astype({"block": "int64", "bucket": "int64"})
+
+    return repeated
+
+
+#: What is said about a context: an earlier document has it; its strings are to be compared, by bucket or one by one.
+OLD, COMPARED, SINGLE = 1, 2, 4
+_CONTEXTS = (np.uint32, np.uint64, np.int64, np.uint8)
 
 
 def _context_rows(width: int, core: int, buckets: int):
     def contexts(key, pdf: pd.DataFrame, repeated: pd.DataFrame) -> pd.DataFrame:
-        wanted = [np.zeros(0, np.int64)]
-        for bucket, cores in zip(repeated["bucket"], repeated["cores"]):
-            wanted.append((np.int64(bucket) << 32) | np.frombuffer(cores, np.uint32).astype(np.int64))
-        wanted = np.sort(np.concatenate(wanted))
-        parts = []
+        """A block's contexts of repeated cores: core, context, least document, whether several documents or a hot core."""
+        source, (wanted, hot) = _unpacked(repeated["parts"], np.uint32, np.uint8)
+        wanted = (repeated["bucket"].to_numpy(np.int64)[source] << 32) | wanted.astype(np.int64)
+        order = np.argsort(wanted)
+        wanted, hot = wanted[order], hot[order]
+        cores, found, docs, hots = [], [], [], []
         for doc_ids, _, b in _batches(pdf, width, core) if len(wanted) and len(pdf) else ():
             bucket, short = _short(b.key, buckets)
             own = (bucket << 32) | short.astype(np.int64)
-            at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own)
-            context = b.contexts(b.anchor[at], b.doc[at])
-            probes = b.probes(b.anchor[at], b.doc[at])
-            parts.append((_signed(b.key[at]), _signed(context), doc_ids[b.doc[at]], *probes))
-        names = ("core", "context", "doc", "p0", "p1", "p2")
-        if not parts:
-            return pd.DataFrame({name: [] for name in ("block", *names)}, dtype="int64")
-        columns = dict(zip(names, map(np.concatenate, zip(*parts))))
-        keep = _least_by([columns["context"]], columns["doc"])
-        return pd.DataFrame({"block": np.int64(key[0])} | {name: x[keep] for name, x in columns.items()})
+            place = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
+            at = np.flatnonzero(wanted[place] == own)
+            cores.append(own[at])
+            found.append(b.contexts(b.anchor[at], b.doc[at]))
+            docs.append(doc_ids[b.doc[at]])
+            hots.append(hot[place[at]])
+        if not cores:
+            return _dealt(key[0], np.zeros(0, np.int64))
+        own, context, doc, hot = map(np.concatenate, (cores, found, docs, hots))
+        order = np.lexsort([doc, context, own])
+        own, context, doc, hot = own[order], context[order], doc[order], hot[order]
+        first = np.flatnonzero(_firsts(own, context)) if len(own) else np.zeros(0, np.int64)
+        last = np.append(first[1:], len(own)) - 1
+        several = doc[first] != doc[last]
+        own, context, doc, hot = own[first], context[first], doc[first], hot[first]
+        # contexts of hot cores are dealt one by one
+        bucket = np.where(hot > 0, (context % np.uint64(buckets)).astype(np.int64), own >> 32)
+        return _dealt(key[0], bucket, own.astype(np.uint32), context, doc, several + 2 * hot.astype(np.uint8))
 
     return contexts
 
 
-_STRINGS = {"row": "int64", "low": "int64", "high": "int64", "one": "int64", "two": "int64", "doc": "int64", "more": "object"}
+def _judged_rows(hot_contexts: int):
+    def judged(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Per block, the contexts of a bucket that something must be done with."""
+        source, (core, context, doc, flags) = _unpacked(pdf["parts"], *_CONTEXTS)
+        order = np.lexsort([doc, context, core])
+        source, core, context, doc, flags = (x[order] for x in (source, core, context, doc, flags))
+        new = _firsts(core, context)
+        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        first = _firsts(core)
+        contexts = np.add.reduceat(new.astype(np.int64), np.flatnonzero(first))[np.cumsum(first) - 1]
+        hot = flags > 1
+        old = doc > least
+        single = ~old & (hot | (contexts > hot_contexts))
+        said = OLD * old + COMPARED * (~old & ~single & (contexts > 1)) + SINGLE * single
+        keep = np.flatnonzero((said > 0) | (flags & 1 > 0))
+        table = _dealt(0, source[keep], context[keep], said[keep].astype(np.uint8))
+        table["block"] = pdf["block"].to_numpy(np.int64)[table["bucket"]]
+        return table
+
+    return judged
+
 
+#: Rows for a core's bucket, for the own block, and of strings dealt one by one.
+SENT, GONE, PLACES, STRINGS = range(4)
+_SENT = (np.uint32, np.uint64, np.int64, np.uint16, np.uint16)
+_GONE = (np.int64, np.int64, np.int64)
+_PLACES = (np.uint64, np.int64, np.int64)
+_STRINGS = (np.uint64, np.uint64, np.uint64, np.int64, np.uint16)
+PACKED = "block long, bucket long, parts array<binary>"
 
-def _string_rows(width: int, core: int):
+
+def _string_rows(width: int, core: int, buckets: int):
     def strings(key, pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        index = pd.Index(known["context"].to_numpy(np.int64))
-        least = known["least"].to_numpy(np.int64)
-        parts = known["parts"].to_numpy(np.int64)
-        free = width - core
-        out = []
-        pieces, piece_row, piece_doc, piece_low, starts_at = [], [], [], [], []
-        total = 0
-        for doc_ids, rows, b in _batches(pdf, width, core) if len(index) and len(pdf) else ():
-            place = index.get_indexer(_signed(b.contexts(b.anchor, b.doc)))
-            hit = place >= 0
-            anchor, doc, place = b.anchor[hit], b.doc[hit], place[hit]
-            low, high = b.bounds(anchor, doc)
-            old = doc_ids[doc] > least[place]
-            ranges = _merged(low[old], high[old])
-            d = np.searchsorted(b.end, ranges[0], side="right")
-            # ranges of two documents that touch come apart again
-            for x, y, k in zip(*ranges, d):
-                while x < y:
-                    z = min(y, b.end[k])
-                    out.append((rows[k], x - b.start[k], z - b.start[k], 0, 0, 0, None))
-                    x, k = z, k + 1
-            own = ~old & (parts[place] > 0)
-            if not own.any():
-                continue
-            # strings whose anchor lies so far inside that they hold a part which another context has too
-            mine = np.zeros(len(b.least), bool)
-            for k in range(3):
-                marked = np.full(len(b.own), TOP)
-                some = anchor[own & ((parts[place] >> k) & 1 > 0)]
-                marked[some] = b.own[some]
-                near, far = k * free // 3, (k + 1) * free // 3 + (k == 2)
-                mine |= _sliding(marked, far - near, np.minimum)[near : near + len(mine)] == b.least
-            ours = np.flatnonzero(mine & (b.least > 0))
-            if not len(ours):
-                continue
-            d = np.searchsorted(b.end, ours, side="right")
-            # strings of one document that overlap or touch become one piece
-            new = np.flatnonzero(np.concatenate([[True], (ours[1:] > ours[:-1] + width) | (d[1:] != d[:-1])]))
-            last = np.append(new[1:], len(ours)) - 1
-            for s, e, k in zip(ours[new], ours[last] + width, d[new]):
-                pieces.append(b.raw[s:e])
-                piece_row.append(rows[k])
-                piece_doc.append(doc_ids[k])
-                piece_low.append(s - b.start[k])
-            starts_at.append(ours - np.repeat(ours[new], np.diff(np.append(new, len(ours)))) + np.int64(0))
-            total += len(new)
-        # typed also without rows: digests that pass through floats lose bits
-        table = pd.DataFrame(out, columns=list(_STRINGS)).astype(_STRINGS)
-        if total:
-            offsets = np.concatenate(starts_at)
-            lengths = np.fromiter(map(len, pieces), np.int64, total)
-            # which piece each string lies in: offsets restart at nought with every piece
-            piece = np.cumsum(offsets == 0) - 1
-            base = np.cumsum(lengths) - lengths
-            found = _equal_strings(b"".join(pieces), base[piece] + offsets, width)
-            order, first = found["order"], found["first"]
-            p, low = piece[order], np.array(piece_low, np.int64)[piece[order]] + offsets[order]
-            doc, row = np.array(piece_doc, np.int64)[p], np.array(piece_row, np.int64)[p]
-            sets = np.cumsum(first) - 1
-            least_doc = np.minimum.reduceat(doc, np.flatnonzero(first))
-            # one row per distinct string and row of documents it starts in
-            table = pd.concat([table, pd.DataFrame({
-                "row": row, "low": low, "high": low + width, "one": found["one"], "two": found["two"],
-                "doc": doc, "more": doc > least_doc[sets],
-            }).astype(_STRINGS)])
-        table.insert(0, "block", np.int64(key[0]))
-        return table
+        """A block's old ranges, and of contexts to be compared their bytes and places, each context's bytes once."""
+        _, (wanted, said) = _unpacked(known["parts"], np.uint64, np.uint8)
+        order = np.argsort(wanted)
+        wanted, said = wanted[order], said[order]
+        least = np.full(len(wanted), LAST)
+        sent, gone, places, single = [], [], [], []
+        # documents ascend, so the first with a context is the least
+        for doc_ids, rows, b in _batches(pdf.sort_values("doc_id"), width, core) if len(wanted) and len(pdf) else ():
+            context = b.contexts(b.anchor, b.doc)
+            place = np.minimum(np.searchsorted(wanted, context), len(wanted) - 1)
+            hit = np.flatnonzero(wanted[place] == context)
+            place, context, at, doc = place[hit], context[hit], b.anchor[hit], b.doc[hit]
+            ids = doc_ids[doc]
+            distinct, first = np.unique(place, return_index=True)
+            unseen = least[distinct] == LAST
+            least[distinct[unseen]] = ids[first[unseen]]
+            low, high = b.bounds(at, doc)
+            old = (said[place] & OLD > 0) | (ids > least[place])
+            ranges = _merged(doc[old], low[old], high[old])
+            gone.append((rows[ranges[0]], ranges[1] - b.start[ranges[0]], ranges[2] - b.start[ranges[0]]))
+            own = ~old & (said[place] & (COMPARED | SINGLE) > 0)
+            places.append((context[own], rows[doc[own]], at[own] - b.start[doc[own]]))
+            fresh = np.zeros(len(place), bool)
+            fresh[first[unseen]] = True
+            new = np.flatnonzero(own & fresh & (said[place] & COMPARED > 0))
+            bucket, short = _short(b.key[hit[new]], buckets)
+            length, before = high[new] - low[new], at[new] - low[new]
+            data = b.data[flat(low[new], length)]
+            sent.append((bucket, short, context[new], ids[new], length.astype(np.uint16), before.astype(np.uint16), data))
+            new = np.flatnonzero(own & fresh & (said[place] & SINGLE > 0))
+            if len(new):
+                far = np.tile(np.arange(width - core + 1), len(new))
+                new = np.repeat(new, width - core + 1)
+                fits = (at[new] - far >= low[new]) & (at[new] - far + width <= high[new])
+                new, far = new[fits], far[fits]
+                start = at[new] - far
+                one = splitmix(_hash.ranges(b.sums, start, start + width))
+                two = splitmix(_other.ranges(_other.prefix(b.data), start, start + width))
+                single.append((context[new], one, two, ids[new], far.astype(np.uint16)))
+        tables = []
+        if sent:
+            bucket, *columns, data = map(np.concatenate, zip(*sent))
+            length = columns[3].astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            start = np.cumsum(length) - length
+            dealt = _dealt(key[0], bucket, *columns)
+            dealt["parts"] = [
+                [*parts, data[flat(start[order[a:z]], length[order[a:z]])].tobytes()]
+                for parts, (_, a, z) in zip(dealt["parts"], zip(*_runs(bucket[order])))
+            ]
+            tables.append(dealt.assign(kind=SENT))
+        for kind, chunks in ((GONE, gone), (PLACES, places), (STRINGS, single)):
+            columns = list(map(np.concatenate, zip(*chunks)))
+            if columns and len(columns[0]):
+                tables.append(_dealt(key[0], np.zeros(len(columns[0]), np.int64), *columns).assign(kind=kind))
+        return pd.concat([_dealt(key[0], np.zeros(0, np.int64)).assign(kind=0), *tables])
 
     return strings
 
 
-def _equal_strings(text: bytes, at: np.ndarray, width: int) -> dict:
-    """The strings text[at : at + width] in suffix order: which begin a set of equals, digests."""
-    inverse = np.full(len(text), -1)
-    inverse[at] = np.arange(len(at))
-    order = inverse[suffix_array(text)]
-    order = order[order >= 0]
-    data = np.frombuffer(text, np.uint8)
-    start = at[order]
-    same = np.ones(max(0, len(start) - 1), bool)
-    for k in range(width):
-        symbol = data[start + k]
-        same &= symbol[1:] == symbol[:-1]
-    one = splitmix(_hash.ranges(_hash.prefix(data), start, start + width))
-    two = splitmix(_other.ranges(_other.prefix(data), start, start + width))
-    return {"order": order, "first": np.concatenate([[True], ~same]), "one": _signed(one), "two": _signed(two)}
-
-
-def _kept_rows(key, pdf: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
-    low, high = {}, {}
-    for row, part in gone.groupby("row") if len(gone) else ():
-        low[row], high[row] = _merged(part["low"].to_numpy(np.int64), part["high"].to_numpy(np.int64))
-    out = []
-    for doc_id, row, body in zip(pdf["doc_id"].astype("Int64"), pdf["row"], pdf["body"]):
-        spans = list(zip(low[row].tolist(), high[row].tolist())) if row in low else []
-        kept, at = [], 0
-        for a, z in spans:
-            kept.append(body[at:a])
-            at = z
-        kept.append(body[at:])
-        rest = b"".join(kept)
-        out.append((doc_id, len(body), spans, rest, hashlib.sha256(rest).hexdigest()))
-    frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept", "kept_sha256"])
-    frame["doc_id"] = frame["doc_id"].astype("Int64")
-    return frame
+def _found_rows(width: int, core: int):
+    def found(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Per block, the contexts of a bucket with strings of an earlier document, and how far those reach."""
+        source, (short, context, doc, length, before) = _unpacked(pdf["parts"], *_SENT)
+        data = np.frombuffer(b"".join(p[len(_SENT)] for p in pdf["parts"]), np.uint8)
+        some, left, right = shared_strings(
+            short, data, length.astype(np.int64), before.astype(np.int64), doc, width, core
+        )
+        table = _dealt(0, source[some], context[some], left, right)
+        table["block"] = pdf["block"].to_numpy(np.int64)[table["bucket"]]
+        return table
+
+    return found
+
+
+def _single_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for block, parts in zip(pdf["block"], pdf["parts"]):
+            _, (context, one, two, doc, far) = _unpacked([parts], *_STRINGS)
+            yield pd.DataFrame({
+                "block": np.int64(block), "context": _signed(context), "one": _signed(one), "two": _signed(two),
+                "doc": doc, "far": far.astype(np.int32),
+            })
+
+
+_FOUND = (np.uint64, np.int64, np.int64)
+
+
+def _packed_hits(free: int):
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            parts = [
+                [np.int64(c).tobytes(), np.int64(most).tobytes(), np.int64(free - least).tobytes()]
+                for c, most, least in zip(pdf["context"], pdf["most"], pdf["least"])
+            ]
+            yield pd.DataFrame({"block": pdf["block"], "bucket": np.int64(0), "parts": parts})
+
+    return packed
+
+
+FOUND = STRINGS + 1
+
+
+def _kept_rows(core: int):
+    def kept(key, pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        parts = {kind: known["parts"][known["kind"] == kind] for kind in (GONE, PLACES, FOUND)}
+        _, (row, low, high) = _unpacked(parts[GONE], *_GONE)
+        _, (context, place_row, at) = _unpacked(parts[PLACES], *_PLACES)
+        _, (found, left, right) = _unpacked(parts[FOUND], *_FOUND)
+        if len(found):
+            order = np.argsort(found)
+            found, left, right = found[order], left[order], right[order]
+            place = np.minimum(np.searchsorted(found, context), len(found) - 1)
+            hit = found[place] == context
+            place, at = place[hit], at[hit]
+            row = np.concatenate([row, place_row[hit]])
+            low, high = np.concatenate([low, at - left[place]]), np.concatenate([high, at + core + right[place]])
+        row, low, high = _merged(row, low, high)
+        ranges = {k: (a, z) for k, a, z in zip(*_runs(row))}
+        out = []
+        for doc_id, row, body in zip(pdf["doc_id"].astype("Int64"), pdf["row"], pdf["body"]):
+            a, z = ranges.get(row, (0, 0))
+            spans = list(zip(low[a:z].tolist(), high[a:z].tolist()))
+            rest, at = [], 0
+            for start, end in spans:
+                rest.append(body[at:start])
+                at = end
+            rest.append(body[at:])
+            rest = b"".join(rest)
+            out.append((doc_id, len(body), spans, rest, hashlib.sha256(rest).hexdigest()))
+        frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "spans", "kept", "kept_sha256"])
+        frame["doc_id"] = frame["doc_id"].astype("Int64")
+        return frame
+
+    return kept
 
 
 def remove_repeats(
-    docs: DataFrame, width: int = 50, core: int = 20, block_bytes: int = 4 << 20
+    docs: DataFrame,
+    width: int = 50,
+    core: int = 20,
+    block_bytes: int = 4 << 20,
+    hot_blocks: int = 1024,
+    hot_contexts: int = 1 << 17,
 ) -> DataFrame:
-    """doc_id, n_bytes, spans (array of removed [low, high)), kept (bytes left), kept_sha256."""
+    """doc_id, n_bytes, spans (array of removed [low, high)), kept (bytes left), kept_sha256.
+
+    Contexts of a core that more than `hot_blocks` blocks have, or of which there are more than
+    `hot_contexts`, are not brought together in one task; their strings meet one by one.
+    """
     body = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
     blocks = stage_blocks(
         docs.select(F.col("doc_id").cast("long"), body.alias("body"), F.monotonically_increasing_id().alias("row")),
@@ -343,49 +438,37 @@ def remove_repeats(
     )
     # a group of anchors is some megabytes, whatever the size of the corpus
     buckets = max(1, -(-blocks.select("block").distinct().count() * block_bytes // (16 * ANCHORS)))
-    rows = blocks.groupBy("block").applyInPandas(
-        _anchor_rows(width, core, buckets), "block long, bucket long, cores binary, several binary"
-    )
-    repeated = rows.groupBy("bucket").applyInPandas(_repeated_rows, "block long, bucket long, cores binary")
-    contexts = stage(
-        blocks.groupBy("block").cogroup(repeated.groupBy("block"))
-        .applyInPandas(_context_rows(width, core, buckets), "block long, core long, context long, doc long, p0 int, p1 int, p2 int"),
-        "contexts",
-    )
-    least = contexts.groupBy("context").agg(F.min("doc").alias("least"))
-    several = contexts.groupBy("core").agg(F.min("context").alias("a"), F.max("context").alias("z")).where("a <> z")
-    probes = contexts.join(several.select("core"), "core", "left_semi").select(
-        "core", "context", F.posexplode(F.array("p0", "p1", "p2")).alias("part", "probe")
-    ).where("probe <> 0")
-    probes = stage(probes, "probes")
-    alike = probes.groupBy("core", "part", "probe").agg(F.min("context").alias("a"), F.max("context").alias("z")).where("a <> z").drop("a", "z")
-    parts = (
-        probes.join(alike, ["core", "part", "probe"]).groupBy("context")
-        .agg(F.bit_or(F.expr("shiftleft(1, part)")).alias("parts"))
+    by_block = blocks.groupBy("block")
+    repeated = (
+        by_block.applyInPandas(_anchor_rows(width, core, buckets), "block long, bucket long, cores binary, several binary")
+        .groupBy("bucket").applyInPandas(_repeated_rows(hot_blocks), PACKED)
     )
-    known = stage(
-        contexts.select("block", "context").join(least, "context").join(parts, "context", "left")
-        .select("block", "context", "least", F.coalesce("parts", F.lit(0)).alias("parts")),
-        "known",
-    )
-    drop(contexts)
-    drop(probes)
+    contexts = by_block.cogroup(repeated.groupBy("block")).applyInPandas(_context_rows(width, core, buckets), PACKED)
+    known = contexts.groupBy("bucket").applyInPandas(_judged_rows(hot_contexts), PACKED)
     strings = stage(
-        blocks.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(
-            _string_rows(width, core),
-            "block long, row long, low long, high long, one long, two long, doc long, more boolean",
-        ),
+        by_block.cogroup(known.groupBy("block"))
+        .applyInPandas(_string_rows(width, core, buckets), f"{PACKED}, kind int"),
         "strings",
     )
-    drop(known)
-    whole = strings.where("more is null").select("block", "row", "low", "high")
-    single = strings.where("more is not null")
+    found = strings.where(F.col("kind") == SENT).groupBy("bucket").applyInPandas(_found_rows(width, core), PACKED)
+    single = strings.where(F.col("kind") == STRINGS).select("block", "parts").mapInPandas(
+        _single_rows, "block long, context long, one long, two long, doc long, far int"
+    )
     shared = (
         single.groupBy("one", "two").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
         .where("least < most").drop("most")
     )
-    part = single.join(shared, ["one", "two"]).where("doc > least").select("block", "row", "low", "high")
-    return blocks.groupBy("block").cogroup(whole.unionByName(part).groupBy("block")).applyInPandas(
-        _kept_rows,
+    hits = (
+        single.join(shared, ["one", "two"]).where("doc > least")
+        .groupBy("block", "context").agg(F.max("far").alias("most"), F.min("far").alias("least"))
+        .mapInPandas(_packed_hits(width - core), PACKED)
+    )
+    gone = (
+        found.unionByName(hits).withColumn("kind", F.lit(FOUND))
+        .unionByName(strings.where(F.col("kind").isin(GONE, PLACES)))
+        .select("block", "kind", "parts")
+    )
+    return by_block.cogroup(gone.groupBy("block")).applyInPandas(
+        _kept_rows(core),
         "doc_id long, n_bytes long, spans array<struct<low: long, high: long>>, kept binary, kept_sha256 string",
     )

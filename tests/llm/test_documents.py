@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from patronage.llm import compression_model, exact_dedup, mixing, near_dedup, quality, tokens, word_ids
 from patronage.llm.components import components
+from patronage.llm.shared_strings import shared_strings
 from patronage.llm.suffixes import suffix_array
 from tests.llm.helpers import crc_mod, documents, edge_rows, groups, shingles, words
 
@@ -148,6 +149,75 @@ def test_removal_of_periodic_and_overlapping_texts(spark):
     assert removed(documents(spark, rows)) == brute_removal([r[:2] for r in rows])
 
 
+@pytest.mark.parametrize("hot", [{"hot_blocks": 1}, {"hot_contexts": 1}, {}])
+def test_removal_around_edits_and_hot_lines(spark, hot):
+    """Copies with one changed place each, and a line that every text has, over many blocks."""
+    random = np.random.default_rng(4)
+    line = "All rights reserved, whatever this line may say to its readers today. "
+    rows = []
+    for i in range(60):
+        text = " ".join(str(x) for x in random.integers(0, 10**6, 30)) if i < 20 else rows[i % 20][1]
+        at = int(random.integers(0, len(text)))
+        rows.append((i, (text[:at] + random.choice(list("xyz")) + text[at + 1 :]) if i >= 20 else text + line + text[: at % 40], "s"))
+    rows += [(7, rows[3][1], "s"), (7, rows[3][1], "s")]
+    docs = documents(spark, rows).repartition(5)
+    assert removed(docs, block_bytes=1500, **hot) == brute_removal([r[:2] for r in rows])
+
+
+def shared_by_force(contexts, before, doc, width, core):
+    first, result = {}, {}
+    strings = [
+        (i, far, c[b : b + core], c[b - far : b - far + width])
+        for i, (c, b) in enumerate(zip(contexts, before))
+        for far in range(width - core + 1)
+        if 0 <= b - far <= len(c) - width
+    ]
+    for i, *string in strings:
+        first[tuple(string)] = min(first.get(tuple(string), doc[i]), doc[i])
+    for i, far, *string in strings:
+        if first[far, *string] < doc[i]:
+            left, right = result.get(i, (far, width - core - far))
+            result[i] = max(left, far), max(right, width - core - far)
+    return result
+
+
+def test_shared_strings_against_brute_force(monkeypatch):
+    random = np.random.default_rng(5)
+    for trial in range(150):
+        width, core = [(6, 2), (10, 4), (50, 20)][trial % 3]
+        monkeypatch.setattr("patronage.llm.shared_strings.CONTEXTS", int(random.choice([1, 5, 1000])))
+        cores = [bytes(random.integers(97, 99, core).tolist()) for _ in range(3)]
+        contexts, before, names = [], [], []
+        for _ in range(int(random.integers(1, 50))):
+            b, after = (int(random.choice([width - core, width - core, random.integers(0, width - core + 1)])) for _ in "ab")
+            own = cores[int(random.integers(0, 3))]
+            sides = [bytes(random.choice([0, 97, 98], n, p=[0.1, 0.85, 0.05]).tolist()) for n in (b, after)]
+            contexts.append(sides[0] + own + sides[1])
+            before.append(b)
+            names.append(0 if trial % 2 else cores.index(own))  # unequal cores may have equal numbers
+        doc = random.integers(0, 20, len(contexts))
+        found = shared_strings(
+            np.array(names), np.frombuffer(b"".join(contexts), np.uint8), np.array([len(c) for c in contexts]),
+            np.array(before), doc, width, core,
+        )
+        assert {int(i): (int(a), int(z)) for i, a, z in zip(*found)} == shared_by_force(contexts, before, doc.tolist(), width, core)
+
+
+def test_removal_sends_packed_rows(spark, small, monkeypatch):
+    """What is staged has rows per block and bucket, not per string."""
+    staged = {}
+
+    def counted(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    stage = exact_dedup.stage
+    monkeypatch.setattr(exact_dedup, "stage", counted)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    removed(docs, block_bytes=60_000)
+    assert all(rows.count() < 10 * docs.count() for rows in staged.values())
+
+
 def test_removal_without_rows_and_without_ids(spark, empty):
     assert removed(empty) == []
     rows = exact_dedup.remove_repeats(documents(spark, [(None, "y" * 60, "s"), (3, "y" * 60, "s")])).collect()
