@@ -66,6 +66,18 @@ def scope(spark: SparkSession) -> Iterator[None]:
         _own.reset(before)
 
 
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is written inside leaves no shuffle files, instead of keeping them until the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet to the shared folder and return a scan of it.
 

@@ -3,10 +3,12 @@
 import hashlib
 import math
 import sys
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,6 +220,90 @@ def test_removal_sends_packed_rows(spark, small, monkeypatch):
     assert all(rows.count() < 10 * docs.count() for rows in staged.values())
 
 
+def near_copies(seed, n=240):
+    """Texts of which each has one line in common with all, and a place that its copies have not."""
+    random = np.random.default_rng(seed)
+    line = "All rights reserved, whatever this line may say to its readers today. "
+    texts = [" ".join(str(x) for x in random.integers(0, 10**6, 60)) + line for _ in range(n // 4)] * 4
+    places = random.integers(0, 300, n)
+    return [(i, t[:p] + str(i) + t[p + 1 :], "s") for i, (t, p) in enumerate(zip(texts, places))]
+
+
+@pytest.mark.parametrize("hot", [{"hot_blocks": 1}, {"hot_contexts": 1}])
+def test_removal_of_hot_strings_stages_little(spark, monkeypatch, hot):
+    """Strings that are dealt one by one are staged once per block, and only around what contexts share."""
+    rows = near_copies(6)
+    staged = []
+    stage = exact_dedup.stage
+
+    def counted(df, name):
+        staged.append(stage(df, name))
+        return staged[-1]
+
+    monkeypatch.setattr(exact_dedup, "stage", counted)
+    docs = documents(spark, rows).repartition(4).cache()
+    assert removed(docs, block_bytes=1 << 20, **hot) == brute_removal([r[:2] for r in rows])
+    size = F.aggregate("parts", F.lit(0), lambda n, x: n + F.octet_length(x))
+    sent = sum(df.agg(F.sum(size)).first()[0] or 0 for df in staged)
+    assert sent < 6 * sum(len(t.encode()) for _, t, _ in rows)
+
+
+def test_removal_drops_the_shuffles_of_what_is_staged(spark, monkeypatch):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {str(f) for f in spark._jvm.java.util.ArrayList(
+        spark._jvm.scala.jdk.javaapi.CollectionConverters.asJavaCollection(disk.getAllFiles())
+    ) if "/shuffle_" in str(f)}
+    stage = exact_dedup.stage
+    left = []
+
+    def counted(df, name):
+        before = shuffled()
+        result = stage(df, name)
+        for _ in range(20):  # they are dropped a moment later
+            if not shuffled() - before:
+                break
+            time.sleep(0.2)
+        left.append(shuffled() - before)
+        return result
+
+    monkeypatch.setattr(exact_dedup, "stage", counted)
+    rows = near_copies(7, 40)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_before = spark.conf.get(name)
+    assert removed(documents(spark, rows).repartition(3), block_bytes=4000) == brute_removal([r[:2] for r in rows])
+    assert left and not any(left)
+    assert spark.conf.get(name) == set_before
+
+
+def test_removal_sends_few_bytes_of_copies():
+    """Blocks of the same texts: an anchor's context takes less than 16 bytes, an answer less than one."""
+    rows = near_copies(8, 60)[:15]  # each text once, in each block
+    blocks = []
+    for k in range(3):
+        bodies = [t.encode() for _, t, _ in rows]
+        ids = [i + 1000 * k for i, _, _ in rows]
+        blocks.append(pd.DataFrame({"block": k, "doc_id": ids, "body": bodies, "row": ids}))
+    size = lambda df: sum(len(x) for parts in df["parts"] for x in parts)
+    shape = 50, 20, 1
+    n = sum(len(exact_dedup._Block(b, *shape).at) for b in blocks)
+    asked = pd.concat([exact_dedup._anchor_rows(*shape)(b) for b in blocks], ignore_index=True)
+    cores = exact_dedup._repeated_rows(1024)(asked).assign(kind=exact_dedup.CORES)
+    asked = pd.concat(
+        [exact_dedup._context_rows(*shape)((k,), b, cores[cores["block"] == k]) for k, b in enumerate(blocks)], ignore_index=True
+    )
+    assert 9 * n < size(asked) < 16 * n
+    contexts = exact_dedup._judged_rows(1 << 17)(asked)
+    assert size(cores) + size(contexts) < n
+
+
+@pytest.mark.parametrize("ids", [[5], [7, 7], [-(2**63), 2**63 - 1, 0], [2**40 + 300, 2**40, 2**40 + 1]])
+def test_packed_ids_and_codes_come_back(ids):
+    ids = np.array(ids, np.int64)
+    assert exact_dedup._thick(exact_dedup._thin(ids), len(ids)).tolist() == ids.tolist()
+    codes = (np.arange(len(ids) * 5) % 8).astype(np.uint8)
+    assert exact_dedup._codes(exact_dedup._bits(codes, 3), 3, len(codes)).tolist() == codes.tolist()
+
+
 def test_removal_without_rows_and_without_ids(spark, empty):
     assert removed(empty) == []
     rows = exact_dedup.remove_repeats(documents(spark, [(None, "y" * 60, "s"), (3, "y" * 60, "s")])).collect()
